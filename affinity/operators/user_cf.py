@@ -31,7 +31,7 @@ def user_stats(ratings: DataFrame) -> DataFrame:
 
 
 def correlations(ratings: DataFrame, target: int) -> DataFrame:
-    """(user_id, mean, pc) for every user except ``target``; pc rounded to 12 digits."""
+    """(user_id, mean, pc, pc_raw) for every user except ``target``; pc rounded to 12 digits."""
     stats = user_stats(ratings)
     t = stats.where(F.col("user_id") == F.lit(target))
     t_mean = t.select("mean").scalar()
@@ -52,11 +52,11 @@ def correlations(ratings: DataFrame, target: int) -> DataFrame:
         F.coalesce(raw, F.lit(0.0)))
     return (stats.where(F.col("user_id") != F.lit(target))
             .join(sums, "user_id", "left")
-            .select("user_id", "mean", stable(pc).alias("pc")))
+            .select("user_id", "mean", stable(pc).alias("pc"), pc.alias("pc_raw")))
 
 
 def neighbours(ratings: DataFrame, target: int, k: int = NEIGHBOURS) -> DataFrame:
-    """Top-k users by pc DESC, user_id ASC: (rank, user_id, mean, pc).
+    """Top-k users by pc DESC, user_id ASC: (rank, user_id, mean, pc, pc_raw).
 
     ORDER BY + LIMIT becomes a TakeOrderedAndProject: each task keeps its own
     top k, so only k rows per task reach the final merge.
@@ -65,7 +65,8 @@ def neighbours(ratings: DataFrame, target: int, k: int = NEIGHBOURS) -> DataFram
     # Number the k rows in a second, bounded step (k rows in one window).
     from pyspark.sql import Window
     w = Window.orderBy(F.desc("pc"), F.asc("user_id"))
-    return top.select(F.row_number().over(w).cast("bigint").alias("rank"), "user_id", "mean", "pc")
+    return top.select(F.row_number().over(w).cast("bigint").alias("rank"), "user_id", "mean",
+                      "pc", "pc_raw")
 
 
 def estimates(ratings: DataFrame, target: int, k: int = NEIGHBOURS) -> DataFrame:

@@ -147,14 +147,15 @@ SELECT r.user_id, count(*) AS s,
 FROM ratings r JOIN tmine m ON r.item_id = m.item_id JOIN ust u ON r.user_id = u.user_id
 WHERE r.user_id <> 7 GROUP BY r.user_id""")
 cte("pcs", ("ust", "shared", "tst"), """
+SELECT user_id, mean, round(pc_raw, 12) AS pc, pc_raw FROM (
 SELECT u.user_id, u.mean,
-       round(CASE WHEN u.flat OR (SELECT flat FROM tst) OR s.s IS NULL THEN 0.0
-                  ELSE coalesce((least(s.s / 50.0, 1.0) * s.num) / nullif(sqrt(s.d1) * sqrt(s.d2), 0), 0.0)
-             END, 12) AS pc
+       CASE WHEN u.flat OR (SELECT flat FROM tst) OR s.s IS NULL THEN 0.0
+            ELSE coalesce((least(s.s / 50.0, 1.0) * s.num) / nullif(sqrt(s.d1) * sqrt(s.d2), 0), 0.0)
+       END AS pc_raw
 FROM ust u LEFT JOIN shared s ON u.user_id = s.user_id
-WHERE u.user_id <> 7""")
+WHERE u.user_id <> 7)""")
 cte("nb", ("pcs",), """
-SELECT * FROM (SELECT row_number() OVER (ORDER BY pc DESC, user_id ASC) AS rank, user_id, mean, pc
+SELECT * FROM (SELECT row_number() OVER (ORDER BY pc DESC, user_id ASC) AS rank, user_id, mean, pc, pc_raw
                FROM pcs) WHERE rank <= 30""")
 cte("uest", ("ratings", "nb", "tst"), """
 SELECT item_id, (SELECT mean FROM tst) + sum(mark) / nullif(sum(abs(pc)), 0) AS estimate
@@ -167,7 +168,7 @@ SELECT * FROM (SELECT row_number() OVER (ORDER BY round(estimate, 12) DESC, item
                       item_id, estimate
                FROM uest WHERE estimate IS NOT NULL) WHERE rank <= 10""")
 
-oracle("pearson_neighbours", ("nb",), "SELECT rank, user_id, round(pc, 6) AS pc FROM nb")
+oracle("pearson_neighbours", ("nb",), "SELECT rank, user_id, round(pc_raw, 6) AS pc FROM nb")
 oracle("user_cf_estimates", ("uest",), "SELECT item_id, round(estimate, 6) AS estimate FROM uest")
 oracle("user_cf_top10", ("utop",), "SELECT rank, item_id, round(estimate, 6) AS estimate FROM utop")
 
@@ -175,17 +176,18 @@ oracle("user_cf_top10", ("utop",), "SELECT rank, item_id, round(estimate, 6) AS
 
 cte("norms", ("res",), "SELECT item_id, sum(residual * residual) AS norm2 FROM res GROUP BY item_id")
 cte("sims", ("res", "norms", "ratings"), """
-SELECT p.m1, p.m2, round(p.num / nullif(sqrt(n1.norm2) * sqrt(n2.norm2), 0), 12) AS sim
+SELECT m1, m2, round(sim_raw, 12) AS sim, sim_raw FROM (
+SELECT p.m1, p.m2, p.num / nullif(sqrt(n1.norm2) * sqrt(n2.norm2), 0) AS sim_raw
 FROM (SELECT a.item_id AS m1, b.item_id AS m2, sum(a.residual * b.residual) AS num
       FROM res a JOIN res b ON a.user_id = b.user_id AND a.item_id <> b.item_id
       WHERE a.item_id NOT IN (SELECT item_id FROM ratings WHERE user_id = 7)
       GROUP BY 1, 2) p
-JOIN norms n1 ON n1.item_id = p.m1 JOIN norms n2 ON n2.item_id = p.m2""")
+JOIN norms n1 ON n1.item_id = p.m1 JOIN norms n2 ON n2.item_id = p.m2)""")
 cte("kept", ("sims", "norms"), """
-SELECT m1, m2, sim, rank FROM (
-  SELECT r.m1, r.m2, r.sim,
+SELECT m1, m2, sim, sim_raw, rank FROM (
+  SELECT r.m1, r.m2, r.sim, r.sim_raw,
          r.rn + CASE WHEN r.sim < 0 THEN z.z ELSE 0 END AS rank
-  FROM (SELECT m1, m2, sim, row_number() OVER (PARTITION BY m1 ORDER BY sim DESC, m2 ASC) AS rn
+  FROM (SELECT m1, m2, sim, sim_raw, row_number() OVER (PARTITION BY m1 ORDER BY sim DESC, m2 ASC) AS rn
         FROM sims WHERE sim IS NOT NULL) r
   JOIN (SELECT m1, (SELECT count(*) FROM norms WHERE norm2 > 0) - 1 - count(*) AS z
         FROM sims WHERE sim IS NOT NULL GROUP BY m1) z ON r.m1 = z.m1
@@ -219,8 +221,8 @@ SELECT * FROM (SELECT row_number() OVER (ORDER BY round(estimate, 12) DESC, item
 cte("itop", ("iest",), _top("iest"))
 cte("itop_pos", ("iest_pos",), _top("iest_pos"))
 
-oracle("item_similarity", ("sims",), "SELECT m1, m2, round(sim, 6) AS sim FROM sims")
-oracle("item_topk", ("kept",), "SELECT m1, m2, round(sim, 6) AS sim, rank FROM kept")
+oracle("item_similarity", ("sims",), "SELECT m1, m2, round(sim_raw, 6) AS sim FROM sims")
+oracle("item_topk", ("kept",), "SELECT m1, m2, round(sim_raw, 6) AS sim, rank FROM kept")
 oracle("item_cf_estimates", ("iest",),
        "SELECT item_id, round(estimate, 6) AS estimate FROM iest WHERE estimate IS NOT NULL")
 oracle("item_cf_top10", ("itop",), "SELECT rank, item_id, round(estimate, 6) AS estimate FROM itop")

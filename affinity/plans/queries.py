@@ -106,7 +106,7 @@ def q_residuals_dense(spark, d):
 @query("pearson_neighbours")
 def q_pearson_neighbours(spark, d):
     nb = user_cf.neighbours(b.ratings(spark, d), TARGET_USER)
-    return nb.select("rank", "user_id", out("pc").alias("pc"))
+    return nb.select("rank", "user_id", out("pc_raw").alias("pc"))
 
 
 @query("user_cf_estimates")
