@@ -98,17 +98,16 @@ def quantiles_by_index(values: DataFrame, col: str,
     """Exact order statistics: for each name, sorted(col)[index(n)], 0-based.
 
     No global sort in one task: values are counted per distinct value (partial
-    aggregate), cut into ``buckets`` value ranges by approximate percentiles
-    (a bounded sketch), bucket totals give each range its offset (a window over
-    at most ``buckets`` rows), and a running count inside each range finds the
-    first value whose cumulative count exceeds the index. One row out; NULL
-    for empty input.
+    aggregate); the distinct values are range-partitioned into ``buckets``
+    ordered ranges (Spark samples the range bounds); range totals give each
+    range its offset (a window over at most ``buckets`` rows); a running count
+    inside each range finds the first value whose cumulative count exceeds the
+    index. One row out; NULL for empty input.
     """
     v = values.where(F.col(col).isNotNull())
-    hist = v.groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"))
-    fractions = [i / buckets for i in range(1, buckets)]
-    bounds = v.agg(F.percentile_approx(col, fractions, 10000)).scalar()
-    hist = hist.withColumn("_bucket", F.size(F.filter(bounds, lambda b: b <= F.col(col))))
+    hist = (v.groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"))
+            .repartitionByRange(buckets, col)
+            .withColumn("_bucket", F.spark_partition_id()))
     totals = hist.groupBy("_bucket").agg(F.sum("_cnt").alias("_tot"))
     offsets = totals.select(
         "_bucket",
@@ -117,8 +116,9 @@ def quantiles_by_index(values: DataFrame, col: str,
             F.lit(0)).alias("_off"))
     within = Window.partitionBy("_bucket").orderBy(col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    cum = (hist.join(offsets, "_bucket")
-           .withColumn("_cum", F.col("_off") + F.sum("_cnt").over(within)))
+    cum = (hist.withColumn("_run", F.sum("_cnt").over(within))
+           .join(offsets, "_bucket")
+           .withColumn("_cum", F.col("_off") + F.col("_run")))
     n = v.agg(F.count(F.lit(1))).scalar()
     aggs = [F.min(F.when(F.col("_cum") > fn(n), F.col(col))).alias(name)
             for name, fn in indexes.items()]

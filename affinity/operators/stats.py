@@ -97,7 +97,7 @@ def edges_distinct(merged: DataFrame) -> DataFrame:
 
 
 def profile(df: DataFrame, cols: Sequence[str] = ("rating1", "rating2", "click")) -> DataFrame:
-    """describe() in long, typed form: (column, count, mean, stddev, min, max).
+    """describe() in long, typed form: (field, n, mean, stddev, min_value, max_value).
 
     One aggregate pass computes all statistics of all columns; the rows are
     then unpivoted from the single result row.
@@ -110,9 +110,10 @@ def profile(df: DataFrame, cols: Sequence[str] = ("rating1", "rating2", "click")
                  F.max(x).alias(f"{c}__max")]
     one = df.agg(*aggs)
     rows = F.array(*[F.struct(
-        F.lit(c).alias("column"), F.col(f"{c}__count").alias("count"),
+        F.lit(c).alias("field"), F.col(f"{c}__count").alias("n"),
         out(f"{c}__mean").alias("mean"), out(f"{c}__stddev").alias("stddev"),
-        F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max")) for c in cols])
+        F.col(f"{c}__min").alias("min_value"), F.col(f"{c}__max").alias("max_value"))
+        for c in cols])
     return one.select(F.inline(rows))
 
 

@@ -245,3 +245,141 @@ SELECT {_half_down("count(rating) / count(DISTINCT user_id)")} AS average_user_r
        (SELECT string_agg(item_id, ',' ORDER BY rank) FROM itop) AS predicators_top10,
        (SELECT string_agg(item_id, ',' ORDER BY rank) FROM itop_pos) AS predicators_positive_top10
 FROM ratings""")
+
+# -- click graph -----------------------------------------------------------------------------------
+
+cte("lines", (), """
+SELECT l_orderkey AS o, l_partkey AS p, min(l_linenumber) AS ln, sum(l_quantity) AS q
+FROM lineitem GROUP BY 1, 2""")
+cte("edges", ("lines",), """
+SELECT a.p AS item1, b.p AS item2, CAST(sum(b.q) AS BIGINT) AS click
+FROM lines a JOIN lines b ON a.o = b.o AND a.p <> b.p AND a.ln < b.ln
+GROUP BY 1, 2""")
+cte("catalogs", (), """
+SELECT p_partkey AS item,
+       10 * CAST(substr(p_brand, 7) AS INTEGER)
+         + list_position(['ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD'], p_type) AS catalog
+FROM part WHERE p_partkey % 20 <> 0""")
+cte("brothers", ("catalogs",), """
+SELECT DISTINCT c1.catalog, c2.catalog AS brother
+FROM catalogs c1 JOIN catalogs c2 ON c1.catalog % 10 = c2.catalog % 10""")
+cte("item_ratings", ("ratings",), """
+SELECT item_id AS itemid, round(avg(rating), 6) AS rating
+FROM ratings WHERE item_id % 17 <> 0 GROUP BY 1""")
+cte("targets", (), "SELECT p_partkey AS item FROM part WHERE p_partkey % 50 = 7")
+cte("items", (), """
+SELECT CAST(p_partkey AS VARCHAR) AS itemid,
+       CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_partkey // 5 END AS parent_id,
+       p_name AS attr1, p_brand AS attr2, p_type AS attr3, 'size ' || p_size AS attr4,
+       CASE WHEN p_partkey % 3 = 0 THEN NULL
+            ELSE ' Price ' || CAST(floor(p_retailprice) AS INTEGER) END AS attr5
+FROM part""")
+cte("merged", ("edges", "catalogs", "item_ratings"), """
+SELECT e.item1, c1.catalog AS catalog1, r1.rating AS rating1,
+       e.item2, c2.catalog AS catalog2, r2.rating AS rating2, e.click
+FROM edges e
+LEFT JOIN catalogs c1 ON e.item1 = c1.item
+LEFT JOIN catalogs c2 ON e.item2 = c2.item
+LEFT JOIN item_ratings r1 ON e.item1 = r1.itemid
+LEFT JOIN item_ratings r2 ON e.item2 = r2.itemid""")
+cte("rev", ("merged",), """
+SELECT DISTINCT item2, item1 AS id, coalesce(rating1, 0.0) AS rating,
+       coalesce(catalog1, 0) AS catalog, click
+FROM merged""")
+
+oracle("edges_explode", ("edges",), "SELECT item1, item2, click FROM edges")
+oracle("catalogs_load", ("catalogs",), "SELECT item, catalog FROM catalogs")
+oracle("catalog_brothers", ("brothers",), """
+SELECT catalog, string_agg(brother, ',' ORDER BY brother) AS brothers
+FROM brothers GROUP BY catalog""")
+oracle("edges_merged", ("merged",), "SELECT * FROM merged")
+oracle("edges_distinct", ("merged",), "SELECT DISTINCT item1, item2 FROM merged")
+oracle("edges_missing_catalog", ("merged",),
+       "SELECT * FROM merged WHERE catalog1 IS NULL OR catalog2 IS NULL")
+oracle("edges_missing_catalog_count", ("merged",),
+       "SELECT count(*) AS n_edges FROM merged WHERE catalog1 IS NULL OR catalog2 IS NULL")
+oracle("edges_touching_item", ("merged",), "SELECT * FROM merged WHERE item1 = 7 OR item2 = 7")
+
+
+def _profile(c: str) -> str:
+    x = f"CAST({c} AS DOUBLE)"
+    return (f"SELECT '{c}' AS field, count({c}) AS n, round(avg({x}), 6) AS mean, "
+            f"round(stddev_samp({x}), 6) AS stddev, min({x}) AS min_value, max({x}) AS max_value "
+            f"FROM merged")
+
+
+oracle("edge_profile", ("merged",),
+       "\nUNION ALL\n".join(_profile(c) for c in ("rating1", "rating2", "click")))
+
+oracle("edge_quantiles", ("rev",), """
+SELECT (SELECT count(*) FROM rev) AS n_clicks,
+       (SELECT click FROM (SELECT click, row_number() OVER (ORDER BY click) - 1 AS i FROM rev)
+         WHERE i = (SELECT count(*) FROM rev) // 2) AS click_p50,
+       (SELECT click FROM (SELECT click, row_number() OVER (ORDER BY click) - 1 AS i FROM rev)
+         WHERE i = (SELECT count(*) FROM rev) // 2 + (SELECT count(*) FROM rev) // 4) AS click_p75,
+       (SELECT round(avg(click), 6) FROM rev) AS click_mean,
+       (SELECT count(*) FROM rev WHERE rating <> 0) AS n_ratings,
+       (SELECT rating FROM (SELECT rating, row_number() OVER (ORDER BY rating) - 1 AS i
+                            FROM rev WHERE rating <> 0)
+         WHERE i = (SELECT count(*) FROM rev WHERE rating <> 0) // 2) AS rating_p50,
+       (SELECT rating FROM (SELECT rating, row_number() OVER (ORDER BY rating) - 1 AS i
+                            FROM rev WHERE rating <> 0)
+         WHERE i = (SELECT count(*) FROM rev WHERE rating <> 0) // 2
+                 + (SELECT count(*) FROM rev WHERE rating <> 0) // 4) AS rating_p75""")
+
+oracle("parents_with_siblings", ("items",), """
+SELECT parent_id, count(*) AS n_items FROM items
+GROUP BY parent_id HAVING count(parent_id) > 3""")
+
+
+def _chunk(member: str) -> str:
+    return (f"(({member} % 2147483647) * 48271 % 2147483647) "
+            f"% greatest(1, CAST(ceil(n / 4096.0) AS BIGINT))")
+
+
+oracle("adjacency_out", ("merged",), f"""
+SELECT item1, chunk, n, string_agg(item2, ',' ORDER BY item2) AS neighbours
+FROM (SELECT item1, item2, n, {_chunk("item2")} AS chunk
+      FROM (SELECT item1, item2, count(*) OVER (PARTITION BY item1) AS n
+            FROM (SELECT DISTINCT item1, item2 FROM merged)))
+GROUP BY item1, chunk, n""")
+
+oracle("adjacency_in", ("rev",), f"""
+SELECT item2, chunk, n,
+       string_agg(id || ':' || rating || ':' || catalog || ':' || click, ','
+                  ORDER BY id, rating, catalog, click) AS sources
+FROM (SELECT *, {_chunk("id")} AS chunk
+      FROM (SELECT *, count(*) OVER (PARTITION BY item2) AS n FROM rev))
+GROUP BY item2, chunk, n""")
+
+cte("tcat", ("targets", "catalogs"), """
+SELECT t.item, c.catalog FROM targets t JOIN catalogs c ON t.item = c.item""")
+cte("allowed", ("tcat", "brothers"), """
+SELECT DISTINCT t.item AS target, b.brother AS catalog
+FROM tcat t JOIN brothers b ON b.catalog = t.catalog""")
+cte("lvl1", ("tcat", "rev", "allowed"), """
+SELECT t.item AS target, r.id AS item, r.rating, r.catalog, r.click, 1 AS level
+FROM tcat t JOIN rev r ON r.item2 = t.item
+JOIN allowed a ON a.target = t.item AND a.catalog = r.catalog
+WHERE r.id <> t.item""")
+cte("lvl2", ("lvl1", "rev", "allowed"), """
+SELECT f.target, r.id AS item, r.rating, r.catalog, r.click, 2 AS level
+FROM (SELECT DISTINCT target, item FROM lvl1) f
+JOIN rev r ON r.item2 = f.item
+JOIN allowed a ON a.target = f.target AND a.catalog = r.catalog
+WHERE r.id <> f.target
+  AND NOT EXISTS (SELECT 1 FROM lvl1 x WHERE x.target = f.target AND x.item = r.id)""")
+cte("cands", ("lvl1", "lvl2"), """
+SELECT target, item, rating, catalog, click, level FROM (
+  SELECT *, row_number() OVER (PARTITION BY target, item
+                               ORDER BY level, click DESC, rating DESC, catalog) AS rn
+  FROM (SELECT * FROM lvl1 UNION ALL SELECT * FROM lvl2))
+WHERE rn = 1""")
+
+oracle("target_catalogs", ("tcat",), "SELECT item, catalog FROM tcat")
+oracle("candidates_level1", ("lvl1",), """
+SELECT target, item, rating, catalog, click FROM (
+  SELECT *, row_number() OVER (PARTITION BY target, item
+                               ORDER BY click DESC, rating DESC, catalog) AS rn FROM lvl1)
+WHERE rn = 1""")
+oracle("candidates", ("cands",), "SELECT * FROM cands")

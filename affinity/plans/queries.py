@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.functions.numeric import out
-from affinity.functions.shape import joined_in_order
+from affinity.functions.shape import joined, joined_in_order
 from affinity.operators import baseline as bl
-from affinity.operators import item_cf, report, stats, user_cf
+from affinity.operators import graph, item_cf, report, stats, user_cf
 from affinity.operators.skew import chunked_lists
 from affinity.session import scratch_path
 from affinity.sources import bindings as b
@@ -155,3 +155,112 @@ def q_cf_report(spark, d):
              "predicators_positive_top10"]
     return rep.select(*[joined_in_order(c).alias(c) if c in lists else F.col(c)
                         for c in rep.columns])
+
+
+# -- click graph: sources --------------------------------------------------------------
+
+def _merged(spark, d):
+    return graph.merge_edges(b.edges(spark, d), b.catalogs(spark, d), b.item_ratings(spark, d))
+
+
+@query("edges_explode")
+def q_edges_explode(spark, d):
+    path = sinks.write_train_json(b.edges(spark, d), scratch_path(spark, "train_json"))
+    return readers.read_train_edges(spark, path)
+
+
+@query("catalogs_load")
+def q_catalogs_load(spark, d):
+    path = sinks.write_catalogs_json(b.catalogs(spark, d), scratch_path(spark, "catalogs_json"))
+    return readers.read_catalogs(spark, path)
+
+
+@query("catalog_brothers")
+def q_catalog_brothers(spark, d):
+    path = sinks.write_catalog_path_json(b.brothers(spark, d),
+                                         scratch_path(spark, "catalog_path_json"))
+    br = readers.read_catalog_path(spark, path)
+    return br.select("catalog", joined("brothers").alias("brothers"))
+
+
+# -- click graph: merge, inspection, adjacency -------------------------------------------
+
+@query("edges_merged")
+def q_edges_merged(spark, d):
+    return _merged(spark, d)
+
+
+@query("edges_distinct")
+def q_edges_distinct(spark, d):
+    return stats.edges_distinct(_merged(spark, d))
+
+
+@query("edges_missing_catalog")
+def q_edges_missing_catalog(spark, d):
+    return stats.missing_catalog(_merged(spark, d))
+
+
+@query("edges_missing_catalog_count")
+def q_edges_missing_catalog_count(spark, d):
+    return stats.missing_catalog_count(_merged(spark, d))
+
+
+@query("edges_touching_item")
+def q_edges_touching_item(spark, d):
+    return stats.edges_touching(_merged(spark, d), LOOKUP_ITEM)
+
+
+@query("edge_profile")
+def q_edge_profile(spark, d):
+    return stats.profile(_merged(spark, d))
+
+
+@query("edge_quantiles")
+def q_edge_quantiles(spark, d):
+    return stats.edge_quantiles(_merged(spark, d))
+
+
+@query("parents_with_siblings")
+def q_parents_with_siblings(spark, d):
+    return stats.parents_with_siblings(b.items(spark, d))
+
+
+@query("adjacency_out")
+def q_adjacency_out(spark, d):
+    adj = graph.adjacency_out(_merged(spark, d))
+    return adj.select("item1", "chunk", "n", joined("neighbours").alias("neighbours"))
+
+
+@query("adjacency_in")
+def q_adjacency_in(spark, d):
+    adj = graph.adjacency_in(_merged(spark, d))
+    text = F.array_join(F.transform("sources", lambda s: F.concat_ws(
+        ":", s["id"].cast("string"), s["rating"].cast("string"),
+        s["catalog"].cast("string"), s["click"].cast("string"))), ",")
+    return adj.select("item2", "chunk", "n", text.alias("sources"))
+
+
+# -- candidates ------------------------------------------------------------------------------
+
+def _target_catalogs(spark, d, via_json: bool = False):
+    t = b.targets(spark, d)
+    if via_json:
+        t = readers.read_test_items(
+            spark, sinks.write_test_items_json(t, scratch_path(spark, "test_items_json")))
+    return graph.target_catalogs(t, b.catalogs(spark, d))
+
+
+@query("target_catalogs")
+def q_target_catalogs(spark, d):
+    return _target_catalogs(spark, d, via_json=True)
+
+
+@query("candidates_level1")
+def q_candidates_level1(spark, d):
+    return graph.candidates_level1(_merged(spark, d), _target_catalogs(spark, d),
+                                   b.brothers(spark, d))
+
+
+@query("candidates")
+def q_candidates(spark, d):
+    return graph.candidates(_merged(spark, d), _target_catalogs(spark, d), b.brothers(spark, d))
