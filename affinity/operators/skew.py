@@ -123,3 +123,28 @@ def quantiles_by_index(values: DataFrame, col: str,
     aggs = [F.min(F.when(F.col("_cum") > fn(n), F.col(col))).alias(name)
             for name, fn in indexes.items()]
     return cum.agg(*aggs)
+
+
+def rank_within(df: DataFrame, group: str, order: Sequence[Column],
+                partitions: int | None = None, out: str = "rank") -> DataFrame:
+    """Dense row numbers per group (1, 2, ...) in ``order``, without one task per group.
+
+    A window partitioned by the group would sort a hot group in one task.
+    Here rows are range-partitioned on (group, order) - Spark samples the
+    bounds - so a big group spans many ordered partitions; each row gets its
+    row number inside its (group, partition) slice plus the row count of the
+    group's earlier partitions (a window over at most ``partitions`` rows per
+    group).
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = (df.repartitionByRange(n, F.col(group), *order)
+             .withColumn("_pid", F.spark_partition_id()))
+    local = Window.partitionBy(group, "_pid").orderBy(*order)
+    counts = keyed.groupBy(group, "_pid").agg(F.count(F.lit(1)).alias("_k"))
+    before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(group, "_pid", F.coalesce(F.sum("_k").over(before), F.lit(0))
+                            .alias("_off"))
+    return (keyed.withColumn("_local", F.row_number().over(local))
+            .join(offsets, [group, "_pid"])
+            .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
+            .drop("_pid", "_local", "_off"))

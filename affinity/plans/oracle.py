@@ -383,3 +383,109 @@ SELECT target, item, rating, catalog, click FROM (
                                ORDER BY click DESC, rating DESC, catalog) AS rn FROM lvl1)
 WHERE rn = 1""")
 oracle("candidates", ("cands",), "SELECT * FROM cands")
+
+# -- content ranking -----------------------------------------------------------------------------
+
+cte("pdocs", ("items",), """
+SELECT CAST(itemid AS BIGINT) AS item, coalesce(TRY_CAST(parent_id AS BIGINT), -1) AS parent,
+       concat_ws(' ', lower(trim(attr1)), lower(trim(attr2)), lower(trim(attr3)),
+                 lower(trim(attr4)), lower(trim(attr5))) AS sentence
+FROM items""")
+cte("ddocs", (), """
+SELECT doc_id AS item,
+       coalesce(TRY_CAST(regexp_extract(source, '(\\d+)$', 1) AS BIGINT), -1) AS parent,
+       concat_ws(' ', lower(trim(source)), lower(trim(lang)), lower(trim(text))) AS sentence
+FROM documents""")
+cte("dcands", (), """
+SELECT t.doc_id AS target, d.doc_id AS item, 0.0 AS rating, 0 AS catalog,
+       CAST(0 AS BIGINT) AS click, 1 AS level
+FROM documents t JOIN documents d ON t.lang = d.lang AND d.doc_id <> t.doc_id
+WHERE t.doc_id % 1000 = 3""")
+
+
+def _words(docs: str) -> str:
+    return ("SELECT item, list_distinct(list_filter(regexp_split_to_array(lower(sentence), "
+            "'[^\\p{L}\\w\\d]+'), lambda w: length(w) >= 2)) AS words FROM " + docs)
+
+
+def _content(prefix: str, cands: str, docs: str) -> None:
+    """CTEs <prefix>_... for one binding: members, term rows, scores, rankings."""
+    p = prefix
+    cte(f"{p}_words", (docs,), _words(docs))
+    cte(f"{p}_dset", (cands,), f"""
+SELECT target, item, level, click, rating FROM {cands}
+UNION ALL
+SELECT DISTINCT target, target AS item, 1 AS level, CAST(0 AS BIGINT) AS click, 0.0 AS rating
+FROM {cands}""")
+    cte(f"{p}_members", (f"{p}_dset", docs), f"""
+SELECT * FROM {p}_dset WHERE item IN (SELECT item FROM {docs})""")
+    cte(f"{p}_rows", (f"{p}_members", f"{p}_words"), f"""
+SELECT m.target, m.item, t.term
+FROM {p}_members m JOIN (SELECT item, unnest(words) AS term FROM {p}_words) t ON t.item = m.item""")
+    cte(f"{p}_msz", (f"{p}_members",), f"SELECT target, count(*) AS m FROM {p}_members GROUP BY target")
+    cte(f"{p}_shared", (f"{p}_rows",), f"""
+SELECT r.target, r.item, r.term FROM {p}_rows r
+WHERE r.item <> r.target
+  AND EXISTS (SELECT 1 FROM {p}_rows o WHERE o.item = o.target AND o.target = r.target
+                                          AND o.term = r.term)""")
+    cte(f"{p}_idf", (f"{p}_shared", f"{p}_msz"), f"""
+SELECT d.target, d.term, ln((m.m + 1) / (d.df + 1)) AS w
+FROM (SELECT target, term, count(*) + 1 AS df FROM {p}_shared GROUP BY 1, 2) d
+JOIN {p}_msz m ON m.target = d.target""")
+    for kind in ("count", "tfidf"):
+        if kind == "count":
+            src = f"SELECT target, item, 1.0 AS w FROM {p}_shared"
+            deps = (f"{p}_shared",)
+        else:
+            src = (f"SELECT s.target, s.item, i.w FROM {p}_shared s "
+                   f"JOIN {p}_idf i ON i.target = s.target AND i.term = s.term")
+            deps = (f"{p}_shared", f"{p}_idf")
+        cte(f"{p}_{kind}_scores", deps, f"""
+SELECT target, item,
+       CASE WHEN count(*) <= 1 THEN 0.0
+            ELSE coalesce(sum(w * w) / nullif(sqrt(sum(w * w)) * sqrt(sum(w * w)), 0), 0.0) END AS cos
+FROM ({src}) GROUP BY target, item""")
+        cte(f"{p}_{kind}_ranked", (cands, docs, f"{p}_{kind}_scores"), f"""
+SELECT target, item, cos, ordered,
+       row_number() OVER (PARTITION BY target ORDER BY cos DESC, ordered DESC, item ASC) AS rank
+FROM (SELECT c.target, c.item, round(coalesce(s.cos, 0.0), 12) AS cos,
+             100 + c.click * c.rating AS ordered
+      FROM {cands} c
+      JOIN {docs} d ON d.item = c.item
+      JOIN {docs} td ON td.item = c.target
+      LEFT JOIN {p}_{kind}_scores s ON s.target = c.target AND s.item = c.item
+      WHERE c.item <> c.target AND d.parent <> td.parent)""")
+
+
+_content("pc", "cands", "pdocs")
+_content("dc", "dcands", "ddocs")
+
+
+def _ranked(src: str) -> str:
+    return f"SELECT target, item, round(cos, 6) AS cos, round(ordered, 6) AS ordered, rank FROM {src}"
+
+
+oracle("item_sentences", ("pc_dset", "pdocs"), """
+SELECT s.target, s.item, d.parent, s.level, s.click, s.rating, d.sentence
+FROM pc_dset s JOIN pdocs d ON d.item = s.item""")
+oracle("item_words", ("pc_words",), "SELECT item, array_to_string(list_sort(words), ',') AS words FROM pc_words")
+oracle("tfidf_weights", ("pc_rows", "pc_msz"), """
+SELECT r.target, r.term, r.df, m.m, round(ln((m.m + 1) / (r.df + 1)), 6) AS idf
+FROM (SELECT target, term, count(*) AS df FROM pc_rows GROUP BY 1, 2) r
+JOIN pc_msz m ON m.target = r.target""")
+oracle("count_rank", ("pc_count_ranked",), _ranked("pc_count_ranked"))
+oracle("tfidf_rank", ("pc_tfidf_ranked",), _ranked("pc_tfidf_ranked"))
+oracle("tfidf_rank_docs", ("dc_tfidf_ranked",), _ranked("dc_tfidf_ranked"))
+oracle("ranking_overlap", ("pc_count_ranked", "pc_tfidf_ranked"), """
+SELECT b.target, round(coalesce(n.k, 0) / b.k, 6) AS overlap
+FROM (SELECT target, count(*) AS k FROM pc_tfidf_ranked WHERE rank <= 10 GROUP BY target) b
+LEFT JOIN (SELECT t.target, count(*) AS k
+           FROM pc_tfidf_ranked t JOIN pc_count_ranked c ON c.target = t.target AND c.item = t.item
+           WHERE t.rank <= 10 AND c.rank <= 10 GROUP BY t.target) n ON n.target = b.target""")
+oracle("rec_documents", ("pc_tfidf_ranked",), f"""
+SELECT CAST(target AS VARCHAR) AS item, chunk,
+       string_agg(CAST(item AS VARCHAR) || ':' || CAST(trunc(ordered) AS INTEGER), ','
+                  ORDER BY CAST(item AS VARCHAR)) AS recoms
+FROM (SELECT *, {_chunk("item")} AS chunk
+      FROM (SELECT *, count(*) OVER (PARTITION BY target) AS n FROM pc_tfidf_ranked))
+GROUP BY target, chunk""")

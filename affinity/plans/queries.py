@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from affinity.functions.numeric import out
 from affinity.functions.shape import joined, joined_in_order
 from affinity.operators import baseline as bl
-from affinity.operators import graph, item_cf, report, stats, user_cf
+from affinity.operators import content, graph, item_cf, report, stats, user_cf
 from affinity.operators.skew import chunked_lists
 from affinity.session import scratch_path
 from affinity.sources import bindings as b
@@ -264,3 +264,75 @@ def q_candidates_level1(spark, d):
 @query("candidates")
 def q_candidates(spark, d):
     return graph.candidates(_merged(spark, d), _target_catalogs(spark, d), b.brothers(spark, d))
+
+
+# -- content ranking -------------------------------------------------------------------------
+
+def _part_docs(spark, d):
+    return content.item_documents(b.items(spark, d))
+
+
+def _part_cands(spark, d):
+    return graph.candidates(_merged(spark, d), _target_catalogs(spark, d), b.brothers(spark, d))
+
+
+def _ranked_out(ranked):
+    return ranked.select("target", "item", out("cos").alias("cos"),
+                         out("ordered").alias("ordered"), "rank")
+
+
+@query("item_sentences")
+def q_item_sentences(spark, d):
+    return content.candidate_documents(_part_cands(spark, d), _part_docs(spark, d))
+
+
+@query("item_words")
+def q_item_words(spark, d):
+    words = content.item_words(_part_docs(spark, d))
+    return words.select("item", joined("words").alias("words"))
+
+
+@query("tfidf_weights")
+def q_tfidf_weights(spark, d):
+    w = content.tfidf_weights(_part_cands(spark, d), _part_docs(spark, d))
+    return w.select("target", "term", "df", "m", out("idf").alias("idf"))
+
+
+@query("count_rank")
+def q_count_rank(spark, d):
+    return _ranked_out(content.rank_candidates(_part_cands(spark, d), _part_docs(spark, d),
+                                               "count"))
+
+
+@query("tfidf_rank")
+def q_tfidf_rank(spark, d):
+    return _ranked_out(content.rank_candidates(_part_cands(spark, d), _part_docs(spark, d),
+                                               "tfidf"))
+
+
+@query("tfidf_rank_docs")
+def q_tfidf_rank_docs(spark, d):
+    docs = content.item_documents(b.documents(spark, d))
+    return _ranked_out(content.rank_candidates(b.document_candidates(spark, d), docs, "tfidf"))
+
+
+@query("hashing_tfidf_ml")
+def q_hashing_tfidf_ml(spark, d):
+    return content.hashing_tfidf(_part_docs(spark, d))
+
+
+@query("ranking_overlap")
+def q_ranking_overlap(spark, d):
+    cands, docs = _part_cands(spark, d), _part_docs(spark, d)
+    ov = content.overlap(content.rank_candidates(cands, docs, "count"),
+                         content.rank_candidates(cands, docs, "tfidf"))
+    return ov.select("target", out("overlap").alias("overlap"))
+
+
+@query("rec_documents")
+def q_rec_documents(spark, d):
+    ranked = content.rank_candidates(_part_cands(spark, d), _part_docs(spark, d), "tfidf")
+    docs = content.recommendation_documents(ranked)
+    text = F.array_join(F.transform(F.array_sort(F.map_entries("recoms")), lambda e: F.concat_ws(
+        ":", e["key"], e["value"].cast("string"))), ",")
+    return docs.select("item", "chunk", text.alias("recoms"))

@@ -111,11 +111,11 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as wide items: itemid, parent_id = source, attr1..3 = source, lang, text."""
+    """Documents as wide items: itemid, parent_id = source number, attr1..3 = source, lang, text."""
     d = table(spark, sf_dir, "documents")
     return d.select(
         F.col("doc_id").cast("string").alias("itemid"),
-        F.col("source").alias("parent_id"),
+        F.regexp_extract("source", r"(\d+)$", 1).try_cast("bigint").alias("parent_id"),
         F.col("source").alias("attr1"), F.col("lang").alias("attr2"), F.col("text").alias("attr3"))
 
 
