@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions.numeric import half_down
-from affinity.operators import baseline as bl
 from affinity.operators import item_cf, stats, user_cf
 
 
@@ -26,17 +25,16 @@ def cf_report(ratings: DataFrame, target: int, k: int = user_cf.NEIGHBOURS,
     dens = stats.density(ratings)
     neighbours = user_cf.neighbours(ratings, target, k)
     user_top = user_cf.top_n(user_cf.estimates(ratings, target, k), n)
-    model = bl.fit(ratings)
-    kept = item_cf.top_pairs(model, item_cf.similarities(model, target), k)
-    est = item_cf.estimates_from(model, kept, target)
-    est_pos = item_cf.estimates_from(model, kept, target, positive_only=True)
+    im, kept = item_cf.kept_pairs(ratings, target, k)
+    est = item_cf.estimates_from(im, kept, target)
+    est_pos = item_cf.estimates_from(im, kept, target, positive_only=True)
     item_top = user_cf.top_n(est, n)
     item_top_pos = user_cf.top_n(est_pos, n)
     return dens.select(
         half_down("average_user_ratings").alias("average_user_ratings"),
         half_down("average_film_ratings").alias("average_film_ratings"),
         half_down("completeness").alias("completeness"),
-        half_down(model.mu).alias("average_rating"),
+        half_down(im.items.agg(F.max("mu")).scalar()).alias("average_rating"),
         _ids_in_order(neighbours, "user_id").alias("pearson_neighbours"),
         _ids_in_order(user_top, "item_id").alias("pearson_top10"),
         _ids_in_order(item_top, "item_id").alias("predicators_top10"),

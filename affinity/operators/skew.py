@@ -37,30 +37,47 @@ def block_count(size, block: int) -> Column:
 
 def salted_pairs(rows: DataFrame, group: str, member: str, payload: Sequence[str],
                  group_size: str, block: int = 4096,
-                 right: DataFrame | None = None) -> DataFrame:
+                 right: DataFrame | None = None, unordered: bool = False) -> DataFrame:
     """Ordered pairs of distinct members sharing a group.
 
     ``rows`` (left side) and ``right`` (default: ``rows``) have one row per
     (group, member) and a column ``group_size`` holding the group's full size
     (equal on both sides). Each side carries ``member`` and ``payload`` with
-    suffix ``_1`` / ``_2``. A group of n members is cut into ceil(n / block)
-    hash blocks; a block pair (b1, b2) is one join key, so the n**2 pairs of a
-    hot group are spread over ceil(n / block)**2 keys (tasks) instead of one.
-    Groups up to ``block`` members get a single block and are not replicated.
+    suffix ``_1`` / ``_2``. With ``unordered`` each unordered pair comes once
+    (member_1 < member_2).
+
+    Groups of at most ``block`` members take a plain self-join on the group
+    (one shuffle, read by both sides). A bigger group is cut into
+    ceil(n / block) hash blocks and each block pair (b1, b2) is its own join
+    key, so its n**2 pairs are spread over ceil(n / block)**2 tasks instead of
+    one.
     """
     right = rows if right is None else right
-    nb = block_count(group_size, block)
-    salt = F.pmod(F.xxhash64(F.col(member)), nb)
     cols1 = [F.col(c).alias(f"{c}_1") for c in [member, *payload]]
     cols2 = [F.col(c).alias(f"{c}_2") for c in [member, *payload]]
-    left = rows.select(F.col(group), *cols1, salt.alias("_b1"),
-                       F.explode(F.sequence(F.lit(0), nb - 1)).alias("_b2"))
-    other = right.select(F.col(group), *cols2,
-                         F.explode(F.sequence(F.lit(0), nb - 1)).alias("_b1"),
-                         salt.alias("_b2"))
-    return (left.join(other, [group, "_b1", "_b2"])
-            .where(F.col(f"{member}_1") != F.col(f"{member}_2"))
-            .drop("_b1", "_b2"))
+    m1, m2 = F.col(f"{member}_1"), F.col(f"{member}_2")
+    keep = m1 < m2 if unordered else m1 != m2
+    small = F.col(group_size) <= F.lit(block)
+    # Common path: plain self-join on the group key.
+    plain = (rows.where(small).select(F.col(group), *cols1)
+             .join(right.where(small).select(F.col(group), *cols2), group)
+             .where(keep))
+    # Hot groups: block-pair keys.
+    nb = block_count(group_size, block)
+    salt = F.pmod(F.xxhash64(F.col(member)), nb)
+    left = rows.where(~small).select(F.col(group), *cols1, salt.alias("_b1"),
+                                     F.explode(F.sequence(F.lit(0), nb - 1)).alias("_b2"))
+    other = right.where(~small).select(F.col(group), *cols2,
+                                       F.explode(F.sequence(F.lit(0), nb - 1)).alias("_b1"),
+                                       salt.alias("_b2"))
+    hot = (left.join(other, [group, "_b1", "_b2"]).where(keep).drop("_b1", "_b2"))
+    return plain.unionByName(hot)
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
+    """Broadcast hint for ``df`` only after counting it: at most ``max_rows``
+    rows are broadcast; a bigger side is returned as is and joins by shuffle."""
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def spread(x, n) -> Column:

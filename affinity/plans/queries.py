@@ -17,7 +17,7 @@ from affinity.functions.shape import joined, joined_in_order
 from affinity.operators import baseline as bl
 from affinity.operators import content, graph, item_cf, report, stats, user_cf
 from affinity.operators.skew import chunked_lists
-from affinity.session import scratch_path
+from affinity.session import materialize, scratch_path
 from affinity.sources import bindings as b
 from affinity.sources import readers, sinks
 
@@ -273,7 +273,10 @@ def _part_docs(spark, d):
 
 
 def _part_cands(spark, d):
-    return graph.candidates(_merged(spark, d), _target_catalogs(spark, d), b.brothers(spark, d))
+    # The candidate table feeds several branches of the ranking (document
+    # sets, term statistics, the ranked pool): written once, read by all.
+    cands = graph.candidates(_merged(spark, d), _target_catalogs(spark, d), b.brothers(spark, d))
+    return materialize(cands, "candidates")
 
 
 def _ranked_out(ranked):

@@ -55,3 +55,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    For intermediates read by several later steps: computed once (an RDD
+    checkpoint would compute its input twice), they survive the loss of
+    executors (the files live in shared storage, not in executor memory),
+    later plans start from the written table, and the file sizes let the
+    planner choose broadcasts by real size.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
