@@ -23,6 +23,18 @@ def write_if_absent(df: DataFrame, path: str) -> str:
     return path
 
 
+def save_table_if_absent(df: DataFrame, name: str) -> bool:
+    """Managed table created and loaded only when it does not exist yet.
+
+    Returns True when the table was written by this call.
+    """
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name):
+        return False
+    df.write.mode("ignore").saveAsTable(name)
+    return True
+
+
 def write_report(report: DataFrame, path: str) -> str:
     """One-row report as a single JSON document."""
     report.coalesce(1).write.mode("overwrite").json(path)

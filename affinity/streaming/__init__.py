@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The recommenders this library rebuilds read every source in batch; they have
+no stream source, watermark, event-time window or stateful operator, so no
+Structured Streaming operator is provided. Every operator here is a plain
+DataFrame -> DataFrame function and can be applied inside ``foreachBatch``
+of a stream if a caller wants micro-batch refreshes.
+"""

@@ -74,3 +74,13 @@ def test_report_and_documents_json(spark, inline_ratings):
     docs = [json.loads(line) for f in os.listdir(p.replace("file:", "")) if f.endswith(".json")
             for line in open(os.path.join(p.replace("file:", ""), f))]
     assert len(docs) == 1 and docs[0]["pearson_neighbours"][:2] == [5, 8]
+
+
+def test_managed_table_created_once(spark, inline_ratings):
+    import uuid
+
+    name = f"ratings_{uuid.uuid4().hex[:8]}"
+    assert sinks.save_table_if_absent(inline_ratings, name) is True
+    assert sinks.save_table_if_absent(inline_ratings.limit(1), name) is False
+    assert spark.table(name).count() == 24
+    spark.sql(f"DROP TABLE {name}")
