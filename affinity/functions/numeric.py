@@ -23,14 +23,28 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def round_half_away(x, digits: int) -> Column:
+    """Round half away from zero in double arithmetic: sign(x) * floor(|x| * 10^d + 0.5) / 10^d.
+
+    Plain arithmetic (no BigDecimal per row, unlike ``round``), and the same
+    doubles as the SQL engines that round this way. Values too large to scale
+    into a long are returned unrounded; -0.0 becomes 0.0.
+    """
+    c = _c(x)
+    p = float(10 ** digits)
+    scaled = F.abs(c) * F.lit(p)
+    r = F.signum(c) * (F.floor(scaled + F.lit(0.5)) / F.lit(p))
+    return F.when(scaled < F.lit(9.0e18), r).otherwise(c) + F.lit(0.0)
+
+
 def stable(x) -> Column:
     """Round a similarity or estimate so last-bit noise cannot reorder it."""
-    return F.round(_c(x), STABLE_DIGITS)
+    return round_half_away(x, STABLE_DIGITS)
 
 
 def out(x) -> Column:
     """Round a double for output."""
-    return F.round(_c(x), OUT_DIGITS)
+    return round_half_away(x, OUT_DIGITS)
 
 
 def safe_ratio(num, den) -> Column:
