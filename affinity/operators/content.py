@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from affinity.functions.numeric import safe_ratio, stable
 from affinity.functions.text import distinct_tokens, sentence
 from affinity.operators.skew import chunked_lists, rank_within
+from affinity.session import materialize
 
 # Fixed value: the score offset of the output documents.
 SCORE_BASE = 100
@@ -75,10 +76,24 @@ def _terms(docs: DataFrame) -> DataFrame:
     return item_words(docs).select("item", F.explode("words").alias("term"))
 
 
-def _set_terms(cands: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def member_terms(cands: DataFrame, docs: DataFrame, written: bool = True) -> DataFrame:
+    """(item, term) for every document that is in some target's document set.
+
+    Only member documents are tokenised (a semi join on the member ids), and
+    only once: the term table is read by several later steps, so it is
+    written to the shared checkpoint folder.
+    """
+    ids = document_set(cands).select("item").distinct()
+    terms = _terms(docs.join(ids, "item", "left_semi"))
+    return materialize(terms, "member_terms") if written else terms
+
+
+def _set_terms(cands: DataFrame, docs: DataFrame,
+               terms: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Document-set members with documents, their terms, and the target's terms."""
     members = document_set(cands).join(docs.select("item"), "item", "left_semi")
-    rows = members.select("target", "item").join(_terms(docs), "item")
+    terms = member_terms(cands, docs) if terms is None else terms
+    rows = members.select("target", "item").join(terms, "item")
     own = rows.where(F.col("item") == F.col("target")).select("target", "term")
     return members, rows, own
 
@@ -92,9 +107,10 @@ def tfidf_weights(cands: DataFrame, docs: DataFrame) -> DataFrame:
         "idf", F.log((F.col("m") + 1) / (F.col("df") + 1)))
 
 
-def cosine_scores(cands: DataFrame, docs: DataFrame, weighting: str = "tfidf") -> DataFrame:
+def cosine_scores(cands: DataFrame, docs: DataFrame, weighting: str = "tfidf",
+                  terms: DataFrame | None = None) -> DataFrame:
     """(target, item, cos) for candidates sharing at least one term with their target."""
-    members, rows, own = _set_terms(cands, docs)
+    members, rows, own = _set_terms(cands, docs, terms)
     shared = (rows.where(F.col("item") != F.col("target"))
               .join(own, ["target", "term"], "left_semi"))
     if weighting == "tfidf":
@@ -116,7 +132,8 @@ def cosine_scores(cands: DataFrame, docs: DataFrame, weighting: str = "tfidf") -
     return sums.select("target", "item", cos.alias("cos"))
 
 
-def rank_candidates(cands: DataFrame, docs: DataFrame, weighting: str = "tfidf") -> DataFrame:
+def rank_candidates(cands: DataFrame, docs: DataFrame, weighting: str = "tfidf",
+                    terms: DataFrame | None = None) -> DataFrame:
     """(target, item, cos, ordered, rank) per target.
 
     Candidates with a document, not the target, and not the target's sibling
@@ -127,7 +144,7 @@ def rank_candidates(cands: DataFrame, docs: DataFrame, weighting: str = "tfidf")
     pool = (cands.select("target", "item", "click", "rating")
             .join(parents, "item").join(tparent, "target")
             .where((F.col("item") != F.col("target")) & (F.col("parent") != F.col("tparent"))))
-    scored = (pool.join(cosine_scores(cands, docs, weighting), ["target", "item"], "left")
+    scored = (pool.join(cosine_scores(cands, docs, weighting, terms), ["target", "item"], "left")
               .select("target", "item",
                       stable(F.coalesce(F.col("cos"), F.lit(0.0))).alias("cos"),
                       (F.lit(SCORE_BASE) + F.col("click") * F.col("rating")).alias("ordered")))

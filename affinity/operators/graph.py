@@ -84,6 +84,8 @@ def _sources(frontier: DataFrame, rev: DataFrame, allowed: DataFrame, level: int
 def candidates(merged: DataFrame, tcat: DataFrame, brothers: DataFrame,
                max_level: int = MAX_LEVEL) -> DataFrame:
     """(target, item, rating, catalog, click, level) for every target at once."""
+    # Every level reads the same reverse adjacency plan; its shuffle is
+    # shared between the levels (exchange reuse).
     rev = reverse_adjacency_rows(merged)
     allowed = related_catalogs(tcat, brothers)
     frontier = tcat.select(F.col("item").alias("target"), F.col("item"))

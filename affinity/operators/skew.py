@@ -20,6 +20,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from affinity.session import materialize
+
 # Lehmer (MINSTD) multiplier and modulus used to spread ids over
 # chunks with integer arithmetic that any SQL engine reproduces.
 _MINSTD_MULT = 48271
@@ -122,9 +124,11 @@ def quantiles_by_index(values: DataFrame, col: str,
     index. One row out; NULL for empty input.
     """
     v = values.where(F.col(col).isNotNull())
-    hist = (v.groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"))
-            .repartitionByRange(buckets, col)
-            .withColumn("_bucket", F.spark_partition_id()))
+    # Written once: two steps read it, and the bucket of every value is then
+    # fixed in storage (not recomputed from partition ids).
+    hist = materialize(v.groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"))
+                       .repartitionByRange(buckets, col)
+                       .withColumn("_bucket", F.spark_partition_id()), "value_histogram")
     totals = hist.groupBy("_bucket").agg(F.sum("_cnt").alias("_tot"))
     offsets = totals.select(
         "_bucket",

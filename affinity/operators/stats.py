@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from affinity.functions.numeric import out
 from affinity.operators.skew import quantiles_by_index
+from affinity.session import materialize
 
 
 # -- ratings ------------------------------------------------------------------
@@ -133,7 +134,8 @@ def reverse_adjacency_rows(merged: DataFrame) -> DataFrame:
 def edge_quantiles(merged: DataFrame) -> DataFrame:
     """Median and upper quartile (by index n/2 and n/2 + n/4 of the sorted
     values) and the mean of clicks; the same quantiles of non-zero ratings."""
-    rows = reverse_adjacency_rows(merged)
+    # Three statistics read the same rows: written once.
+    rows = materialize(reverse_adjacency_rows(merged), "edge_sources")
     half = lambda n: F.floor(F.lit(n) / 2)
     upper = lambda n: F.floor(F.lit(n) / 2) + F.floor(F.lit(n) / 4)
     clicks = quantiles_by_index(rows, "click", {"click_p50": half, "click_p75": upper})
