@@ -90,11 +90,13 @@ def member_terms(cands: DataFrame, docs: DataFrame, written: bool = True) -> Dat
 
 def _set_terms(cands: DataFrame, docs: DataFrame,
                terms: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Document-set members with documents, their terms, and the target's terms."""
+    """Members with documents, (target, item, term) rows of every member, and
+    (target, term) rows of each target's own document."""
     members = document_set(cands).join(docs.select("item"), "item", "left_semi")
     terms = member_terms(cands, docs) if terms is None else terms
     rows = members.select("target", "item").join(terms, "item")
-    own = rows.where(F.col("item") == F.col("target")).select("target", "term")
+    own = (cands.select("target").distinct()
+           .join(terms.withColumnRenamed("item", "target"), "target"))
     return members, rows, own
 
 
@@ -111,6 +113,8 @@ def cosine_scores(cands: DataFrame, docs: DataFrame, weighting: str = "tfidf",
                   terms: DataFrame | None = None) -> DataFrame:
     """(target, item, cos) for candidates sharing at least one term with their target."""
     members, rows, own = _set_terms(cands, docs, terms)
+    # Candidate terms shared with the target (the target's own rows are not
+    # needed: its terms come straight from the term table).
     shared = (rows.where(F.col("item") != F.col("target"))
               .join(own, ["target", "term"], "left_semi"))
     if weighting == "tfidf":
