@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions.numeric import out, safe_ratio, significance_weight, stable
+from affinity.session import materialize
 
 # Neighbourhood size and length of the top-n list.
 NEIGHBOURS = 30
@@ -30,14 +31,26 @@ def user_stats(ratings: DataFrame) -> DataFrame:
         (F.min("rating") == F.max("rating")).alias("flat"))
 
 
-def correlations(ratings: DataFrame, target: int) -> DataFrame:
+def target_rows(ratings: DataFrame, target: int, written: bool = True) -> DataFrame:
+    """(item_id, rating) of the target, written once to the shared folder.
+
+    Several steps read it (deviations, mean, the anti join of estimates), and
+    a written table has a real size, so the planner broadcasts it when it is
+    small and shuffle-joins it when the target rated very many items.
+    """
+    rows = ratings.where(F.col("user_id") == F.lit(target)).select("item_id", "rating")
+    return materialize(rows, "target_ratings") if written else rows
+
+
+def correlations(ratings: DataFrame, target: int, mine_rows: DataFrame | None = None) -> DataFrame:
     """(user_id, mean, pc, pc_raw) for every user except ``target``; pc rounded to 12 digits."""
     stats = user_stats(ratings)
-    t = stats.where(F.col("user_id") == F.lit(target))
+    own = target_rows(ratings, target) if mine_rows is None else mine_rows
+    t = own.agg(F.avg("rating").alias("mean"),
+                (F.min("rating") == F.max("rating")).alias("flat"))
     t_mean = t.select("mean").scalar()
     t_flat = t.select("flat").scalar()
-    mine = (ratings.where(F.col("user_id") == F.lit(target))
-            .select("item_id", (F.col("rating") - t_mean).alias("dt")))
+    mine = own.select("item_id", (F.col("rating") - t_mean).alias("dt"))
     others = ratings.where(F.col("user_id") != F.lit(target))
     shared = (others.join(mine, "item_id")
               .join(stats.select("user_id", "mean"), "user_id")
@@ -55,13 +68,15 @@ def correlations(ratings: DataFrame, target: int) -> DataFrame:
             .select("user_id", "mean", stable(pc).alias("pc"), pc.alias("pc_raw")))
 
 
-def neighbours(ratings: DataFrame, target: int, k: int = NEIGHBOURS) -> DataFrame:
+def neighbours(ratings: DataFrame, target: int, k: int = NEIGHBOURS,
+               mine_rows: DataFrame | None = None) -> DataFrame:
     """Top-k users by pc DESC, user_id ASC: (rank, user_id, mean, pc, pc_raw).
 
     ORDER BY + LIMIT becomes a TakeOrderedAndProject: each task keeps its own
     top k, so only k rows per task reach the final merge.
     """
-    top = correlations(ratings, target).orderBy(F.desc("pc"), F.asc("user_id")).limit(k)
+    top = (correlations(ratings, target, mine_rows)
+           .orderBy(F.desc("pc"), F.asc("user_id")).limit(k))
     # Number the k rows in a second, bounded step (k rows in one window).
     from pyspark.sql import Window
     w = Window.orderBy(F.desc("pc"), F.asc("user_id"))
@@ -75,9 +90,10 @@ def estimates(ratings: DataFrame, target: int, k: int = NEIGHBOURS) -> DataFrame
     estimate = mean_t + sum((r - mean_u) * pc) / sum(|pc|); NULL when every
     weight is 0.
     """
-    nb = neighbours(ratings, target, k).select("user_id", "mean", "pc")
-    t_mean = ratings.where(F.col("user_id") == F.lit(target)).agg(F.avg("rating")).scalar()
-    mine = ratings.where(F.col("user_id") == F.lit(target)).select("item_id")
+    own = target_rows(ratings, target)
+    nb = neighbours(ratings, target, k, own).select("user_id", "mean", "pc")
+    t_mean = own.agg(F.avg("rating")).scalar()
+    mine = own.select("item_id")
     # nb holds at most k rows: a broadcast of proven size.
     marks = (ratings.join(F.broadcast(nb), "user_id")
              .join(mine, "item_id", "left_anti")
