@@ -155,11 +155,14 @@ def rank_within(df: DataFrame, group: str, order: Sequence[Column],
     bounds - so a big group spans many ordered partitions; each row gets its
     row number inside its (group, partition) slice plus the row count of the
     group's earlier partitions (a window over at most ``partitions`` rows per
-    group).
+    group). The slice assignment is written once to the shared folder.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = (df.repartitionByRange(n, F.col(group), *order)
-             .withColumn("_pid", F.spark_partition_id()))
+    # The slice id is written with the rows: both reads below (row numbers and
+    # slice counts) then see the same assignment, whether or not the range
+    # shuffle is reused or re-sampled.
+    keyed = materialize(df.repartitionByRange(n, F.col(group), *order)
+                        .withColumn("_pid", F.spark_partition_id()), "ranked_slices")
     local = Window.partitionBy(group, "_pid").orderBy(*order)
     counts = keyed.groupBy(group, "_pid").agg(F.count(F.lit(1)).alias("_k"))
     before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
