@@ -292,13 +292,16 @@ oracle("catalogs_load", ("catalogs",), "SELECT item, catalog FROM catalogs")
 oracle("catalog_brothers", ("brothers",), """
 SELECT catalog, string_agg(brother, ',' ORDER BY brother) AS brothers
 FROM brothers GROUP BY catalog""")
-oracle("edges_merged", ("merged",), "SELECT * FROM merged")
+_MERGED_OUT = ("item1, CAST(catalog1 AS DOUBLE) AS catalog1, rating1, "
+               "item2, CAST(catalog2 AS DOUBLE) AS catalog2, rating2, click")
+oracle("edges_merged", ("merged",), f"SELECT {_MERGED_OUT} FROM merged")
 oracle("edges_distinct", ("merged",), "SELECT DISTINCT item1, item2 FROM merged")
 oracle("edges_missing_catalog", ("merged",),
-       "SELECT * FROM merged WHERE catalog1 IS NULL OR catalog2 IS NULL")
+       f"SELECT {_MERGED_OUT} FROM merged WHERE catalog1 IS NULL OR catalog2 IS NULL")
 oracle("edges_missing_catalog_count", ("merged",),
        "SELECT count(*) AS n_edges FROM merged WHERE catalog1 IS NULL OR catalog2 IS NULL")
-oracle("edges_touching_item", ("merged",), "SELECT * FROM merged WHERE item1 = 7 OR item2 = 7")
+oracle("edges_touching_item", ("merged",),
+       f"SELECT {_MERGED_OUT} FROM merged WHERE item1 = 7 OR item2 = 7")
 
 
 def _profile(c: str) -> str:

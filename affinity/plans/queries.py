@@ -191,9 +191,17 @@ def q_catalog_brothers(spark, d):
 
 # -- click graph: merge, inspection, adjacency -------------------------------------------
 
+def _comparable(merged):
+    """Catalogs are nullable integers; in pandas, Spark turns them into float64
+    and DuckDB into nullable Int32. Both sides emit them as DOUBLE so any
+    comparison sees the same values and dtypes (the operators keep INT)."""
+    return merged.withColumn("catalog1", F.col("catalog1").cast("double")).withColumn(
+        "catalog2", F.col("catalog2").cast("double"))
+
+
 @query("edges_merged")
 def q_edges_merged(spark, d):
-    return _merged(spark, d)
+    return _comparable(_merged(spark, d))
 
 
 @query("edges_distinct")
@@ -203,7 +211,7 @@ def q_edges_distinct(spark, d):
 
 @query("edges_missing_catalog")
 def q_edges_missing_catalog(spark, d):
-    return stats.missing_catalog(_merged(spark, d))
+    return _comparable(stats.missing_catalog(_merged(spark, d)))
 
 
 @query("edges_missing_catalog_count")
@@ -213,7 +221,7 @@ def q_edges_missing_catalog_count(spark, d):
 
 @query("edges_touching_item")
 def q_edges_touching_item(spark, d):
-    return stats.edges_touching(_merged(spark, d), LOOKUP_ITEM)
+    return _comparable(stats.edges_touching(_merged(spark, d), LOOKUP_ITEM))
 
 
 @query("edge_profile")
