@@ -56,12 +56,20 @@ def write_ratings_tsv(ratings: DataFrame, path: str, header: bool = False) -> st
     return path
 
 
-def write_train_json(edges: DataFrame, path: str, extra_empty_item: bool = True) -> str:
-    """edges -> {"item": "i", "true_recoms": {"j": click}} per source item."""
-    nested = edges.groupBy("item1").agg(
-        F.map_from_entries(F.collect_list(F.struct(
-            F.col("item2").cast("string"), F.col("click").cast("int")))).alias("true_recoms"))
-    nested = nested.select(F.col("item1").cast("string").alias("item"), "true_recoms")
+def write_train_json(edges: DataFrame, path: str, extra_empty_item: bool = True,
+                     chunk_size: int = 4096) -> str:
+    """edges -> {"item": "i", "true_recoms": {"j": click}} lines.
+
+    A source item with very many edges is written as several lines of about
+    ``chunk_size`` entries (the reader takes the union of an item's lines), so
+    no single map holds a hot item whole.
+    """
+    from affinity.operators.skew import chunked_lists
+
+    entry = F.struct(F.col("item2").cast("string").alias("k"), F.col("click").cast("int").alias("v"))
+    lists = chunked_lists(edges, "item1", "item2", entry, chunk_size, out="entries")
+    nested = lists.select(F.col("item1").cast("string").alias("item"),
+                          F.map_from_entries("entries").alias("true_recoms"))
     if extra_empty_item:
         spark = edges.sparkSession
         empty = spark.createDataFrame([("", {"9": 1})], "item string, true_recoms map<string,int>")

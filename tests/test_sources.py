@@ -84,3 +84,15 @@ def test_managed_table_created_once(spark, inline_ratings):
     assert sinks.save_table_if_absent(inline_ratings.limit(1), name) is False
     assert spark.table(name).count() == 24
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_train_json_chunks_hot_items(spark):
+    from affinity.session import scratch_path
+
+    edges = spark.createDataFrame([(1, j, j % 7 + 1) for j in range(2, 60)] + [(2, 1, 4)],
+                                  "item1 long, item2 long, click long")
+    p = sinks.write_train_json(edges, scratch_path(spark, "train_chunks"), chunk_size=10)
+    raw = spark.read.json(p)
+    assert raw.where("item = '1'").count() > 1          # item 1 split over several lines
+    got = sorted(tuple(r) for r in readers.read_train_edges(spark, p).collect())
+    assert got == sorted(tuple(r) for r in edges.collect())
