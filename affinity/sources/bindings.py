@@ -69,7 +69,12 @@ def catalogs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def brothers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(catalog, brothers ARRAY<INT>): all catalogs with the same type position."""
+    """(catalog, brothers ARRAY<INT>): all catalogs with the same type position.
+
+    The catalog taxonomy is a dimension (its size does not grow with the
+    click or rating volume), and the source format is one array per catalog,
+    so the family list is collected per family.
+    """
     c = catalogs(spark, sf_dir).select("catalog").distinct()
     fam = F.pmod("catalog", F.lit(10))
     members = c.groupBy(fam.alias("fam")).agg(F.collect_set("catalog").alias("brothers"))
