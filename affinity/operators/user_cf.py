@@ -13,7 +13,7 @@ a left join from the user list.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions.numeric import out, safe_ratio, significance_weight, stable
@@ -78,7 +78,6 @@ def neighbours(ratings: DataFrame, target: int, k: int = NEIGHBOURS,
     top = (correlations(ratings, target, mine_rows)
            .orderBy(F.desc("pc"), F.asc("user_id")).limit(k))
     # Number the k rows in a second, bounded step (k rows in one window).
-    from pyspark.sql import Window
     w = Window.orderBy(F.desc("pc"), F.asc("user_id"))
     return top.select(F.row_number().over(w).cast("bigint").alias("rank"), "user_id", "mean",
                       "pc", "pc_raw")
@@ -105,7 +104,6 @@ def estimates(ratings: DataFrame, target: int, k: int = NEIGHBOURS) -> DataFrame
 
 def top_n(est: DataFrame, n: int = TOP_N, id_col: str = "item_id") -> DataFrame:
     """(rank, item_id, estimate): best non-NULL estimates, ties by id."""
-    from pyspark.sql import Window
     keep = est.where(F.col("estimate").isNotNull()).withColumn("_o", stable("estimate"))
     top = keep.orderBy(F.desc("_o"), F.asc(id_col)).limit(n)
     w = Window.orderBy(F.desc("_o"), F.asc(id_col))

@@ -1,7 +1,6 @@
 """Golden values on the 24-row inline table, target user 3 (FIXTURES C1)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from affinity.operators import baseline as bl
 from affinity.operators import item_cf, report, stats, user_cf
@@ -85,4 +84,3 @@ def test_no_python_udf_in_plans(inline_ratings):
         assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
     anti = stats.unwatched_items(inline_ratings, TARGET)
     assert "LeftAnti" in anti._jdf.queryExecution().executedPlan().toString()
-    assert F is not None
