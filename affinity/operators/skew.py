@@ -48,8 +48,8 @@ def salted_pairs(rows: DataFrame, group: str, member: str, payload: Sequence[str
     suffix ``_1`` / ``_2``. With ``unordered`` each unordered pair comes once
     (member_1 < member_2).
 
-    Groups of at most ``block`` members take a plain self-join on the group
-    (one shuffle, read by both sides). A bigger group is cut into
+    Groups of at most ``block`` members take a plain self-join on the group.
+    A bigger group is cut into
     ceil(n / block) hash blocks and each block pair (b1, b2) is its own join
     key, so its n**2 pairs are spread over ceil(n / block)**2 tasks instead of
     one.
