@@ -84,3 +84,10 @@ def test_no_python_udf_in_plans(inline_ratings):
         assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
     anti = stats.unwatched_items(inline_ratings, TARGET)
     assert "LeftAnti" in anti._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unknown_target_gives_empty_predictions(inline_ratings):
+    pc = rows_to_dict(user_cf.correlations(inline_ratings, 99), "user_id", "pc")
+    assert set(pc) == set(range(1, 10)) and set(pc.values()) == {0.0}
+    assert user_cf.top_n(user_cf.estimates(inline_ratings, 99)).count() == 0
+    assert item_cf.item_estimates(inline_ratings, 99).count() == 0
