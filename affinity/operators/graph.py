@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from affinity.operators.skew import chunked_lists
 from affinity.operators.stats import reverse_adjacency_rows
+from affinity.session import materialize
 
 # Fixed value: depth of the candidate search.
 MAX_LEVEL = 2
@@ -37,7 +38,9 @@ def merge_edges(edges: DataFrame, catalogs: DataFrame, item_ratings: DataFrame)
     goes through two left joins instead of four (each a broadcast when the
     item table is small, by the planner's size check).
     """
-    attrs = item_attributes(catalogs, item_ratings)
+    # Read twice (both ends): written once; its real size then lets the
+    # planner broadcast it when small.
+    attrs = materialize(item_attributes(catalogs, item_ratings), "item_attributes")
     a1 = attrs.select(F.col("item").alias("item1"), F.col("catalog").alias("catalog1"),
                       F.col("rating").alias("rating1"))
     a2 = attrs.select(F.col("item").alias("item2"), F.col("catalog").alias("catalog2"),
@@ -84,9 +87,9 @@ def _sources(frontier: DataFrame, rev: DataFrame, allowed: DataFrame, level: int
 def candidates(merged: DataFrame, tcat: DataFrame, brothers: DataFrame,
                max_level: int = MAX_LEVEL) -> DataFrame:
     """(target, item, rating, catalog, click, level) for every target at once."""
-    # Every level reads the same reverse adjacency plan; its shuffle is
-    # shared between the levels (exchange reuse).
-    rev = reverse_adjacency_rows(merged)
+    # Every level reads the reverse adjacency: written once (the persisted
+    # lookup of the source), read by all levels.
+    rev = materialize(reverse_adjacency_rows(merged), "reverse_adjacency")
     allowed = related_catalogs(tcat, brothers)
     frontier = tcat.select(F.col("item").alias("target"), F.col("item"))
     found = None

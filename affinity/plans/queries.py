@@ -4,10 +4,10 @@ Each callable takes (spark, sf_dir) and returns a DataFrame over whole tables.
 Outputs are shaped for comparison with the SQL oracle: doubles rounded to 6
 digits, ranks as BIGINT, nested values as strings.
 
-The ratings binding stays lazy: its consumers within one plan share the
-shuffle of its aggregate. Tables read by several later steps that do not
-share a plan (candidates, member terms, residuals) are written once by the
-operators or here.
+Spark does not share one computation of a subtree between consumers that
+prune it differently (the executed plans show no exchange reuse), so a
+binding read by several steps of one query is written once (``_written``);
+single-consumer queries read the binding lazily.
 """
 
 from __future__ import annotations
@@ -33,6 +33,11 @@ TARGET_USER = b.TARGET_USER
 LOOKUP_ITEM = b.LOOKUP_ITEM
 
 
+def _written(spark, d):
+    """The ratings binding written once, for queries with several consumers."""
+    return materialize(b.ratings(spark, d), "ratings")
+
+
 def query(name: str):
     def deco(fn: Query) -> Query:
         REGISTRY[name] = fn
@@ -75,7 +80,7 @@ def q_unwatched_items(spark, d):
 
 @query("user_rating_maps")
 def q_user_rating_maps(spark, d):
-    r = b.ratings(spark, d)
+    r = _written(spark, d)
     lists = chunked_lists(r, "user_id", "item_id",
                           F.struct(F.col("item_id"), F.col("rating")), out="entries")
     text = F.array_join(F.transform(
@@ -88,74 +93,74 @@ def q_user_rating_maps(spark, d):
 
 @query("user_baseline")
 def q_user_baseline(spark, d):
-    return bl.user_offsets(b.ratings(spark, d))
+    return bl.user_offsets(_written(spark, d))
 
 
 @query("item_baseline")
 def q_item_baseline(spark, d):
-    return bl.item_offsets(b.ratings(spark, d))
+    return bl.item_offsets(_written(spark, d))
 
 
 @query("baseline_grid")
 def q_baseline_grid(spark, d):
-    return bl.baseline_row(b.ratings(spark, d), TARGET_USER)
+    return bl.baseline_row(_written(spark, d), TARGET_USER)
 
 
 @query("residuals_dense")
 def q_residuals_dense(spark, d):
-    return bl.residual_table(b.ratings(spark, d))
+    return bl.residual_table(_written(spark, d))
 
 
 # -- user CF ----------------------------------------------------------------------
 
 @query("pearson_neighbours")
 def q_pearson_neighbours(spark, d):
-    nb = user_cf.neighbours(b.ratings(spark, d), TARGET_USER)
+    nb = user_cf.neighbours(_written(spark, d), TARGET_USER)
     return nb.select("rank", "user_id", out("pc_raw").alias("pc"))
 
 
 @query("user_cf_estimates")
 def q_user_cf_estimates(spark, d):
-    est = user_cf.estimates(b.ratings(spark, d), TARGET_USER)
+    est = user_cf.estimates(_written(spark, d), TARGET_USER)
     return est.select("item_id", out("estimate").alias("estimate"))
 
 
 @query("user_cf_top10")
 def q_user_cf_top10(spark, d):
-    return user_cf.top_n(user_cf.estimates(b.ratings(spark, d), TARGET_USER))
+    return user_cf.top_n(user_cf.estimates(_written(spark, d), TARGET_USER))
 
 
 # -- item CF ----------------------------------------------------------------------
 
 @query("item_similarity")
 def q_item_similarity(spark, d):
-    return item_cf.item_similarity(b.ratings(spark, d), TARGET_USER)
+    return item_cf.item_similarity(_written(spark, d), TARGET_USER)
 
 
 @query("item_topk")
 def q_item_topk(spark, d):
-    return item_cf.item_topk(b.ratings(spark, d), TARGET_USER)
+    return item_cf.item_topk(_written(spark, d), TARGET_USER)
 
 
 @query("item_cf_estimates")
 def q_item_cf_estimates(spark, d):
-    est = item_cf.item_estimates(b.ratings(spark, d), TARGET_USER)
+    est = item_cf.item_estimates(_written(spark, d), TARGET_USER)
     return est.select("item_id", out("estimate").alias("estimate"))
 
 
 @query("item_cf_top10")
 def q_item_cf_top10(spark, d):
-    return item_cf.item_top_n(b.ratings(spark, d), TARGET_USER)
+    return item_cf.item_top_n(_written(spark, d), TARGET_USER)
 
 
 @query("item_cf_top10_positive")
 def q_item_cf_top10_positive(spark, d):
-    return item_cf.item_top_n(b.ratings(spark, d), TARGET_USER, positive_only=True)
+    return item_cf.item_top_n(_written(spark, d), TARGET_USER, positive_only=True)
 
 
 @query("cf_report")
 def q_cf_report(spark, d):
-    rep = report.cf_report(b.ratings(spark, d), TARGET_USER)
+    rep = report.cf_report(_written(spark, d), TARGET_USER)
     lists = ["pearson_neighbours", "pearson_top10", "predicators_top10",
              "predicators_positive_top10"]
     return rep.select(*[joined_in_order(c).alias(c) if c in lists else F.col(c)
