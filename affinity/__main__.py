@@ -1,11 +1,10 @@
 """Command line: run a job with the session the launcher provides.
 
-    spark-submit -m affinity report   --ratings u.data --target 201 --out out/report
-    spark-submit -m affinity ingest   --train t/ --catalogs c/ --item-ratings r/ \\
-                                      --catalog-path p/ --items items/ --out out/graph
-    spark-submit -m affinity recommend --merged out/graph/merged --catalogs c/ \\
-                                      --brothers out/graph/catalog_brothers --items items/ \\
-                                      --test-items test/ --out out/rec
+    spark-submit affinity/__main__.py report --ratings u.data --target 201 --out out/report
+    spark-submit affinity/__main__.py ingest --train t/ --catalogs c/ --item-ratings r/ \\
+        --catalog-path p/ --items items/ --out out/graph
+    spark-submit affinity/__main__.py recommend --merged out/graph/merged --catalogs c/ \\
+        --brothers out/graph/catalog_brothers --items items/ --test-items test/ --out out/rec
 
 (or ``python -m affinity ...`` for a local run). Paths are read and written
 as given; use shared storage on a cluster.
