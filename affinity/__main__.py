@@ -6,8 +6,9 @@
     spark-submit affinity/__main__.py recommend --merged out/graph/merged --catalogs c/ \\
         --brothers out/graph/catalog_brothers --items items/ --test-items test/ --out out/rec
 
-(or ``python -m affinity ...`` for a local run). Paths are read and written
-as given; use shared storage on a cluster.
+with the package importable (``PYTHONPATH`` locally, ``--py-files`` on a
+cluster), or ``python -m affinity ...`` for a local run. Paths are read and
+written as given; use shared storage on a cluster.
 """
 
 from __future__ import annotations
