@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from affinity.functions.numeric import half_down
 from affinity.operators import item_cf, stats, user_cf
+from affinity.session import materialize
 
 
 def _ids_in_order(ranked: DataFrame, id_col: str):
@@ -23,8 +24,10 @@ def cf_report(ratings: DataFrame, target: int, k: int = user_cf.NEIGHBOURS,
     """average_user_ratings, average_film_ratings, completeness, average_rating,
     pearson_neighbours, pearson_top10, predicators_top10, predicators_positive_top10."""
     dens = stats.density(ratings)
-    neighbours = user_cf.neighbours(ratings, target, k)
-    user_top = user_cf.top_n(user_cf.estimates(ratings, target, k), n)
+    # The neighbour list feeds the report and the estimates: written once (k rows).
+    own = user_cf.target_rows(ratings, target)
+    neighbours = materialize(user_cf.neighbours(ratings, target, k, own), "neighbours")
+    user_top = user_cf.top_n(user_cf.estimates(ratings, target, k, nb=neighbours, mine_rows=own), n)
     im, kept = item_cf.kept_pairs(ratings, target, k)
     est = item_cf.estimates_from(im, kept, target)
     est_pos = item_cf.estimates_from(im, kept, target, positive_only=True)

@@ -83,14 +83,16 @@ def neighbours(ratings: DataFrame, target: int, k: int = NEIGHBOURS,
                       "pc", "pc_raw")
 
 
-def estimates(ratings: DataFrame, target: int, k: int = NEIGHBOURS) -> DataFrame:
+def estimates(ratings: DataFrame, target: int, k: int = NEIGHBOURS,
+              nb: DataFrame | None = None, mine_rows: DataFrame | None = None) -> DataFrame:
     """(item_id, estimate) for items the neighbours rated and the target did not.
 
     estimate = mean_t + sum((r - mean_u) * pc) / sum(|pc|); NULL when every
-    weight is 0.
+    weight is 0. ``nb`` (from ``neighbours``) and ``mine_rows`` (from
+    ``target_rows``) may be passed in when the caller already has them.
     """
-    own = target_rows(ratings, target)
-    nb = neighbours(ratings, target, k, own).select("user_id", "mean", "pc")
+    own = target_rows(ratings, target) if mine_rows is None else mine_rows
+    nb = (neighbours(ratings, target, k, own) if nb is None else nb).select("user_id", "mean", "pc")
     t_mean = own.agg(F.avg("rating")).scalar()
     mine = own.select("item_id")
     # nb holds at most k rows: a broadcast of proven size.
