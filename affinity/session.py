@@ -38,7 +38,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the shared checkpoint folder, setting one only when none is set.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; that value
-    wins. Only when nothing is configured (unit tests) a local folder is used.
+    wins. Only a local session (tests, the bench) without one falls back to a
+    local folder; a cluster session without one is an error, because a
+    machine-local folder is not shared by the executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
+    if not configured and not fallback and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: written "
+                           "intermediates must be readable by every executor")
     target = configured or fallback or os.path.join("/tmp", f"affinity-ckpt-{os.getpid()}")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
