@@ -96,3 +96,11 @@ def test_train_json_chunks_hot_items(spark):
     assert raw.where("item = '1'").count() > 1          # item 1 split over several lines
     got = sorted(tuple(r) for r in readers.read_train_edges(spark, p).collect())
     assert got == sorted(tuple(r) for r in edges.collect())
+
+
+def test_configured_checkpoint_folder_is_kept(spark):
+    from affinity.session import ensure_checkpoint_dir, scratch_path
+
+    current = spark.sparkContext.getCheckpointDir()
+    assert ensure_checkpoint_dir(spark, fallback="/tmp/somewhere-else") == current
+    assert scratch_path(spark, "x").startswith(current.rstrip("/") + "/tables/x-")
