@@ -102,3 +102,18 @@ def test_adjacency(spark):
     inn = {r["item2"]: r["sources"] for r in graph.adjacency_in(merged).collect()}
     assert [s["id"] for s in inn[1]] == [2, 3, 7]
     assert inn[1][0]["rating"] == 4.0 and inn[1][2]["catalog"] == 99
+
+
+def test_candidates_deeper_levels(spark):
+    # Chain 4 -> 3 -> 2 -> 1 (target 1), plus a shortcut 4 -> 2: item 4 is level 2, not 3.
+    edges = spark.createDataFrame([(2, 1, 1), (3, 2, 2), (4, 3, 3), (4, 2, 9), (5, 4, 4)],
+                                  "item1 long, item2 long, click long")
+    catalogs = spark.createDataFrame([(i, 11) for i in range(1, 6)], "item long, catalog int")
+    ratings = spark.createDataFrame([(1, 1.0)], "itemid long, rating double")
+    brothers = spark.createDataFrame([(11, [11])], "catalog int, brothers array<int>")
+    merged = graph.merge_edges(edges, catalogs, ratings)
+    tcat = graph.target_catalogs(spark.createDataFrame([(1,)], "item long"), catalogs)
+    got = {r["item"]: (r["level"], r["click"]) for r in
+           graph.candidates(merged, tcat, brothers, max_level=4).collect()}
+    assert got == {2: (1, 1), 3: (2, 2), 4: (2, 9), 5: (3, 4)}
+    assert {r["item"] for r in graph.candidates(merged, tcat, brothers, max_level=2).collect()} == {2, 3, 4}
