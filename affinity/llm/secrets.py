@@ -4,7 +4,7 @@ Besides the spans of the three patterns, runs of identifier characters are
 scored by the log-likelihood ratio of two first-order character models, one of
 random strings, one of ordinary identifiers, both counted from labelled
 samples.  The samples are the corpus' own: what the patterns match is random,
-letter-only runs are ordinary.
+letter-only and digit-only runs (words, numbers) are ordinary.
 """
 
 from __future__ import annotations
@@ -20,9 +20,9 @@ from affinity.llm.common import written
 ASSIGN = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
-#: Candidates of the models: runs of identifier characters, and runs of letters as ordinary samples.
+#: Candidates of the models: runs of identifier characters; ordinary samples: runs of letters or of digits.
 RUN = r"[A-Za-z0-9+/_-]{16,}"
-ORDINARY = r"[A-Za-z]{10,}"
+ORDINARY = r"\b(?:[A-Za-z]{10,}|[0-9]{8,})\b"
 KINDS = ("assign", "access", "hex", "markov")
 MIN_ASSIGN = 8
 #: A run is a secret if it is so much likelier (natural log) as a random string.
@@ -111,7 +111,7 @@ def _placed(found: DataFrame) -> DataFrame:
 
 
 def corpus_samples(docs: DataFrame, base: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """Labelled samples: pattern matches (random) and letter-only runs (ordinary), over all texts."""
+    """Labelled samples: pattern matches (random) and letter- or digit-only runs (ordinary), over all texts."""
     ordinary = docs.select(F.explode(_find(F.coalesce(F.col(text_col), F.lit("")), ORDINARY)).alias("text"),
                            F.lit(False).alias("is_random"))
     return base.where(F.col("kind") < 3).select("text", F.lit(True).alias("is_random")).unionAll(ordinary)
