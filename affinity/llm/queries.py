@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.llm import decontam, mixing, secrets, warc
+from affinity.llm import (
+    decontam,
+    kneser_ney,
+    mixing,
+    near_dup,
+    quality,
+    secrets,
+    token_counts,
+    token_file,
+    toxicity,
+    warc,
+)
+from affinity.llm.common import remainder, shared_folder
 from affinity.session import scratch_path
 
+#: Folder of the public tokenizers' files, the same on every machine.
+TOKENIZERS = os.environ.get("AFFINITY_TOKENIZERS", "/opt/tokenizers")
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,11 +38,29 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document; learned from those whose remainder by 5 is not 0."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    index = toxicity.train(docs, labels.where(~held_out))
+    return toxicity.score(docs, index).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted", F.get("evidence", F.lit(0)).alias("nearest"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document and benchmark item that overlap."""
     return decontam.find_overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document; learned from those whose remainder by 7 is not 2."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder("doc_id", 7) == 2, F.lit(False))
+    model = kneser_ney.train(docs.where(~held_out))
+    return kneser_ney.score(docs, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+                                                "train_tokens", "base_score", "score")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document, in training order of the first time the mix takes it."""
     rows = mixing.plan(_table(spark, sf_dir, "documents"))
@@ -34,16 +69,50 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.range_sort(rows, "first_position", "doc_id")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with its words and tokens."""
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with its base figures and verdict."""
+    docs = _table(spark, sf_dir, "documents")
+    field = quality.train(docs, _table(spark, sf_dir, "labels"))
+    return quality.assess(docs, field)
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document with the spans of its secrets."""
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with its component; sets of two-word shingles."""
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), width=2)
+
+
+def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document, read back from the files."""
+    return encode(spark, _table(spark, sf_dir, "documents"))
+
+
+def encode(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Write documents to token files in a new shared folder and read them back."""
+    files = token_file.write_token_files(docs, shared_folder(spark, "tokens"), f"{TOKENIZERS}/word_bpe_49k.json")
+    return token_file.read_token_files(spark, files)
+
+
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
+    "op4_kneser_ney": op4_kneser_ney,
     "op5_mixing": op5_mixing,
+    "op6_token_counts": op6_token_counts,
+    "op7_quality": op7_quality,
     "op8_secrets": op8_secrets,
+    "op9_near_duplicates": op9_near_duplicates,
+    "op10_token_file": op10_token_file,
 }
 
 _OP1 = """
