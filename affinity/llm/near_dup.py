@@ -6,10 +6,15 @@ k for coordinate k.  Bands of coordinates give candidate buckets, exact Jaccard
 similarity of the full shingle sets confirms links, and documents linked by a
 chain form a component.
 
-Documents with equal sets are one node, so copies cost nothing.  A bucket first
-links every node to its leader; after components are merged, only nodes of
-different components that still share a bucket are compared.  So no link
-between components is missed, and large groups do not pair all with all.
+Documents with equal sets are one node, so copies cost nothing.  A bucket
+compares its nodes with one leader only.  Two nodes of a bucket that are both
+linked to the leader are in one component already; any other pair is found by
+its edits, that is by what tells its sets from the leader's.  If one of the two
+is not linked to the leader, a link between them takes more shared edits than
+pairs that changed the leader by themselves have: the prefixes of both edit
+lists (added shingles first) must meet, and only pairs whose prefixes do are
+compared.  So no link of a bucket is missed, and a large group of near copies
+does not pair all with all.
 """
 
 from __future__ import annotations
@@ -127,18 +132,74 @@ def _sets(df: DataFrame, width: int) -> DataFrame:
     return map_slices(df, run, "node binary, members array<long>")
 
 
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) with their sets ma and mb."""
+    left = sets.select(F.col("uid").alias("a"), F.col("members").alias("ma"))
+    right = sets.select(F.col("uid").alias("b"), F.col("members").alias("mb"))
+    return pairs.join(left, "a").join(right, "b")
+
+
+def _similar(differ: Column, sizes: Column, percent: int) -> Column:
+    """Whether sets of so many members in sum, so many of them in one only, share ``percent`` of their union."""
+    return differ * (100 + percent) <= sizes * (100 - percent)
+
+
+def _compare_with_leader(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, n, differ, linked, edits, probe, index): nodes against their leader b.
+
+    A link of a and another node y of b's star, one of them not linked to b,
+    takes at least (differ_a + differ_y - limit) / 2 shared edits, limit being
+    the most that similar sets of their sizes differ by.  ``probe`` is the
+    prefix of a's edits that must meet y's if a is not linked, ``index`` the one
+    that must meet those of any y that is not.
+    """
+    rows = _with_sets(stars, sets).select(
+        "a", "b", F.size("ma").alias("n"), F.size("mb").alias("nb"),
+        F.array_sort(F.array_except("ma", "mb")).alias("added"), F.array_sort(F.array_except("mb", "ma")).alias("gone"))
+    rows = rows.select("a", "b", "n", "nb", F.concat("added", "gone").alias("edits"))
+    rows = rows.withColumn("differ", F.size("edits"))
+    rows = rows.withColumn("linked", _similar(F.col("differ"), F.col("n") + F.col("nb"), percent))
+    keep, both = 100 - percent, 100 + percent
+    probe = F.expr(f"if(linked, 0, differ - greatest(1, differ - cast(floor(n * {keep} / {percent}) as int)) + 1)")
+    index = F.expr(f"differ - greatest(1, cast(ceil((differ * {both} + (nb - n) * {keep}) / {2 * both}) as int)) + 1")
+    rows = rows.withColumn("probe", probe).withColumn("index", F.greatest(F.lit(0), index))
+    return rows.select("a", "b", "n", "differ", "linked", "probe", "index",
+                       F.slice("edits", 1, F.greatest("probe", "index")).alias("edits"))
+
+
+def _between_edits(compared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components, around one leader, whose edits' prefixes meet."""
+    rows = compared.join(roots.select(F.col("uid").alias("a"), "root"), "a", "left").withColumn(
+        "root", F.coalesce("root", "a"))
+    # Leaders whose star, the leader included, is one component already have no pair to find.
+    lead = roots.select(F.col("uid").alias("b"), F.col("root").alias("own"))
+    mixed = rows.groupBy("b").agg(F.min("root").alias("low"), F.max("root").alias("high")).join(lead, "b", "left")
+    own = F.coalesce("own", "b")
+    mixed = mixed.where((F.col("low") != own) | (F.col("high") != own)).select("b")
+    rows = written(rows.join(mixed, "b", "left_semi").where("probe > 0 or index > 0"), "mixed")
+
+    def exploded(length: str) -> DataFrame:
+        return rows.where(F.col(length) > 0).select(
+            "a", "b", "n", "differ", "root", F.explode(F.slice("edits", 1, F.col(length))).alias("e")).select(
+                F.xxhash64("b", "e").alias("g"), "a", "n", "differ", "root")
+
+    x, y = exploded("probe").alias("x"), exploded("index").alias("y")
+    sizes = F.col("x.n") + F.col("y.n")
+    found = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.root") != F.col("y.root"))
+                   & _close(F.col("x.n"), F.col("y.n"), percent)
+                   & _similar(F.abs(F.col("x.differ") - F.col("y.differ")), sizes, percent))
+    return found.select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b")).distinct()
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of (a, b) whose full sets are similar enough."""
-    left = sets.select(F.col("node").alias("a"), F.col("members").alias("ma"))
-    right = sets.select(F.col("node").alias("b"), F.col("members").alias("mb"))
-    rows = pairs.join(left, "a").join(right, "b")
-    both = F.size(F.array_intersect("ma", "mb"))
-    rows = rows.select("a", "b", both.alias("both"), (F.size("ma") + F.size("mb")).alias("all"))
-    return rows.where(F.col("both") * 100 >= (F.col("all") - F.col("both")) * percent).select("a", "b")
+    rows = _with_sets(pairs, sets)
+    sizes = F.size("ma") + F.size("mb")
+    return rows.where(_similar(sizes - 2 * F.size(F.array_intersect("ma", "mb")), sizes, percent)).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root): the smallest node that each node of the edges (a, b) reaches.
+    """(uid, root): the smallest node that each node of the edges (a, b) reaches.
 
     Alternating steps link each node's larger and smaller neighbours to its
     smallest one until nothing changes; only two sums reach the driver a round.
@@ -160,8 +221,8 @@ def components(edges: DataFrame) -> DataFrame:
         if now == state:
             break
         state = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    return edges.select(F.col("u").alias("uid"), F.col("v").alias("root")).unionAll(
+        edges.select(F.col("v").alias("uid"), F.col("v").alias("root")).distinct())
 
 
 def _close(n: Column, m: Column, percent: int) -> Column:
@@ -183,41 +244,33 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     signed = written(_signed(texts, width, bands, rows), "signatures")
-    nodes = written(signed.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "nodes")
-    buckets = nodes.select("node", "n", "first", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min(F.struct("n", "node")).alias("leader"),
-                                           F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = written(buckets.join(shared.select("bucket", "leader"), "bucket"), "buckets")
-
-    live = written(members.select("node", "first").distinct(), "live")
+    nodes = signed.where("node is not null").groupBy("node").agg(
+        F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
+    nodes = written(nodes.withColumn("uid", F.monotonically_increasing_id()), "nodes")
+
+    buckets = nodes.select("uid", F.explode("bands").alias("bucket"))
+    leaders = buckets.groupBy("bucket").agg(F.min("uid").alias("leader"), F.max("uid").alias("last"))
+    leaders = leaders.where("leader != last").select("bucket", "leader")
+    stars = written(buckets.join(leaders, "bucket").where("uid != leader")
+                    .select(F.col("uid").alias("a"), F.col("leader").alias("b")).distinct(), "stars")
+
+    live = stars.select(F.col("a").alias("uid")).unionAll(stars.select(F.col("b").alias("uid"))).distinct()
+    live = written(nodes.select("uid", "node", "first").join(live, "uid", "left_semi"), "live")
     ids = live.select(F.col("first").alias("live_id")).distinct()
-    if ids.limit(broadcast_nodes + 1).count() <= broadcast_nodes:
+    if live.limit(broadcast_nodes + 1).count() <= broadcast_nodes:
         ids = F.broadcast(ids)
     some = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("live_id")), "left_semi").select("text")
-    sets = written(_sets(some, width).dropDuplicates(["node"]).join(live.select("node"), "node", "left_semi"), "sets")
+    sets = _sets(some, width).join(live.select("node", "uid"), "node").select("uid", "members")
+    sets = written(sets.dropDuplicates(["uid"]), "sets")
 
-    stars = written(members.where((F.col("node") != F.col("leader.node"))
-                                  & _close(F.col("n"), F.col("leader.n"), percent))
-                    .select(F.col("node").alias("a"), F.col("leader.node").alias("b")).distinct(), "stars")
-    links = written(_confirm(stars, sets, percent), "star-links")
+    compared = written(_compare_with_leader(stars, sets, percent), "compared")
+    links = compared.where("linked").select("a", "b")
     roots = written(components(links), "roots")
-
-    placed = members.select("bucket", "node", "n").join(roots, "node", "left").select(
-        "bucket", "node", "n", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-    placed = written(placed.join(mixed.select("bucket"), "bucket", "left_semi"), "mixed")
-    x, y = placed.alias("x"), placed.alias("y")
-    cross = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") < F.col("y.root"))
-                   & _close(F.col("x.n"), F.col("y.n"), percent))
-    cross = cross.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    done = stars.unionAll(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = _confirm(cross.join(done, ["a", "b"], "left_anti"), sets, percent)
-    # Components of the first step are edges to their roots here.
+    more = _confirm(_between_edits(compared, roots, percent), sets, percent)
     merged = components(links.unionAll(more))
 
-    groups = nodes.select("node", "first").join(merged, "node", "left").select(
-        "node", "first", F.coalesce("root", "node").alias("root"))
+    groups = nodes.select("node", "uid", "first").join(merged, "uid", "left").select(
+        "node", "first", F.coalesce("root", "uid").alias("root"))
     lowest = groups.groupBy("root").agg(F.min("first").alias("component_id"))
     lowest = groups.select("node", "root").join(lowest, "root").select("node", "component_id")
     out = signed.select("doc_id", "n_shingles", "node").join(lowest, "node", "left")
