@@ -25,7 +25,7 @@ MAGIC = b"BITS1\0\0\0"
 #: Ids of a block (a multiple of 32), and ids of a file at which the next document begins a new one.
 BLOCK, FILE_IDS = 1 << 16, 1 << 25
 #: Words that a worker keeps encoded.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 #: Words of Latin letters and closing marks: their pieces before merging are the letters and the marks.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?$%&*#|\"()\-]*)")
 
@@ -134,6 +134,10 @@ class Reader:
         return np.concatenate(out)[a - first * self.block:b - first * self.block]
 
 
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """Ids of texts, word by word, as the tokenizer gives them for the whole text.
 
@@ -154,8 +158,8 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         got = self.pieces.get(piece)
         if got is None:
-            ids = [t.id for t in self.tokenizer.model.tokenize(piece.translate(self.letters))]
-            got = self.pieces[piece] = np.array(ids, "<u4").tobytes()
+            spelled = piece if piece.isascii() else piece.translate(self.letters)
+            got = self.pieces[piece] = _bytes([t.id for t in self.tokenizer.model.tokenize(spelled)])
         return got
 
     def encode_words(self, words: list[str]) -> list[bytes]:
@@ -166,15 +170,16 @@ class Encoder:
         for i, w in enumerate(words):
             if out[i] is None:
                 if m := _PLAIN.fullmatch(w):
-                    out[i] = self._piece(m[1].lower()) + (self._piece(m[2]) if m[2] else b"")
-                    self.words[w] = out[i]
+                    letters, marks = m.groups()
+                    got = self._piece(letters.lower())
+                    out[i] = self.words[w] = got + self._piece(marks) if marks else got
                 else:
                     rest.append(i)
         for a in range(0, len(rest), 1024):
             part = rest[a:a + 1024]
             for i, e in zip(part, self.tokenizer.encode_batch_fast([words[i] for i in part],
                                                                   add_special_tokens=False), strict=True):
-                out[i] = self.words[words[i]] = np.array(e.ids, "<u4").tobytes()
+                out[i] = self.words[words[i]] = _bytes(e.ids)
         return out
 
     def encode(self, text: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
