@@ -12,8 +12,8 @@ linked to the leader are in one component already; any other pair is found by
 its edits, that is by what tells its sets from the leader's.  If one of the two
 is not linked to the leader, a link between them takes more shared edits than
 pairs that changed the leader by themselves have: the prefixes of both edit
-lists (added shingles first) must meet, and only pairs whose prefixes do are
-compared.  So no link of a bucket is missed, and a large group of near copies
+lists (added shingles first) must meet, and bitmaps of the edits must not differ in
+more bits than linked sets may in members; only such pairs are compared.  So no link of a bucket is missed, and a large group of near copies
 does not pair all with all.
 """
 
@@ -30,6 +30,8 @@ from affinity.llm.common import hashes, map_slices, mix, tokenise, written
 BANDS, ROWS = 32, 4
 #: Nodes up to which their ids are broadcast to filter the texts (16 bytes each).
 BROADCAST_NODES = 1_000_000
+#: 64-bit words of the bitmaps of edits (a power of two).
+BIT_WORDS = 8
 _SHINGLE = np.uint64(0x9E3779B97F4A7C15)
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -145,13 +147,15 @@ def _similar(differ: Column, sizes: Column, percent: int) -> Column:
 
 
 def _compare_with_leader(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, n, differ, linked, edits, probe, index): nodes against their leader b.
+    """(a, b, n, differ, linked, edits, probe, index, bits): nodes against their leader b.
 
     A link of a and another node y of b's star, one of them not linked to b,
     takes at least (differ_a + differ_y - limit) / 2 shared edits, limit being
     the most that similar sets of their sizes differ by.  ``probe`` is the
     prefix of a's edits that must meet y's if a is not linked, ``index`` the one
-    that must meet those of any y that is not.
+    that must meet those of any y that is not.  The edits of a and y that are
+    not shared are what a and y differ by; ``bits`` maps edits to bits, so two
+    maps differ in no more bits than that.
     """
     rows = _with_sets(stars, sets).select(
         "a", "b", F.size("ma").alias("n"), F.size("mb").alias("nb"),
@@ -163,7 +167,9 @@ def _compare_with_leader(stars: DataFrame, sets: DataFrame, percent: int) -> Dat
     probe = F.expr(f"if(linked, 0, differ - greatest(1, differ - cast(floor(n * {keep} / {percent}) as int)) + 1)")
     index = F.expr(f"differ - greatest(1, cast(ceil((differ * {both} + (nb - n) * {keep}) / {2 * both}) as int)) + 1")
     rows = rows.withColumn("probe", probe).withColumn("index", F.greatest(F.lit(0), index))
-    return rows.select("a", "b", "n", "differ", "linked", "probe", "index",
+    bits = F.array(*[F.expr(f"aggregate(edits, 0L, (x, e) -> x | if((e & {BIT_WORDS - 1}) = {k}, "
+                            "shiftleft(1L, cast(shiftright(e, 32) & 63 as int)), 0L))") for k in range(BIT_WORDS)])
+    return rows.select("a", "b", "n", "differ", "linked", "probe", "index", bits.alias("bits"),
                        F.slice("edits", 1, F.greatest("probe", "index")).alias("edits"))
 
 
@@ -180,14 +186,18 @@ def _between_edits(compared: DataFrame, roots: DataFrame, percent: int) -> DataF
 
     def exploded(length: str) -> DataFrame:
         return rows.where(F.col(length) > 0).select(
-            "a", "b", "n", "differ", "root", F.explode(F.slice("edits", 1, F.col(length))).alias("e")).select(
-                F.xxhash64("b", "e").alias("g"), "a", "n", "differ", "root")
+            "a", "b", "n", "differ", "root", "bits", F.explode(F.slice("edits", 1, F.col(length))).alias("e")).select(
+                F.xxhash64("b", "e").alias("g"), "a", "n", "differ", "root",
+                *[F.get("bits", F.lit(k)).alias(f"m{k}") for k in range(BIT_WORDS)])
 
     x, y = exploded("probe").alias("x"), exploded("index").alias("y")
     sizes = F.col("x.n") + F.col("y.n")
+    unlike = sum((F.bit_count(F.col(f"x.m{k}").bitwiseXOR(F.col(f"y.m{k}"))) for k in range(1, BIT_WORDS)),
+                 F.bit_count(F.col("x.m0").bitwiseXOR(F.col("y.m0"))))
     found = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.root") != F.col("y.root"))
                    & _close(F.col("x.n"), F.col("y.n"), percent)
-                   & _similar(F.abs(F.col("x.differ") - F.col("y.differ")), sizes, percent))
+                   & _similar(F.abs(F.col("x.differ") - F.col("y.differ")), sizes, percent)
+                   & _similar(unlike, sizes, percent))
     return found.select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b")).distinct()
 
 
