@@ -64,10 +64,15 @@ def half_down(x, digits: int = 4) -> Column:
     3.52985 -> 3.5298, 3.529851 -> 3.5299. Works on the decimal form of the
     double's shortest representation.
     """
+    if not 0 <= digits <= 15:
+        raise ValueError("digits must be from 0 to 15")
+    c = _c(x)
     scale = 10 ** digits
-    d = _c(x).cast("decimal(30,18)")
-    mag = F.ceil(F.abs(d) * F.lit(scale) - F.lit(0.5)) / F.lit(scale)
-    return (F.signum(_c(x)) * mag.cast("double")).cast("decimal(20,4)").cast("double")
+    # 16 digits before the point and 22 after it hold any double below 1e16;
+    # larger ones are whole numbers and stay.
+    d = F.when(F.abs(c) < 1e16, c).cast("decimal(38,22)")
+    kept = F.ceil(F.abs(d) * F.lit(scale) - F.lit(0.5))
+    return F.when(F.abs(c) < 1e16, F.signum(c) * (kept.cast("double") / F.lit(float(scale)))).otherwise(c)
 
 
 def truncate_int(x) -> Column:

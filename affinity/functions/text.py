@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 # at least two characters long.
 TOKEN_PATTERN = r"[^\p{L}\w\d]+"
 MIN_TOKEN_LENGTH = 2
+# Fixed value: blanks and control characters are cut off around attributes.
+EDGE = "".join(map(chr, range(33)))
 
 
 def sentence(attrs: Sequence[str | Column]) -> Column:
-    """Lower-cased, trimmed attributes joined by blanks; NULL attributes skipped."""
-    cols = [F.lower(F.trim(F.col(a) if isinstance(a, str) else a)) for a in attrs]
+    """Lower-cased attributes, trimmed of blanks and control characters, joined by blanks; NULL attributes skipped."""
+    cols = [F.lower(F.btrim(F.col(a) if isinstance(a, str) else a, F.lit(EDGE))) for a in attrs]
     return F.concat_ws(" ", *cols)
 
 

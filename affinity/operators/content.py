@@ -42,13 +42,16 @@ def item_documents(items: DataFrame, attrs: Sequence[str] | None = None) -> Data
     """(item, parent, sentence): one document per item.
 
     ``itemid`` and ``parent_id`` may be strings or numbers; a missing parent
-    becomes -1, so two parentless items count as siblings.
+    becomes -1, so two parentless items count as siblings.  Of several rows of
+    an item the one with the smallest parent, then sentence, stands.
     """
     attrs = list(attrs) if attrs else attribute_columns(items)
-    return items.select(
+    rows = items.select(
         F.col("itemid").try_cast("bigint").alias("item"),
         F.coalesce(F.col("parent_id").try_cast("bigint"), F.lit(-1).cast("bigint")).alias("parent"),
         sentence(attrs).alias("sentence")).where(F.col("item").isNotNull())
+    first = F.min(F.struct("parent", "sentence")).alias("first")
+    return rows.groupBy("item").agg(first).select("item", "first.parent", "first.sentence")
 
 
 def item_words(docs: DataFrame) -> DataFrame:
@@ -157,19 +160,20 @@ def rank_candidates(cands: DataFrame, docs: DataFrame, weighting: str = "tfidf",
 
 
 def recommendation_documents(ranked: DataFrame, chunk_size: int = 4096) -> DataFrame:
-    """(item, chunk, recoms MAP<STRING, INT>): one JSON-ready document per target
-    (big targets split into chunks); score = int(ordered), truncated."""
+    """(item, chunk, recoms MAP<STRING, BIGINT>): one JSON-ready document per target
+    (big targets split into chunks); score = ordered truncated to BIGINT."""
     entry = F.struct(F.col("item").cast("string").alias("k"),
-                     F.col("ordered").cast("int").alias("v"))
+                     F.col("ordered").cast("bigint").alias("v"))
     lists = chunked_lists(ranked, "target", "item", entry, chunk_size, out="entries")
     return lists.select(F.col("target").cast("string").alias("item"), "chunk",
                         F.map_from_entries("entries").alias("recoms"))
 
 
-def overlap(a: DataFrame, b: DataFrame, k: int = 10) -> DataFrame:
-    """(target, overlap): share of b's top-k items that are also in a's top-k."""
-    ta = a.where(F.col("rank") <= k).select("target", "item")
-    tb = b.where(F.col("rank") <= k).select("target", "item")
+def overlap(a: DataFrame, b: DataFrame, k: int | None = None) -> DataFrame:
+    """(target, overlap): share of b's items that are also in a's list (with ``k``: of the top k of both)."""
+    first = F.lit(True) if k is None else F.col("rank") <= k
+    ta = a.where(first).select("target", "item")
+    tb = b.where(first).select("target", "item")
     both = tb.join(ta, ["target", "item"], "left_semi").groupBy("target").agg(
         F.count(F.lit(1)).alias("_n"))
     size_b = tb.groupBy("target").agg(F.count(F.lit(1)).alias("_m"))

@@ -84,32 +84,40 @@ def _sources(frontier: DataFrame, rev: DataFrame, allowed: DataFrame, level: int
             .withColumn("level", F.lit(level)))
 
 
+def reverse_rows(adjacency: DataFrame) -> DataFrame:
+    """(item2, id, rating, catalog, click) of a persisted reverse adjacency."""
+    return adjacency.select("item2", F.explode("sources").alias("s")).select("item2", "s.*")
+
+
 def candidates(merged: DataFrame, tcat: DataFrame, brothers: DataFrame,
-               max_level: int = MAX_LEVEL) -> DataFrame:
-    """(target, item, rating, catalog, click, level) for every target at once."""
-    # Every level reads the reverse adjacency: written once (the persisted
-    # lookup of the source), read by all levels.
-    rev = materialize(reverse_adjacency_rows(merged), "reverse_adjacency")
+               max_level: int = MAX_LEVEL, rev: DataFrame | None = None) -> DataFrame:
+    """(target, item, rating, catalog, click, level) for every target at once.
+
+    ``rev`` is the reverse adjacency as rows, if it is persisted already
+    (``reverse_rows``); else it is written once here.  Every level is reduced
+    to one record per (target, item) and written before the next begins, so the
+    plan grows by one read of the adjacency a level.
+    """
+    if rev is None:
+        rev = materialize(reverse_adjacency_rows(merged), "reverse_adjacency")
     allowed = related_catalogs(tcat, brothers)
     frontier = tcat.select(F.col("item").alias("target"), F.col("item"))
+    # Best record per (target, item) as an aggregate (partial, skew-safe):
+    # highest click, highest rating, lowest catalog; levels come in order.
+    best = F.min(F.struct((-F.col("click")).alias("nclick"), (-F.col("rating")).alias("nrating"),
+                          F.col("catalog")))
     found = None
     for level in range(1, max_level + 1):
-        step = _sources(frontier, rev, allowed, level)
-        if found is None:
-            found = step
-        else:
+        step = _sources(frontier, rev, allowed, level).groupBy("target", "item", "level").agg(best.alias("b"))
+        step = step.select("target", "item", (-F.col("b.nrating")).alias("rating"),
+                           F.col("b.catalog").alias("catalog"), (-F.col("b.nclick")).alias("click"), "level")
+        if found is not None:
             step = step.join(found.select("target", "item"), ["target", "item"], "left_anti")
-            found = found.unionByName(step)
         if level < max_level:
-            frontier = step.select("target", "item").distinct()
-    # Best record per (target, item) as an aggregate (partial, skew-safe):
-    # lowest level, highest click, highest rating, lowest catalog.
-    best = F.min(F.struct(F.col("level"), (-F.col("click")).alias("nclick"),
-                          (-F.col("rating")).alias("nrating"), F.col("catalog")))
-    return (found.groupBy("target", "item").agg(best.alias("b"))
-            .select("target", "item", (-F.col("b.nrating")).alias("rating"),
-                    F.col("b.catalog").alias("catalog"), (-F.col("b.nclick")).alias("click"),
-                    F.col("b.level").alias("level")))
+            step = materialize(step, f"candidates_{level}")
+            frontier = step.select("target", "item")
+        found = step if found is None else found.unionByName(step)
+    return found
 
 
 def candidates_level1(merged: DataFrame, tcat: DataFrame, brothers: DataFrame) -> DataFrame:

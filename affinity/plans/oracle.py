@@ -481,13 +481,13 @@ oracle("tfidf_rank", ("pc_tfidf_ranked",), _ranked("pc_tfidf_ranked"))
 oracle("tfidf_rank_docs", ("dc_tfidf_ranked",), _ranked("dc_tfidf_ranked"))
 oracle("ranking_overlap", ("pc_count_ranked", "pc_tfidf_ranked"), """
 SELECT b.target, round(coalesce(n.k, 0) / b.k, 6) AS overlap
-FROM (SELECT target, count(*) AS k FROM pc_tfidf_ranked WHERE rank <= 10 GROUP BY target) b
+FROM (SELECT target, count(*) AS k FROM pc_tfidf_ranked GROUP BY target) b
 LEFT JOIN (SELECT t.target, count(*) AS k
            FROM pc_tfidf_ranked t JOIN pc_count_ranked c ON c.target = t.target AND c.item = t.item
-           WHERE t.rank <= 10 AND c.rank <= 10 GROUP BY t.target) n ON n.target = b.target""")
+           GROUP BY t.target) n ON n.target = b.target""")
 oracle("rec_documents", ("pc_tfidf_ranked",), f"""
 SELECT CAST(target AS VARCHAR) AS item, chunk,
-       string_agg(CAST(item AS VARCHAR) || ':' || CAST(trunc(ordered) AS INTEGER), ','
+       string_agg(CAST(item AS VARCHAR) || ':' || CAST(trunc(ordered) AS BIGINT), ','
                   ORDER BY CAST(item AS VARCHAR)) AS recoms
 FROM (SELECT *, {_chunk("item")} AS chunk
       FROM (SELECT *, count(*) OVER (PARTITION BY target) AS n FROM pc_tfidf_ranked))

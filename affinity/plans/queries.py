@@ -50,7 +50,8 @@ def query(name: str):
 @query("ratings_load")
 def q_ratings_load(spark, d):
     path = sinks.write_ratings_tsv(b.ratings(spark, d), scratch_path(spark, "ratings_tsv"))
-    return readers.read_ratings_tsv(spark, path)
+    # The binding's ratings are whole numbers; the key returns them as such.
+    return readers.read_ratings_tsv(spark, path).withColumn("rating", F.col("rating").cast("int"))
 
 
 @query("rating_density")

@@ -1,8 +1,9 @@
-"""Readers for the reference's input formats.
+"""Readers for the recommenders' input formats.
 
-Schemas are fixed (no inference pass over the data). Numeric ids that arrive
-as strings are converted with ``try_cast`` so a bad id becomes NULL and is
-dropped instead of failing the job.
+Schemas are fixed (no inference pass over the data).  Numbers are read as text
+and converted one by one with ``try_cast``, so a bad value never takes its
+neighbours or its line along; what cannot be used is returned by the
+``rejected_*`` readers instead of vanishing.
 """
 
 from __future__ import annotations
@@ -11,16 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RATINGS_SCHEMA = T.StructType([
-    T.StructField("user_id", T.LongType()),
-    T.StructField("item_id", T.LongType()),
-    T.StructField("rating", T.IntegerType()),
-    T.StructField("timestamp", T.LongType()),
-])
-
+# The field names of the input formats.
 TRAIN_SCHEMA = T.StructType([
     T.StructField("item", T.StringType()),
-    T.StructField("true_recoms", T.MapType(T.StringType(), T.IntegerType())),
+    T.StructField("true_recoms", T.MapType(T.StringType(), T.StringType())),
 ])
 
 TEST_SCHEMA = T.StructType([
@@ -39,8 +34,8 @@ CATALOG_PATH_SCHEMA = T.StructType([
 ])
 
 ITEM_RATINGS_SCHEMA = T.StructType([
-    T.StructField("itemid", T.LongType()),
-    T.StructField("rating", T.DoubleType()),
+    T.StructField("itemid", T.StringType()),
+    T.StructField("rating", T.StringType()),
 ])
 
 
@@ -48,18 +43,31 @@ def _id(c) -> F.Column:
     return F.col(c).try_cast("bigint")
 
 
+def _rating_lines(spark: SparkSession, path: str, header: bool) -> DataFrame:
+    """(line, user_id, item_id, rating, timestamp) of every line; NULL for what is missing or no number."""
+    names = ("user_id", "item_id", "rating", "timestamp")
+    lines = (spark.read.option("header", str(header).lower()).option("sep", "\n").option("quote", "")
+             .schema("line string").csv(path))
+    f = F.split("line", "\t")
+    kinds = ("bigint", "bigint", "double", "bigint")
+    return lines.where(F.col("line").isNotNull()).select(
+        "line", *[F.get(f, F.lit(k)).try_cast(t).alias(n) for k, (n, t) in enumerate(zip(names, kinds, strict=True))])
+
+
+def _usable() -> F.Column:
+    return F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & F.col("rating").isNotNull()
+
+
 def read_ratings_tsv(spark: SparkSession, path: str, header: bool = False,
                      dedupe: bool = True) -> DataFrame:
-    """Tab-separated (user, item, rating, timestamp) -> ratings(user_id, item_id, rating).
+    """Tab-separated (user, item, rating[, timestamp]) -> ratings(user_id, item_id, rating DOUBLE).
 
-    An explicit schema: no inference scan, and a header-less file does not turn
-    its first row into column names. With ``dedupe`` one row per (user, item)
-    is kept (the latest timestamp, then the highest rating).
+    The timestamp may be missing and ratings may be fractions.  A line without
+    a numeric user, item and rating is left to ``rejected_ratings``.  With
+    ``dedupe`` one row per (user, item) is kept (the latest timestamp, then the
+    highest rating).
     """
-    df = (spark.read.schema(RATINGS_SCHEMA).option("sep", "\t")
-          .option("header", str(header).lower()).option("mode", "DROPMALFORMED").csv(path))
-    df = df.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
-                  & F.col("rating").isNotNull())
+    df = _rating_lines(spark, path, header).where(_usable())
     if dedupe:
         best = F.max(F.struct(F.coalesce("timestamp", F.lit(-(2 ** 62))).alias("t"),
                               F.col("rating").alias("r")))
@@ -68,18 +76,31 @@ def read_ratings_tsv(spark: SparkSession, path: str, header: bool = False,
     return df.select("user_id", "item_id", "rating")
 
 
+def rejected_ratings(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
+    """(line): the lines that ``read_ratings_tsv`` cannot use."""
+    return _rating_lines(spark, path, header).where(~_usable()).select("line")
+
+
+def _edge_entries(spark: SparkSession, path: str) -> DataFrame:
+    raw = spark.read.schema(TRAIN_SCHEMA).json(path)
+    return raw.where(F.col("item") != "").select("item", F.explode("true_recoms").alias("k", "v"))
+
+
 def read_train_edges(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines {"item": id, "true_recoms": {id: clicks}} -> edges(item1, item2, click).
+    """JSON lines {"item": id, "true_recoms": {id: clicks}} -> edges(item1, item2, click BIGINT).
 
-    Rows with an empty item are dropped before the cast; each map entry
-    becomes one edge.
+    Rows with an empty item are dropped before the cast; each map entry becomes
+    one edge.  Entries with a bad id or click are left to ``rejected_edges``.
     """
-    raw = spark.read.schema(TRAIN_SCHEMA).json(path)
-    exploded = (raw.where(F.col("item") != "")
-                .select(_id("item").alias("item1"),
-                        F.explode("true_recoms").alias("k", "click")))
-    return (exploded.select("item1", _id("k").alias("item2"), F.col("click").cast("bigint"))
-            .where(F.col("item1").isNotNull() & F.col("item2").isNotNull()))
+    edges = _edge_entries(spark, path).select(_id("item").alias("item1"), _id("k").alias("item2"),
+                                              _id("v").alias("click"))
+    return edges.where("item1 is not null and item2 is not null and click is not null")
+
+
+def rejected_edges(spark: SparkSession, path: str) -> DataFrame:
+    """(item, k, v): map entries that ``read_train_edges`` cannot use."""
+    return _edge_entries(spark, path).where(
+        _id("item").isNull() | _id("k").isNull() | _id("v").isNull())
 
 
 def read_catalogs(spark: SparkSession, path: str) -> DataFrame:
@@ -102,8 +123,10 @@ def read_catalog_path(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_item_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines {"itemid": 1, "rating": 4.5} -> (itemid, rating)."""
-    return spark.read.schema(ITEM_RATINGS_SCHEMA).json(path).where(F.col("itemid").isNotNull())
+    """JSON lines {"itemid": 1 or "1", "rating": 4.5} -> (itemid BIGINT, rating DOUBLE)."""
+    raw = spark.read.schema(ITEM_RATINGS_SCHEMA).json(path)
+    return raw.select(_id("itemid").alias("itemid"), F.col("rating").try_cast("double").alias("rating")).where(
+        F.col("itemid").isNotNull())
 
 
 def read_test_items(spark: SparkSession, path: str) -> DataFrame:

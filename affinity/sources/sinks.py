@@ -50,14 +50,13 @@ def write_documents(docs: DataFrame, path: str) -> str:
 # -- input formats of the reference, produced from DataFrames -----------------
 
 def write_ratings_tsv(ratings: DataFrame, path: str, header: bool = False) -> str:
-    out = ratings.select("user_id", "item_id", "rating",
-                         F.lit(None).cast("bigint").alias("timestamp"))
+    stamp = F.col("timestamp") if "timestamp" in ratings.columns else F.lit(None).cast("bigint")
+    out = ratings.select("user_id", "item_id", "rating", stamp.alias("timestamp"))
     out.write.mode("overwrite").option("sep", "\t").option("header", str(header).lower()).csv(path)
     return path
 
 
-def write_train_json(edges: DataFrame, path: str, extra_empty_item: bool = True,
-                     chunk_size: int = 4096) -> str:
+def write_train_json(edges: DataFrame, path: str, chunk_size: int = 4096) -> str:
     """edges -> {"item": "i", "true_recoms": {"j": click}} lines.
 
     A source item with very many edges is written as several lines of about
@@ -66,14 +65,10 @@ def write_train_json(edges: DataFrame, path: str, extra_empty_item: bool = True,
     """
     from affinity.operators.skew import chunked_lists
 
-    entry = F.struct(F.col("item2").cast("string").alias("k"), F.col("click").cast("int").alias("v"))
+    entry = F.struct(F.col("item2").cast("string").alias("k"), F.col("click").cast("bigint").alias("v"))
     lists = chunked_lists(edges, "item1", "item2", entry, chunk_size, out="entries")
     nested = lists.select(F.col("item1").cast("string").alias("item"),
                           F.map_from_entries("entries").alias("true_recoms"))
-    if extra_empty_item:
-        spark = edges.sparkSession
-        empty = spark.createDataFrame([("", {"9": 1})], "item string, true_recoms map<string,int>")
-        nested = nested.unionByName(empty)
     nested.write.mode("overwrite").json(path)
     return path
 

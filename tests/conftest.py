@@ -28,16 +28,15 @@ def spark():
     yield s
 
 
+#: A small rating table made by a rule: (user, item, rating).
+INLINE = [(u, 100 + i, 1 + (7 * u + 3 * i + u * i * i) % 5)
+          for u in range(1, 10) for i in range(1, 13) if (u * u + 5 * i + 2 * u * i) % 7 < 3]
+TARGET = 3
+
+
 @pytest.fixture(scope="session")
 def inline_ratings(spark):
-    """The 24-row inline rating table (user, item, rating)."""
-    rows = [
-        (1, 242, 3), (1, 302, 3), (2, 302, 1), (3, 302, 2), (3, 242, 1), (3, 474, 4),
-        (3, 265, 2), (4, 302, 5), (4, 242, 3), (6, 302, 3), (4, 257, 2), (5, 302, 5),
-        (5, 222, 5), (5, 242, 3), (6, 29, 3), (6, 785, 3), (6, 242, 5), (6, 274, 2),
-        (7, 302, 4), (8, 242, 2), (8, 302, 4), (8, 486, 4), (9, 302, 4), (7, 118, 2),
-    ]
-    return spark.createDataFrame(rows, "user_id bigint, item_id bigint, rating int")
+    return spark.createDataFrame(INLINE, "user_id bigint, item_id bigint, rating int")
 
 
 def rows_to_dict(df, key, value):

@@ -1,80 +1,66 @@
-"""Golden values on the 24-row inline table, target user 3 (FIXTURES C1)."""
+"""The recommenders on a small table made by a rule, against brute force."""
 
 import pytest
 
 from affinity.operators import baseline as bl
 from affinity.operators import item_cf, report, stats, user_cf
-from tests.conftest import rows_to_dict
+from tests.brute import Dense, top
+from tests.conftest import INLINE, TARGET, rows_to_dict
 
-TARGET = 3
+BRUTE = Dense(INLINE)
+
+
+def same(got, expected):
+    assert got.keys() == expected.keys()
+    for k, v in expected.items():
+        assert got[k] is None if v is None else got[k] == pytest.approx(v, abs=1e-6)
 
 
 def test_density(inline_ratings):
+    n, users, items = len(INLINE), len(BRUTE.users), len(BRUTE.items)
     r = stats.rating_density(inline_ratings).first()
-    assert (r["average_user_ratings"], r["average_film_ratings"], r["completeness"]) == (
-        2.666667, 2.181818, 0.242424)
-    assert stats.global_mean(inline_ratings).first()["avg_rating"] == 3.125
+    assert r["average_user_ratings"] == pytest.approx(n / users, abs=1e-6)
+    assert r["average_film_ratings"] == pytest.approx(n / items, abs=1e-6)
+    assert r["completeness"] == pytest.approx(n / users / items, abs=1e-6)
+    assert stats.global_mean(inline_ratings).first()["avg_rating"] == pytest.approx(BRUTE.mu, abs=1e-6)
 
 
 def test_pearson(inline_ratings):
-    pc = rows_to_dict(user_cf.correlations(inline_ratings, TARGET), "user_id", "pc")
-    expected = {1: 0, 2: 0, 4: 0, 5: 0.031574, 6: -0.038117, 7: -0.02, 8: 0.031574, 9: 0}
-    assert pc.keys() == expected.keys()
-    for u, v in expected.items():
-        assert pc[u] == pytest.approx(v, abs=5e-7)
+    expected = BRUTE.pearson(TARGET)
+    assert any(expected.values())
+    same(rows_to_dict(user_cf.correlations(inline_ratings, TARGET), "user_id", "pc"), expected)
     order = [r["user_id"] for r in user_cf.neighbours(inline_ratings, TARGET).orderBy("rank").collect()]
-    assert order == [5, 8, 1, 2, 4, 9, 7, 6]
+    assert order == [u for u, _ in BRUTE.neighbours(TARGET)]
 
 
 def test_user_cf_estimates(inline_ratings):
-    est = rows_to_dict(user_cf.estimates(inline_ratings, TARGET), "item_id", "estimate")
-    expected = {274: 3.45, 118: 3.25, 222: 2.916667, 486: 2.916667, 29: 2.45, 785: 2.45}
-    for i, v in expected.items():
-        assert est[i] == pytest.approx(v, abs=5e-7)
-    # 257's only weight is a correlation that is zero but for float noise.
-    assert est[257] is None
-    top = [r["item_id"] for r in user_cf.top_n(user_cf.estimates(inline_ratings, TARGET))
-           .orderBy("rank").collect()]
-    assert top == [274, 118, 222, 486, 29, 785]
+    expected = BRUTE.user_estimates(TARGET)
+    est = user_cf.estimates(inline_ratings, TARGET)
+    same(rows_to_dict(est, "item_id", "estimate"), expected)
+    assert [r["item_id"] for r in user_cf.top_n(est).orderBy("rank").collect()] == top(expected)
 
 
 def test_baseline_offsets(inline_ratings):
-    bu = rows_to_dict(bl.user_offsets(inline_ratings), "user_id", "value")
-    assert bu == {1: -0.020833, 2: -0.193182, 3: -0.25, 4: 0.048077, 5: 0.278846, 6: 0.025,
-                  7: -0.020833, 8: 0.048077, 9: 0.079545}
-    bi = rows_to_dict(bl.item_offsets(inline_ratings), "item_id", "value")
-    assert bi == {29: -0.005769, 118: -0.042468, 222: 0.061391, 242: -0.060618,
-                  257: -0.045118, 265: -0.033654, 274: -0.044231, 302: 0.084715,
-                  474: 0.043269, 486: 0.031805, 785: -0.005769}
-
-
-def test_item_cf_estimates(inline_ratings):
-    est = rows_to_dict(item_cf.item_estimates(inline_ratings, TARGET), "item_id", "estimate")
-    expected = {29: 4.427369, 785: 4.427369, 274: 4.388907, 118: 3.792247, 486: 3.733705,
-                257: 3.58907, 222: 2.573502}
-    assert est.keys() == expected.keys()
-    for i, v in expected.items():
-        assert est[i] == pytest.approx(v, abs=5e-7)
-
-
-def test_item_cf_positive_only(inline_ratings):
-    est = rows_to_dict(item_cf.item_estimates(inline_ratings, TARGET, positive_only=True),
-                       "item_id", "estimate")
-    expected = {222: 1.976676, 486: 1.94709, 29: 1.909516, 785: 1.909516, 274: 1.871054,
-                257: 1.0155}
-    assert est.keys() == expected.keys()  # 118 has only negative weights: NULL, dropped
-    for i, v in expected.items():
-        assert est[i] == pytest.approx(v, abs=5e-7)
+    bu, bi = BRUTE.offsets()
+    same(rows_to_dict(bl.user_offsets(inline_ratings), "user_id", "value"), dict(zip(BRUTE.users, bu, strict=True)))
+    same(rows_to_dict(bl.item_offsets(inline_ratings), "item_id", "value"), dict(zip(BRUTE.items, bi, strict=True)))
+
+
+@pytest.mark.parametrize("positive", [False, True])
+def test_item_cf_estimates(inline_ratings, positive):
+    expected = BRUTE.item_estimates(TARGET, positive)
+    assert expected
+    same(rows_to_dict(item_cf.item_estimates(inline_ratings, TARGET, positive_only=positive), "item_id", "estimate"),
+         expected)
 
 
 def test_report(inline_ratings):
     r = report.cf_report(inline_ratings, TARGET).first()
-    assert r["average_user_ratings"] == 2.6667 and r["completeness"] == 0.2424
-    assert r["average_rating"] == 3.125
-    assert r["pearson_neighbours"] == [5, 8, 1, 2, 4, 9, 7, 6]
-    assert r["pearson_top10"] == [274, 118, 222, 486, 29, 785]
-    assert r["predicators_top10"] == [29, 785, 274, 118, 486, 257, 222]
-    assert r["predicators_positive_top10"] == [222, 486, 29, 785, 274, 257]
+    assert r["average_rating"] == pytest.approx(BRUTE.mu, abs=1e-4)
+    assert r["pearson_neighbours"] == [u for u, _ in BRUTE.neighbours(TARGET)]
+    assert r["pearson_top10"] == top(BRUTE.user_estimates(TARGET))
+    assert r["predicators_top10"] == top(BRUTE.item_estimates(TARGET))
+    assert r["predicators_positive_top10"] == top(BRUTE.item_estimates(TARGET, True))
 
 
 def test_no_python_udf_in_plans(inline_ratings):
@@ -88,6 +74,6 @@ def test_no_python_udf_in_plans(inline_ratings):
 
 def test_unknown_target_gives_empty_predictions(inline_ratings):
     pc = rows_to_dict(user_cf.correlations(inline_ratings, 99), "user_id", "pc")
-    assert set(pc) == set(range(1, 10)) and set(pc.values()) == {0.0}
+    assert set(pc) == set(BRUTE.users) and set(pc.values()) == {0.0}
     assert user_cf.top_n(user_cf.estimates(inline_ratings, 99)).count() == 0
     assert item_cf.item_estimates(inline_ratings, 99).count() == 0

@@ -6,6 +6,8 @@ import os
 from affinity.plans import jobs
 from affinity.session import scratch_path
 from affinity.sources import sinks
+from tests.brute import Dense
+from tests.conftest import INLINE, TARGET
 
 
 def _lines(path, rows):
@@ -17,9 +19,10 @@ def _lines(path, rows):
 
 def test_rating_report_job(spark, inline_ratings):
     tsv = sinks.write_ratings_tsv(inline_ratings, scratch_path(spark, "job_tsv"))
-    out = jobs.rating_report_job(spark, tsv, 3, scratch_path(spark, "job_report"))
+    out = jobs.rating_report_job(spark, tsv, TARGET, scratch_path(spark, "job_report"))
     row = out.first()
-    assert row["average_rating"] == 3.125 and row["pearson_neighbours"][:3] == [5, 8, 1]
+    assert abs(row["average_rating"] - Dense(INLINE).mu) < 1e-4
+    assert row["pearson_neighbours"] == [u for u, _ in Dense(INLINE).neighbours(TARGET)]
 
 
 def test_graph_and_recommend_jobs(spark, tmp_path):
@@ -41,9 +44,14 @@ def test_graph_and_recommend_jobs(spark, tmp_path):
         "itemid string, parent_id string, attr1 string")
     items_path = sinks.write_parquet(items, f"{d}/items")
     written = jobs.graph_ingest_job(spark, train, cats, rats, path, items_path, f"{d}/out")
+    # A later ingest into the same folder has lookups of its own.
+    other = jobs.graph_ingest_job(spark, _lines(f"{d}/train2", [{"item": "2", "true_recoms": {"1": 5}}]), cats, rats,
+                                  path, items_path, f"{d}/out")
+    assert spark.read.parquet(other["adjacency_in"]).count() == 1
+    assert spark.read.parquet(written["adjacency_in"]).count() == 3
     assert spark.read.parquet(written["merged"]).count() == 5
     recs = jobs.recommend_job(spark, written["merged"], cats, written["catalog_brothers"],
-                              items_path, test, f"{d}/rec")
+                              items_path, test, f"{d}/rec", adjacency_path=written["adjacency_in"])
     docs = spark.read.json(recs["tfidf"]).collect()
     assert len(docs) == 1 and docs[0]["item"] == "1"
     assert set(docs[0]["recoms"].asDict()) == {"2", "3", "4", "6"}

@@ -5,6 +5,8 @@ import os
 import tempfile
 
 from affinity.sources import readers, sinks
+from tests.brute import Dense
+from tests.conftest import INLINE, TARGET
 
 
 def _write_lines(lines):
@@ -40,40 +42,71 @@ def test_item_ratings_and_test_items(spark):
     assert [r["item"] for r in readers.read_test_items(spark, t).collect()] == [28]
 
 
-def test_ratings_tsv_header_and_dedupe(spark):
+def _tsv(text):
     d = tempfile.mkdtemp(prefix="affinity-tsv-")
     with open(os.path.join(d, "u.data"), "w") as f:
-        f.write("user_id\titem_id\trating\ttimestamp\n1\t10\t3\t100\n1\t10\t5\t200\n2\t10\t4\t50\n")
+        f.write(text)
+    return d
+
+
+def test_ratings_tsv_header_and_dedupe(spark):
+    d = _tsv("user_id\titem_id\trating\ttimestamp\n1\t10\t3\t100\n1\t10\t5\t200\n2\t10\t4\t50\n")
     got = sorted(tuple(r) for r in readers.read_ratings_tsv(spark, d, header=True).collect())
-    assert got == [(1, 10, 5), (2, 10, 4)]
-    # Without the header flag the header line is malformed and dropped, not a column name.
+    assert got == [(1, 10, 5.0), (2, 10, 4.0)]
+    # Without the header flag the header line is no rating; it is told, not lost.
     got = sorted(tuple(r) for r in readers.read_ratings_tsv(spark, d, header=False).collect())
-    assert got == [(1, 10, 5), (2, 10, 4)]
+    assert got == [(1, 10, 5.0), (2, 10, 4.0)]
+    assert [r.line for r in readers.rejected_ratings(spark, d).collect()] == ["user_id\titem_id\trating\ttimestamp"]
+    assert readers.rejected_ratings(spark, d, header=True).count() == 0
+
+
+def test_ratings_tsv_three_columns_and_fractions(spark):
+    d = _tsv("1\t10\t3.5\n1\t11\t4.0\n2\t10\t4\n2\tx\t4\n\t5\t5\n")
+    for dedupe in (True, False):
+        got = sorted(tuple(r) for r in readers.read_ratings_tsv(spark, d, dedupe=dedupe).collect())
+        assert got == [(1, 10, 3.5), (1, 11, 4.0), (2, 10, 4.0)]
+    assert sorted(r.line for r in readers.rejected_ratings(spark, d).collect()) == ["\t5\t5", "2\tx\t4"]
+
+
+def test_train_edges_keep_large_clicks_and_good_neighbours(spark):
+    d = _write_lines([json.dumps({"item": "1", "true_recoms": {"2": 3_000_000_000, "3": 5, "x": 1}}),
+                      json.dumps({"item": "y", "true_recoms": {"2": 7}})])
+    got = sorted(tuple(r) for r in readers.read_train_edges(spark, d).collect())
+    assert got == [(1, 2, 3_000_000_000), (1, 3, 5)]
+    bad = sorted(tuple(r) for r in readers.rejected_edges(spark, d).collect())
+    assert bad == [("1", "x", "1"), ("y", "2", "7")]
+
+
+def test_item_ratings_with_string_ids(spark):
+    d = _write_lines([json.dumps({"itemid": 1, "rating": 4.5}), json.dumps({"itemid": "2", "rating": 3}),
+                      json.dumps({"itemid": "z", "rating": 3})])
+    assert sorted(tuple(r) for r in readers.read_item_ratings(spark, d).collect()) == [(1, 4.5), (2, 3.0)]
 
 
 def test_round_trips(spark, inline_ratings):
     from affinity.session import scratch_path
 
     p = sinks.write_parquet(inline_ratings, scratch_path(spark, "t"))
-    assert readers.read_parquet(spark, p).count() == 24
+    assert readers.read_parquet(spark, p).count() == len(INLINE)
     sinks.write_if_absent(inline_ratings.limit(1), p)  # already there: left alone
-    assert readers.read_parquet(spark, p).count() == 24
+    assert readers.read_parquet(spark, p).count() == len(INLINE)
     tsv = sinks.write_ratings_tsv(inline_ratings, scratch_path(spark, "tsv"))
-    assert readers.read_ratings_tsv(spark, tsv).count() == 24
+    assert readers.read_ratings_tsv(spark, tsv).count() == len(INLINE)
     edges = spark.createDataFrame([(1, 2, 3), (1, 4, 5), (2, 4, 1)], "item1 long, item2 long, click long")
     tj = sinks.write_train_json(edges, scratch_path(spark, "train"))
     assert sorted(tuple(r) for r in readers.read_train_edges(spark, tj).collect()) == [
         (1, 2, 3), (1, 4, 5), (2, 4, 1)]
+    assert spark.read.json(tj).count() == 2  # no line that stands for no edge
 
 
 def test_report_and_documents_json(spark, inline_ratings):
     from affinity.operators import report
     from affinity.session import scratch_path
 
-    p = sinks.write_report(report.cf_report(inline_ratings, 3), scratch_path(spark, "report"))
+    p = sinks.write_report(report.cf_report(inline_ratings, TARGET), scratch_path(spark, "report"))
     docs = [json.loads(line) for f in os.listdir(p.replace("file:", "")) if f.endswith(".json")
             for line in open(os.path.join(p.replace("file:", ""), f))]
-    assert len(docs) == 1 and docs[0]["pearson_neighbours"][:2] == [5, 8]
+    assert len(docs) == 1 and docs[0]["pearson_neighbours"] == [u for u, _ in Dense(INLINE).neighbours(TARGET)]
 
 
 def test_managed_table_created_once(spark, inline_ratings):
@@ -82,7 +115,7 @@ def test_managed_table_created_once(spark, inline_ratings):
     name = f"ratings_{uuid.uuid4().hex[:8]}"
     assert sinks.save_table_if_absent(inline_ratings, name) is True
     assert sinks.save_table_if_absent(inline_ratings.limit(1), name) is False
-    assert spark.table(name).count() == 24
+    assert spark.table(name).count() == len(INLINE)
     spark.sql(f"DROP TABLE {name}")
 
 
