@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.llm.common import WORD
+from affinity.llm.common import WORD, written
 
 #: Weights of sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -113,9 +113,19 @@ def range_sort(rows: DataFrame, position: str, *ties: str) -> DataFrame:
     return rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def mix(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents as often as the mix takes them, all columns, in training order."""
-    planned = plan(docs, id_col=id_col, keep=docs.columns, **options)
-    rows = planned.select(F.explode("positions").alias("position"), *[f"keep_{c}" for c in docs.columns])
-    rows = range_sort(rows, "position", f"keep_{id_col}")
-    return rows.select(*[F.col(f"keep_{c}").alias(c) for c in docs.columns])
+def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        **options) -> DataFrame:
+    """The documents as often as the mix takes them, all columns, in training order.
+
+    Rows are planned by number, without their texts, which are then shuffled
+    for the join and for the sort only.  ``docs`` is read twice and must give
+    its rows in the same partitions each time, as a table does.
+    """
+    number = F.monotonically_increasing_id()
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                       F.col(source_col).alias("source"), number.alias("row"))
+    planned = written(plan(slim, keep=["row"], **options).where(F.size("positions") > 0).select(
+        F.col("keep_row").alias("row"), "positions"), "mix-plan")
+    whole = docs.select(number.alias("row"), F.struct(*docs.columns).alias("document"))
+    rows = whole.join(planned, "row").select(F.explode("positions").alias("position"), "document", "row")
+    return range_sort(rows, "position", "row").select("document.*")
