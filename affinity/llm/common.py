@@ -53,11 +53,11 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 
 
 def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str,
-               column: str = "text") -> DataFrame:
+               column: str = "text", limit: int = SLICE_BYTES) -> DataFrame:
     """Apply ``fn`` to slices of Arrow batches; memory is bounded by the slice or the longest text."""
     def run(batches):
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, limit):
                 out = fn(part)
                 if out is not None:
                     yield out

@@ -22,6 +22,8 @@ from affinity.llm.common import map_slices, mix, tokenise
 #: The symbols and limits of the base rules.
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, REPEAT_WORDS, REPEAT_PERCENT = 10, 5, 20
+#: Bytes of text that a task reads lines of at once: the arrays take about 40 times as much.
+SLICE = 1 << 20
 FEATURES = ("bias", "words", "upper", "symbols", "shouts", "stutter", "word_length", "digits", "sentence", "repeated",
             "distinct")
 
@@ -222,7 +224,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(rows, pa.binary())],
                                           ["id", "label", "lines"])
 
-    rows = sorted(map(tuple, map_slices(texts, run, "id string, label int, lines binary").collect()))
+    rows = sorted(map(tuple, map_slices(texts, run, "id string, label int, lines binary", limit=SLICE).collect()))
     return fit_field([np.frombuffer(r[2], np.float32).reshape(-1, len(FEATURES)) for r in rows], [r[1] for r in rows])
 
 
@@ -250,4 +252,4 @@ def assess(docs: DataFrame, field: LineField, *, id_col: str = "doc_id", text_co
                "kept": pa.array(~failed & (share >= min_share))})
 
     return map_slices(rows, run, f"doc_id {dict(rows.dtypes)['doc_id']}, " + ", ".join(f"{k} long" for k in names)
-                      + ", content_share double, base_failed boolean, kept boolean")
+                      + ", content_share double, base_failed boolean, kept boolean", limit=SLICE)
