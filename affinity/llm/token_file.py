@@ -24,8 +24,10 @@ from affinity.llm.common import slices, tokenise, written
 MAGIC = b"BITS1\0\0\0"
 #: Ids of a block (a multiple of 32), and ids of a file at which the next document begins a new one.
 BLOCK, FILE_IDS = 1 << 16, 1 << 25
+#: Bytes of text that a task encodes at once.
+SLICE = 1 << 20
 #: Words that a worker keeps encoded.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 300_000
 #: Words of Latin letters and closing marks: their pieces before merging are the letters and the marks.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?$%&*#|\"()\-]*)")
 
@@ -232,7 +234,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, *, end_id: i
                                                "number": pa.array([number], pa.int64()),
                                                "n_ids": pa.array([out.n_ids], pa.int64())})
         for batch in batches:
-            for piece in slices(batch, "text", 4 << 20):
+            for piece in slices(batch, "text", SLICE):
                 ids, lengths = own.encode(piece.column("text"), end_id)
                 keys = piece.column("doc_id")
                 if out is None:
