@@ -25,9 +25,9 @@ MAGIC = b"BITS1\0\0\0"
 #: Ids of a block (a multiple of 32), and ids of a file at which the next document begins a new one.
 BLOCK, FILE_IDS = 1 << 16, 1 << 25
 #: Bytes of text that a task encodes at once.
-SLICE = 1 << 20
+SLICE = 4 << 20
 #: Words that a worker keeps encoded.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 #: Words of Latin letters and closing marks: their pieces before merging are the letters and the marks.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?$%&*#|\"()\-]*)")
 
