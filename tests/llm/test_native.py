@@ -69,6 +69,24 @@ def test_overlaps_with_replaced_words(spark):
     assert decontam.find_overlaps(docs(spark, []), bench(spark, items)).collect() == []
 
 
+def test_overlaps_of_null_and_repeated_ids(spark):
+    rng = random.Random(11)
+    line = lambda n: " ".join(f"w{rng.randrange(500)}" for _ in range(n))
+    items = [(None, line(20)), (None, line(25)), (1, line(20)), (1, line(30))]
+    texts = [(None, line(30)), (None, line(5) + " " + items[0][1]), (2, line(50)), (2, line(9) + " " + items[3][1]),
+             (2, items[1][1] + " " + line(3)), (None, items[2][1]), (None, items[2][1]), (3, items[0][1])]
+    frame = docs(spark, [t for _, t in texts], [i for i, _ in texts])
+    # overlaps() sorts its rows, so null ids go in as -1.
+    number = lambda rows: [(-1 if i is None else i, t) for i, t in rows]
+    null = lambda i: None if i == -1 else i
+    expected = {(null(d), null(i)): tuple(x) for d, i, *x in overlaps(number(texts), number(items))}
+    assert {(None, None), (2, None), (None, 1), (2, 1), (3, None)} == set(expected)
+    for seeds in (decontam.BROADCAST_SEEDS, 0):
+        got = {(r.doc_id, r.item_id): (r.n_words, r.n_equal, r.start)
+               for r in decontam.find_overlaps(frame, bench(spark, items), broadcast_seeds=seeds).collect()}
+        assert got == expected
+
+
 # -- mixing
 
 def targets(sizes, percent=150):
