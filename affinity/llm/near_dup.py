@@ -109,7 +109,8 @@ def _signed(df: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
             [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()),
              pa.array(values, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "node", "bands"])
 
-    return df.mapInArrow(lambda batches: _run(batches, run), "doc_id long, n_shingles long, node binary, bands array<long>")
+    return df.mapInArrow(lambda batches: _run(batches, run), f"doc_id {dict(df.dtypes)['doc_id']}, "
+                         "n_shingles long, node binary, bands array<long>")
 
 
 def _run(batches, fn, limit: int = 1 << 19):
@@ -249,9 +250,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     shingles share ``percent`` of 100 of their union.  Null and empty texts
     have no shingle, are linked with nothing and kept.  Repeated rows are one
     document; rows of one id with different texts are judged each by its text.
-    A null id is no component's smallest unless all are null.
+    A null id is no component's smallest unless all are null.  Ids are numbers
+    or structs of them.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+    ids = F.col(id_col) if dict(docs.dtypes)[id_col].startswith("struct") else F.col(id_col).cast("long")
+    texts = docs.select(ids.alias("doc_id"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     signed = written(_signed(texts, width, bands, rows), "signatures")
     nodes = signed.where("node is not null").groupBy("node").agg(

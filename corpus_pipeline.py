@@ -7,6 +7,7 @@ columns of their input; rows that a stage rejects are gone for the next.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,29 +19,41 @@ from affinity.llm.queries import encode
 ORACLE_SQL = None
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is not among ``ids`` (null matches null)."""
-    ids = ids.select(F.col("doc_id").alias("_unwanted")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_unwanted")), "left_anti")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, the row's place in its file: the same however often and by whatever tasks it is read."""
+    try:
+        file = docs.metadataColumn("_metadata")
+        return docs.withColumn("_row", F.struct(F.xxhash64(file["file_path"]).alias("file"),
+                                                file["row_index"].alias("row")))
+    except AnalysisException:  # not read from files
+        return _keyed(written(docs, "documents"))
+
+
+def _without(keyed: DataFrame, rows: DataFrame) -> DataFrame:
+    """The documents whose row is not among ``rows``."""
+    return keyed.join(rows.select(F.col("doc_id").alias("_row")), "_row", "left_anti").drop("_row")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the base rules or the line labels reject."""
     field = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rejected = written(quality.assess(docs, field).where(~F.col("kept")).select("doc_id"), "rejected")
-    return _without(docs, rejected)
+    keyed = _keyed(docs)
+    rejected = quality.assess(keyed, field, id_col="_row").where(~F.col("kept")).select("doc_id")
+    return _without(keyed, written(rejected, "rejected"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each component (five-word shingles, similarity 0.8)."""
-    found = written(near_dup.near_duplicates(docs).where(~F.col("kept")).select("doc_id"), "duplicates")
-    return _without(docs, found)
+    keyed = _keyed(docs)
+    found = near_dup.near_duplicates(keyed, id_col="_row").where(~F.col("kept")).select("doc_id")
+    return _without(keyed, written(found, "duplicates"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark passage."""
-    found = decontam.find_overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, written(found.select("doc_id"), "contaminated"))
+    keyed = _keyed(docs)
+    found = decontam.find_overlaps(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row")
+    return _without(keyed, written(found.select("doc_id"), "contaminated"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -158,3 +158,34 @@ def test_pipeline_stages_take_effect(spark):
     rows = corpus_pipeline.run(spark, SF_SMALL).orderBy("start").collect()
     assert Counter(r.doc_id for r in rows) == Counter(kept[3])
     assert [r.start for r in rows] == np.cumsum([0, *[r.n_tokens for r in rows[:-1]]]).tolist()
+
+
+def rows_left(stage, spark, frame):
+    return Counter((r.doc_id, r.text) for r in stage(spark, frame, SF_SMALL).collect())
+
+
+def prose(seed, n=40):
+    rng = np.random.default_rng(seed)
+    return " ".join(f"plain{k}" for k in rng.integers(0, 3000, n))
+
+
+def test_quality_stage_drops_judged_rows_only(spark):
+    # One text fails the rules by its length, the others by nothing.
+    good = [r["text"] for r in table(f"{SF_SMALL}/documents.parquet") if r["doc_id"] in {
+        k["doc_id"] for k in table(f"{SF_SMALL}/labels.parquet") if k["quality"] == 1}][:40]
+    ids = [None if k % 3 == 0 else 1 if k % 3 == 1 else k for k in range(len(good))]
+    frame = docs(spark, [*good, "too short", "too short", None], [*ids, None, 1, 1])
+    field = quality.train(frame, spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
+    judged = quality.assess(frame, field, id_col="text").where("kept").collect()
+    fine = {r.doc_id for r in judged}
+    got = rows_left(corpus_pipeline.quality_stage, spark, frame)
+    assert got == Counter((i, t) for i, t in zip(ids, good, strict=True) if t in fine)
+    assert sum(n for (i, _), n in got.items() if i is None) and sum(n for (i, _), n in got.items() if i == 1)
+
+
+def test_decontamination_stage_drops_judged_rows_only(spark):
+    leak = next(r["text"] for r in table(f"{SF_SMALL}/benchmark.parquet") if len(words(r["text"])) > 20)
+    texts = [prose(1), leak, prose(2), prose(3), prose(4) + " " + leak, prose(5), None]
+    ids = [None, None, None, 1, 1, 1, 1]
+    assert rows_left(corpus_pipeline.decontamination_stage, spark, docs(spark, texts, ids)) == Counter(
+        (i, t) for k, (i, t) in enumerate(zip(ids, texts, strict=True)) if k not in (1, 4))
