@@ -43,10 +43,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each component (five-word shingles, similarity 0.8)."""
+    """Keep one row of each component (five-word shingles, similarity 0.8): the smallest id's, null last, first row."""
     keyed = _keyed(docs)
-    found = near_dup.near_duplicates(keyed, id_col="_row").where(~F.col("kept")).select("doc_id")
-    return _without(keyed, written(found, "duplicates"))
+    order = F.struct(F.col("doc_id").isNull().cast("int").alias("no_id"), "doc_id", F.col("_row.file").alias("file"),
+                     F.col("_row.row").alias("row"))
+    found = near_dup.near_duplicates(keyed.withColumn("_order", order), id_col="_order").where(~F.col("kept"))
+    return _without(keyed, written(found.select(F.struct("doc_id.file", "doc_id.row").alias("doc_id")), "duplicates"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

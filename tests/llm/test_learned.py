@@ -189,3 +189,15 @@ def test_decontamination_stage_drops_judged_rows_only(spark):
     ids = [None, None, None, 1, 1, 1, 1]
     assert rows_left(corpus_pipeline.decontamination_stage, spark, docs(spark, texts, ids)) == Counter(
         (i, t) for k, (i, t) in enumerate(zip(ids, texts, strict=True)) if k not in (1, 4))
+
+
+def test_near_duplicate_stage_leaves_one_row_of_each_component(spark):
+    a, b, c = prose(6), prose(7), prose(8)
+    near = a.replace(a.split()[20], "other", 1)  # similar in 31 of 41 shingles: not linked
+    rows = [(4, a), (4, a), (None, a), (None, b), (None, b), (3, a.upper()), (None, near), (None, c), (None, ""),
+            (None, None), (4, b + " end")]
+    frame = docs(spark, [t for _, t in rows], [i for i, _ in rows]).repartition(3)
+    got = rows_left(corpus_pipeline.near_duplicate_stage, spark, frame)
+    assert got == Counter([(3, a.upper()), (4, b + " end"), (None, near), (None, c), (None, ""), (None, None)])
+    same = docs(spark, [c] * 5, [None] * 5).repartition(3)
+    assert rows_left(corpus_pipeline.near_duplicate_stage, spark, same) == Counter([(None, c)])
