@@ -54,7 +54,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark passage."""
     keyed = _keyed(docs)
-    found = decontam.find_overlaps(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row")
+    found = decontam.find_overlaps(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row",
+                                     every_window=True)
     return _without(keyed, written(found.select("doc_id"), "contaminated"))
 
 

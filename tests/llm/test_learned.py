@@ -201,3 +201,17 @@ def test_near_duplicate_stage_leaves_one_row_of_each_component(spark):
     assert got == Counter([(3, a.upper()), (4, b + " end"), (None, near), (None, c), (None, ""), (None, None)])
     same = docs(spark, [c] * 5, [None] * 5).repartition(3)
     assert rows_left(corpus_pipeline.near_duplicate_stage, spark, same) == Counter([(None, c)])
+
+
+def test_decontamination_stage_finds_passages_beside_the_centred_window(spark):
+    # 13 words of an item, two replaced: only windows at other offsets of the seed hold enough equal words.
+    items = [words(r["text"]) for r in table(f"{SF_SMALL}/benchmark.parquet")]
+    item = next(w for w in items if len(w) >= 30 and len(set(w)) == len(w))
+    texts = []
+    for p in range(13):
+        for q in range(p):
+            part = item[8:21]
+            part[p] = part[q] = "replaced"
+            texts.append(prose(100 + p) + " " + " ".join(part) + " " + prose(200 + q))
+    frame = docs(spark, texts)
+    assert sum(rows_left(corpus_pipeline.decontamination_stage, spark, frame).values()) <= 2
