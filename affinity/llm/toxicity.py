@@ -9,6 +9,10 @@ the largest weight of a term in it: a query bounds every block from these, and
 reads blocks from the highest bound on until none can hold a nearer entry.  The
 nearest entries vote by distance; votes are calibrated on the examples, each
 left out of its own vote.
+
+Near copies of an example (full TF-IDF vectors over all words, cosine 0.9 or
+more) are found besides, whether or not they hold such terms, and their
+labels join the vote by distance.
 """
 
 from __future__ import annotations
@@ -41,6 +45,105 @@ def terms_of(words: pa.Array) -> list[pa.Array]:
     return out
 
 
+@dataclass
+class Copies:
+    """Full TF-IDF vectors over all words of the examples, to find near copies: cosine of ``least`` or more."""
+
+    words: np.ndarray  # hashes, sorted
+    idf: np.ndarray
+    unseen: float  # idf of a word that no example has
+    starts: np.ndarray  # of entries in terms and weights
+    terms: np.ndarray
+    weights: np.ndarray  # unit length
+    first: np.ndarray  # of words in entries and values: the postings
+    entries: np.ndarray
+    values: np.ndarray
+    share: np.ndarray  # of toxic examples, of entries (examples with equal words and counts)
+    example: np.ndarray
+    least: float
+
+    @staticmethod
+    def of(rows: list[tuple[int, int, bytes, bytes]], least: float) -> Copies:
+        """From (id, label, hashes of distinct words, their counts) of examples."""
+        merged: dict = {}
+        for i, label, words, counts in sorted(rows):
+            if words:
+                e = merged.setdefault((words, counts), [0, 0, i])
+                e[0] += label
+                e[1] += 1
+        hashed = [np.frombuffer(w, np.uint64) for w, _ in merged]
+        flat = np.concatenate([*hashed, np.empty(0, np.uint64)])
+        words, terms = np.unique(flat, return_inverse=True)
+        df = np.bincount(terms, minlength=len(words))
+        n = len(merged)
+        idf = np.log((n + 1) / (df + 1)) + 1
+        starts = np.concatenate(([0], np.cumsum([len(h) for h in hashed]))).astype(np.int64)
+        counts = np.concatenate([*[np.frombuffer(c, np.int64) for _, c in merged], np.empty(0, np.int64)])
+        weights = (1 + np.log(counts)) * idf[terms]
+        entry = np.repeat(np.arange(n), np.diff(starts))
+        weights = weights / np.sqrt(np.bincount(entry, weights * weights, n))[entry]
+        order = np.argsort(terms, kind="stable")
+        first = np.concatenate(([0], np.cumsum(df))).astype(np.int64)
+        e = np.array(list(merged.values())).reshape(-1, 3)
+        return Copies(words, idf, np.log(n + 1) + 1, starts, terms, weights, first, entry[order], weights[order],
+                      e[:, 0] / np.maximum(e[:, 1], 1), e[:, 2], least)
+
+    def numbers(self, hashed: np.ndarray) -> np.ndarray:
+        """Numbers of words by their hashes (-1: in no example)."""
+        if not len(self.words):
+            return np.full(len(hashed), -1)
+        at = np.minimum(np.searchsorted(self.words, hashed), len(self.words) - 1)
+        return np.where(self.words[at] == hashed, at, -1)
+
+    def near(self, terms: np.ndarray, counts: np.ndarray) -> list[tuple[float, int]]:
+        """All entries of cosine ``least`` or more, nearest first, exactly.
+
+        An entry without any of the text's rarest words is farther if the other
+        words' weights are shorter than ``least``; those with some are bounded
+        by them before whole vectors are compared.
+        """
+        known = terms >= 0
+        w = (1 + np.log(counts)) * np.where(known, self.idf[terms] if len(self.idf) else 0, self.unseen)
+        mass = w * w
+        norm = mass.sum()
+        if not len(w) or mass[known].sum() < (self.least - 1e-9) ** 2 * norm:
+            return []
+        w, mass = w / np.sqrt(norm), mass / norm
+        order = np.argsort(np.where(known, -self.idf[terms], -np.inf), kind="stable")
+        left = 1 - np.cumsum(mass[order])
+        order = order[:int(np.argmax(left < (self.least - 1e-9) ** 2)) + 1]
+        rest = max(0.0, 1 - mass[order].sum())
+        order = order[known[order]]
+        if not len(order):
+            return []
+        spans = [slice(self.first[t], self.first[t + 1]) for t in terms[order]]
+        e = np.concatenate([self.entries[x] for x in spans])
+        x = np.concatenate([self.values[x] for x in spans])
+        q = np.repeat(w[order], [x.stop - x.start for x in spans])
+        some, back = np.unique(e, return_inverse=True)
+        bound = np.bincount(back, q * x) + np.sqrt(rest * np.maximum(0, 1 - np.bincount(back, x * x)))
+        some = some[bound >= self.least - 1e-9]
+        if not len(some):
+            return []
+        by = np.argsort(terms[known])
+        mine, q = terms[known][by], w[known][by]
+        out = []
+        for i in some.tolist():
+            part = slice(self.starts[i], self.starts[i + 1])
+            at = np.minimum(np.searchsorted(mine, self.terms[part]), len(mine) - 1)
+            cos = float((q[at] * self.weights[part])[mine[at] == self.terms[part]].sum())
+            if cos >= self.least - 1e-9:
+                out.append((min(cos, 1.0), i))
+        return sorted(out, key=lambda x: (-x[0], x[1]))
+
+    def join(self, score: float, near: list[tuple[float, int]]) -> float:
+        """``score`` and the labels of near copies, by distance; the score stands at the distance of ``least``."""
+        own = 1 / (1.02 - self.least) ** 2
+        weight = [1 / (1.02 - cos) ** 2 for cos, _ in near]
+        return float((own * score + sum(x * self.share[e] for x, (_, e) in zip(weight, near, strict=True)))
+                     / (own + sum(weight)))
+
+
 @dataclass
 class Index:
     """Entries (distinct example vectors) with labels, in blocks, and the postings of their terms."""
@@ -57,6 +160,7 @@ class Index:
     offset: float = 0.0
     prior: float = 0.0
     memo: dict = field(default_factory=dict)
+    copies: Copies | None = None
 
     def __post_init__(self):
         n, m = self.vectors.shape
@@ -125,15 +229,15 @@ class Index:
         return got
 
 
-def _count_terms(text: pa.Array, vocabulary: dict[str, int]) -> dict[int, dict[int, int]]:
-    """Per text with any: counts of its terms of the vocabulary."""
-    codes, offsets, words = tokenise(text, lower=True)
+def _count_terms(codes: np.ndarray, offsets: np.ndarray, words: pa.Array,
+                 vocabulary: dict[str, int]) -> dict[int, dict[int, int]]:
+    """Per text (of ``tokenise``) with any: counts of its terms of the vocabulary."""
     out: dict = defaultdict(dict)
     if not len(codes) or not vocabulary:
         return out
     known = pa.array(list(vocabulary), pa.string())
     number = np.array(list(vocabulary.values()), np.int64)
-    doc = np.repeat(np.arange(len(text)), np.diff(offsets))
+    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     for terms in terms_of(words):
         place = pc.index_in(terms, value_set=known).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
         of = place[codes]
@@ -146,13 +250,14 @@ def _count_terms(text: pa.Array, vocabulary: dict[str, int]) -> dict[int, dict[i
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", max_examples: int = 4096, max_terms: int = 256, min_chi2: float = 20.0,
-          k: int = 15) -> Index | None:
+          k: int = 15, min_copy: float = 0.9) -> Index | None:
     """An index of at most ``max_examples`` labelled documents, as many of either label as there are.
 
     They are those with the smallest hashes of their ids.  A term is chosen if
     toxic examples have it at least four times as often as others and its
     chi-squared is ``min_chi2`` or more; near copies (equal smallest word hash)
-    count once there.  Examples are weighted so that both labels have the
+    count once there.  Whole texts of cosine ``min_copy`` or more are near copies, by
+    all their words.  Examples are weighted so that both labels have the
     shares that all labels give them.  Null labels and labels without a
     document do not count; of several labels of an id the largest does.  None
     without examples.
@@ -170,7 +275,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         h = mix(hashes(words))
         names = terms_of(words)
         ids, label = batch.column("id").to_pylist(), batch.column("label").to_pylist()
-        out: dict[str, list] = {"id": [], "label": [], "copy": [], "term": [], "n": []}
+        out: dict[str, list] = {"id": [], "label": [], "copy": [], "term": [], "n": [], "words": [],
+                                "counts": []}
         for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
             counts: Counter = Counter()
             distinct, n = np.unique(codes[a:b], return_counts=True)
@@ -184,12 +290,17 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
                 out[key] += [values] * len(counts)
             out["term"] += counts
             out["n"] += counts.values()
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.int64()]
+            by = np.argsort(h[distinct])
+            # The row of the background term, the last, has the whole text.
+            for key, values in (("words", h[distinct][by]), ("counts", n[by].astype(np.int64))):
+                out[key] += [None] * (len(counts) - 1) + [values.tobytes()]
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], list(out))
 
     from affinity.llm.common import written
 
-    counted = written(map_slices(texts, features, "id long, label int, copy long, term string, n long"), "examples")
+    counted = written(map_slices(texts, features, "id long, label int, copy long, term string, n long, "
+                                 "words binary, counts binary"), "examples")
     sizes = {r["label"]: r for r in counted.where("term = ''").groupBy("label").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("copy").alias("copies")).collect()}
     if not sizes:
@@ -232,6 +343,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     index.vectors = vectors
     index.__post_init__()
     _calibrate(index, keys, per, label, scale)
+    whole = counted.where("term = ''").select("id", "label", "words", "counts").collect()  # max_examples texts at most
+    index.copies = Copies.of([(r["id"], r["label"], bytes(r["words"]), bytes(r["counts"])) for r in whole], min_copy)
     return index
 
 
@@ -268,7 +381,8 @@ def score(docs: DataFrame, index: Index | None, *, id_col: str = "doc_id", text_
           threshold: float = 0.5) -> DataFrame:
     """Per row: doc_id, score (0 to 1), predicted (1 from ``threshold`` on), evidence (the nearest examples).
 
-    evidence lists (doc_id, cosine, toxic share) of the k nearest entries.
+    evidence lists (doc_id, cosine, toxic share) of near copies, at most k, and
+    the k nearest entries.
     Null and empty texts have the background term alone and are scored by it.
     Without an index the score is 0 and there is no evidence.  Repeated rows and
     null ids are rows of their own.
@@ -280,8 +394,19 @@ def score(docs: DataFrame, index: Index | None, *, id_col: str = "doc_id", text_
         if index is None:
             got = [(0.0, [])] * batch.num_rows
         else:
-            counts = _count_terms(batch.column("text"), index.terms)
+            codes, offsets, words = tokenise(batch.column("text"), lower=True)
+            counts = _count_terms(codes, offsets, words, index.terms)
             got = [index.judge(counts.get(i, {})) for i in range(batch.num_rows)]
+            copies = index.copies
+            number = mix(hashes(words)) if copies else None
+            place = copies.numbers(number) if copies else None
+            for i in range(batch.num_rows if copies else 0):
+                distinct, n = np.unique(codes[offsets[i]:offsets[i + 1]], return_counts=True)
+                near = copies.near(place[distinct], n)
+                if near:
+                    vote, voters = got[i]
+                    got[i] = (copies.join(vote, near), [
+                        (int(copies.example[e]), cos, float(copies.share[e])) for cos, e in near[:index.k]] + voters)
         scores = [s for s, _ in got]
         evidence = [[{"doc_id": i, "cosine": c, "toxic": t} for i, c, t in e] for _, e in got]
         return pa.RecordBatch.from_arrays(

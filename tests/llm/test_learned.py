@@ -75,6 +75,46 @@ def test_toxicity_edges(spark):
     assert all(r.predicted == 0 for r in toxicity.score(docs(spark, odd), only).collect())
 
 
+def test_copies_of_toxic_examples_without_a_listed_term(spark):
+    texts, rows = toxic_table(spark)
+    rng = np.random.default_rng(12)
+    lone = [" ".join(f"plainly{k}" for k in rng.integers(0, 400, 40)) for _ in range(3)]
+    rows += [(1000 + k, 1, int(k < 2)) for k in range(3)]
+    index = toxicity.train(docs(spark, texts + lone, [*range(len(texts)), 1000, 1001, 1002]), labels(spark, rows))
+    assert not any(t.startswith("plainly") for t in index.terms)
+    odd = [lone[0], lone[1].upper() + " word3", lone[2], " ".join(words(lone[0])[:20]), lone[0] + " " + lone[2]]
+    by = {r.doc_id: r for r in toxicity.score(docs(spark, odd), index).collect()}
+    assert [by[k].predicted for k in range(5)] == [1, 1, 0, 0, 0]
+    assert by[0].evidence[0].doc_id == 1000 and math.isclose(by[0].evidence[0].cosine, 1)
+    assert by[1].evidence[0].doc_id == 1001
+
+
+def test_copies_are_found_exactly():
+    rng = np.random.default_rng(2)
+    texts = []
+    for _ in range(30):
+        base = rng.integers(0, 300, rng.integers(1, 60))
+        for _ in range(4):
+            texts.append(np.where(rng.random(len(base)) < 0.05, rng.integers(0, 320, len(base)), base))
+    pairs = [np.unique(x.astype(np.uint64), return_counts=True) for x in texts]
+    copies = toxicity.Copies.of([(i, 0, w.tobytes(), n.astype(np.int64).tobytes()) for i, (w, n) in
+                                 enumerate(pairs[::2])], 0.8)
+    dense = np.zeros((len(copies.example), len(copies.words)))
+    for e in range(len(dense)):
+        part = slice(copies.starts[e], copies.starts[e + 1])
+        dense[e, copies.terms[part]] = copies.weights[part]
+    found = 0
+    for w, n in pairs:
+        at = copies.numbers(w)
+        q = (1 + np.log(n)) * np.where(at >= 0, copies.idf[at], copies.unseen)
+        cos = dense[:, at[at >= 0]] @ (q / np.sqrt((q * q).sum()))[at >= 0]
+        got = copies.near(at, n)
+        assert {e for _, e in got} == set(np.flatnonzero(cos >= 0.8).tolist())
+        assert np.allclose([c for c, _ in got], [cos[e] for _, e in got])
+        found += len(got)
+    assert found > len(pairs)
+
+
 # -- quality rules
 
 def figures(text):
