@@ -207,13 +207,15 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
     They are those with the smallest hashes of their ids; of each the first
     ``max_lines`` lines with a word serve the fit.  Null labels and labels
-    without a document do not count; of several labels of an id the best does.
+    without a document do not count; of several labels of an id the best does,
+    of several texts the one with the smallest hash.
     """
     chosen = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(
         F.col(id_col).alias("id")).agg((F.max(label_col) > 0).cast("int").alias("label"))
     some = [chosen.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(max_documents // 2) for k in (0, 1)]
     some = some[0].unionAll(some[1])  # max_documents rows at most
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(some), "id")
+    texts = texts.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     texts = texts.select(F.col("id").cast("string").alias("id"), "label", "text")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -160,6 +160,14 @@ def test_quality_edges(spark):
     assert quality.assess(docs(spark, []), field).collect() == []
 
 
+def test_repeated_rows_of_a_labelled_document_fit_once(spark):
+    texts = [prose(20), "# # ! !\n* * $ $", prose(21) + "!", "% % & &\n< <"]
+    told = labels(spark, [(0, 1, 0), (1, 0, 0), (2, 1, 0), (3, 0, 0)])
+    once = quality.train(docs(spark, texts), told)
+    often = quality.train(docs(spark, texts + [texts[1]] * 30, [0, 1, 2, 3] + [1] * 30), told)
+    assert np.array_equal(once.weights, often.weights) and np.array_equal(once.pairs, often.pairs)
+
+
 def test_decoding_is_the_best_of_all_labellings():
     rng = np.random.default_rng(0)
     width = len(quality.FEATURES)
