@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from affinity.llm import (
     decontam,
+    divergence,
+    fim,
     kneser_ney,
     mixing,
     near_dup,
@@ -17,6 +19,7 @@ from affinity.llm import (
     token_counts,
     token_file,
     toxicity,
+    vp_search,
     warc,
 )
 from affinity.llm.common import remainder, shared_folder
@@ -24,6 +27,8 @@ from affinity.session import scratch_path
 
 #: Folder of the public tokenizers' files, the same on every machine.
 TOKENIZERS = os.environ.get("AFFINITY_TOKENIZERS", "/opt/tokenizers")
+#: How far the search prunes beyond what is certain (1: exact).
+FACTOR = 4.0
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +101,25 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(spark, _table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: where it was cut, its form, the digests of the output and of the text rebuilt from it."""
+    rows = fim.transform(_table(spark, sf_dir, "documents"))
+    rebuilt = fim.restored(F.col("form"), F.col("output"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2(rebuilt, 256).alias("restored_sha256"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source and language: the other sources by divergence, and the terms that it uses most above the rest."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every query row; ``FACTOR`` finds 0.999 of them (README)."""
+    rows = _table(spark, sf_dir, "embeddings")
+    return vp_search.nearest(rows, rows.where(F.col("vec_id") % 20 == 0), k=20, factor=FACTOR)
+
+
 def encode(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Write documents to token files in a new shared folder and read them back."""
     files = token_file.write_token_files(docs, shared_folder(spark, "tokens"), f"{TOKENIZERS}/word_bpe_49k.json")
@@ -113,6 +137,9 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_token_file": op10_token_file,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 _OP1 = """
@@ -156,4 +183,51 @@ FROM judged WHERE n_equal * 100 >= n * 80 GROUP BY doc_id, item_id
 """
 
 
-ORACLES = {"op1_warc": _OP1, "op3_decontamination": _op3()}
+_OP11 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+     l AS (SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u,
+                  list_transform(range(4), lambda k: ('0x' || substr(x, 1 + 8 * k, 8))::BIGINT) AS h FROM d),
+     c AS (SELECT *, len(u)::BIGINT AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a,
+                  greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+                  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 100
+                       THEN 'plain' WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM l),
+     p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid,
+                  array_to_string(u[b + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+_OP12 = r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS row,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+           FROM documents),
+     w AS (SELECT lang, source, row, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+     k AS (SELECT lang, term, count(*) AS c FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+     v AS (SELECT lang, count(*) AS v, sum(c) AS n FROM k GROUP BY lang),
+     g AS (SELECT lang, source FROM d GROUP BY lang, source),
+     gc AS (SELECT w.lang, source, term, count(*) AS c FROM w JOIN k USING (lang, term) GROUP BY w.lang, source, term),
+     gn AS (SELECT lang, source, sum(c) AS n FROM gc GROUP BY lang, source),
+     gp AS (SELECT g.lang, g.source, k.term, coalesce(gc.c, 0) AS c,
+                   1 + (1000000000 * (coalesce(gc.c, 0) + 1)::HUGEINT) // (coalesce(gn.n, 0) + v.v)::HUGEINT AS p,
+                   1 + (1000000000 * (k.c + 1)::HUGEINT) // (v.n + v.v)::HUGEINT AS q
+            FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN gn USING (lang, source)
+            LEFT JOIN gc ON gc.lang = g.lang AND gc.source = g.source AND gc.term = k.term),
+     pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0) AS value
+               FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+               LEFT JOIN gp x ON x.lang = a.lang AND x.source = a.source
+               LEFT JOIN gp y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+               WHERE x.term IS NULL OR y.term IS NOT NULL GROUP BY 1, 2, 3),
+     terms AS (SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM gp WHERE c > 0 AND p > q),
+     parts AS (SELECT 'pair' AS part, * FROM pairs UNION ALL BY NAME SELECT 'term' AS part, * FROM terms),
+     r AS (SELECT lang, source, part, item, value::BIGINT AS value, row_number() OVER (
+             PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM parts)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
+
+ORACLES = {"op1_warc": _OP1, "op3_decontamination": _op3(), "op11_fill_in_middle": _OP11,
+           "op12_source_divergence": _OP12}
