@@ -48,32 +48,30 @@ def salted_pairs(rows: DataFrame, group: str, member: str, payload: Sequence[str
     suffix ``_1`` / ``_2``. With ``unordered`` each unordered pair comes once
     (member_1 < member_2).
 
-    Groups of at most ``block`` members take a plain self-join on the group.
-    A bigger group is cut into
-    ceil(n / block) hash blocks and each block pair (b1, b2) is its own join
-    key, so its n**2 pairs are spread over ceil(n / block)**2 tasks instead of
-    one.
+    Every group is cut into ceil(n / block) hash blocks (one for most groups)
+    before anything is shuffled, and (group, block, other block) is the join
+    key: a big group's n**2 pairs are spread over ceil(n / block)**2 keys, and a
+    side's rows are dealt by that key, never by the group alone. Each side is
+    read once.
+
+    The join makes many more rows than it reads, which AQE does not foresee when
+    it sizes partitions by input bytes; so both sides are dealt over all of the
+    session's shuffle partitions. The join needs that layout anyway.
     """
     right = rows if right is None else right
-    cols1 = [F.col(c).alias(f"{c}_1") for c in [member, *payload]]
-    cols2 = [F.col(c).alias(f"{c}_2") for c in [member, *payload]]
-    m1, m2 = F.col(f"{member}_1"), F.col(f"{member}_2")
-    keep = m1 < m2 if unordered else m1 != m2
-    small = F.col(group_size) <= F.lit(block)
-    # Common path: plain self-join on the group key.
-    plain = (rows.where(small).select(F.col(group), *cols1)
-             .join(right.where(small).select(F.col(group), *cols2), group)
-             .where(keep))
-    # Hot groups: block-pair keys.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     nb = block_count(group_size, block)
-    salt = F.pmod(F.xxhash64(F.col(member)), nb)
-    left = rows.where(~small).select(F.col(group), *cols1, salt.alias("_b1"),
-                                     F.explode(F.sequence(F.lit(0), nb - 1)).alias("_b2"))
-    other = right.where(~small).select(F.col(group), *cols2,
-                                       F.explode(F.sequence(F.lit(0), nb - 1)).alias("_b1"),
-                                       salt.alias("_b2"))
-    hot = (left.join(other, [group, "_b1", "_b2"]).where(keep).drop("_b1", "_b2"))
-    return plain.unionByName(hot)
+    own = F.pmod(F.xxhash64(F.col(member)), nb).cast("int")
+    every = F.explode(F.sequence(F.lit(0), nb - 1))
+
+    def side(df: DataFrame, suffix: str, mine: str, other: str) -> DataFrame:
+        cols = [F.col(c).alias(c + suffix) for c in [member, *payload]]
+        return (df.select(F.col(group), *cols, own.alias(mine), every.alias(other))
+                .repartition(parts, group, "_b1", "_b2"))
+
+    m1, m2 = F.col(f"{member}_1"), F.col(f"{member}_2")
+    return (side(rows, "_1", "_b1", "_b2").join(side(right, "_2", "_b2", "_b1"), [group, "_b1", "_b2"])
+            .where(m1 < m2 if unordered else m1 != m2).drop("_b1", "_b2"))
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
