@@ -1,12 +1,12 @@
 """Source divergence audit: how far the words of each source are from its language's other sources.
 
-``CountVectorizer`` with minDF and the largest vocabulary counts the terms of
-each document exactly.  A term carries its document's language, so every
-language has a vocabulary, and document frequencies, of its own from one fit.
-The distinct terms are estimated first and cut by a hash into blocks, each with
-a model of its own, so that no model, which the driver holds, outgrows
+A ``CountVectorizer`` for each language, with minDF and the largest vocabulary,
+counts the terms of each document exactly.  The distinct terms of a language are
+estimated first and, if they are many, cut by a hash into blocks with a model
+each, so that no model, which the driver and every worker hold, outgrows
 ``block_terms`` however large the corpus is; a term's counts do not depend on
-its block.
+its block.  Languages are few; each is read by a filter on its column, which
+prunes the files of a table that is laid out by it.
 
 The sparse vectors of the documents are summed by group as ``Summarizer`` does,
 but by index, since its dense buffers would be as long as the vocabulary.  Most
@@ -21,7 +21,6 @@ All arithmetic is on integers.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,79 +30,82 @@ from affinity.session import scratch_path
 
 #: What separates terms: all of ASCII but its letters.
 NOT_A_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Non-ASCII letters that lower() would change and the operator does not.
+_OTHER_CAPITAL = r"[\p{javaUpperCase}\p{javaTitleCase}&&[^A-Z]]"
 #: Probabilities are whole multiples of one billionth.
 SCALE = 1_000_000_000
 #: The largest vocabulary size that CountVectorizer takes.
 MAX_VOCABULARY = 2**31 - 1
-#: Distinct terms (those of too few documents included) that one model counts, about.
+#: Distinct terms (those of too few documents included) that one model counts at most, by an estimate from above.
 BLOCK_TERMS = 4_000_000
-#: Stands between the language and the term; no term holds it.
-_MARK = "\x00"
+#: The estimate takes one in so many documents: all of them have at most as many times the terms of these.
+SAMPLE = 16
 
 
-def _terms(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
-    """(lang, source, terms): the terms of each document in order, each after its language."""
-    def text(name: str) -> Column:
-        return F.coalesce(F.col(name).cast("string"), F.lit(""))
+def _terms(text: Column) -> Column:
+    """The terms of a text in order (and an empty one at either end that has none)."""
+    low = F.when(text.rlike(_OTHER_CAPITAL), ascii_lower(text)).otherwise(F.lower(text))
+    return F.split(low, NOT_A_TERM)
 
-    rows = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("text"))
-    parts = F.array_remove(F.split(ascii_lower(F.col("text")), NOT_A_TERM), "")
-    return rows.select("lang", "source", F.transform(parts, lambda x: F.concat("lang", F.lit(_MARK), x)).alias("terms"))
-
-
-def _blocks(terms: DataFrame, block_terms: int) -> list[DataFrame]:
-    """The documents once for each block of the vocabulary, with its terms only."""
-    spark = terms.sparkSession
-    distinct = terms.select(F.explode("terms").alias("term")).agg(F.approx_count_distinct("term", 0.02)).first()[0]
-    n = -(-int(distinct * 1.1) // block_terms)
-    if n <= 1:
-        return [terms]
-    at = F.transform("terms", lambda x: F.pmod(F.xxhash64(x), F.lit(n)))
-    rows = terms.withColumn("at", at).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    own = F.filter("terms", lambda _, i: F.get("at", i) == F.col("block"))
-    path = scratch_path(spark, "terms-by-block")
-    rows.select("lang", "source", own.alias("terms"), "block").where(F.size("terms") > 0).write.partitionBy(
-        "block").parquet(path)
-    table = spark.read.parquet(path)
-    return [table.where(F.col("block") == b).select("lang", "source", "terms") for b in range(n)]
-
-
-def document_vectors(terms: DataFrame, min_df: int = 3) -> tuple[DataFrame, DataFrame]:
-    """((lang, source, indices, values) of each document, (index, lang, term) of the kept terms)."""
-    spark = terms.sparkSession
-    # Rows of a term that no document has keep the vocabulary from being empty, which the estimator refuses.
+
+def _languages(docs: DataFrame) -> list[tuple[str, int]]:
+    """(language, an upper estimate of its distinct terms); one scan, that splits the sampled texts only."""
+    text = F.when(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0, F.col("text")).otherwise(F.lit(""))
+    terms = docs.select("lang", F.explode(_terms(text)).alias("term"))
+    found = terms.groupBy("lang").agg(F.approx_count_distinct("term", 0.02).alias("n")).collect()
+    return [(lang, int(n * 1.1) * SAMPLE) for lang, n in found]
+
+
+def document_vectors(docs: DataFrame, min_df: int, block: tuple[int, int] = (0, 1)) -> tuple[DataFrame, DataFrame]:
+    """((source, indices, values) of each document, (index, term) of the kept terms) of one language.
+
+    ``block`` (b, n): of the terms, those whose hash modulo n is b.
+    """
+    spark, (b, n) = docs.sparkSession, block
+    terms = _terms(F.col("text"))
+    if n > 1:
+        terms = F.filter(terms, lambda x: F.pmod(F.xxhash64(x), F.lit(n)) == b)
+    rows = docs.select("source", terms.alias("terms"))
+    # Rows of an empty term keep the vocabulary from being empty, which the estimator refuses.
     guard = spark.range(min_df).select(F.array(F.lit("")).alias("terms"))
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=MAX_VOCABULARY).fit(
-        terms.select("terms").unionAll(guard))
-    kept = pa.table({"index": pa.array(range(len(model.vocabulary)), pa.int32()), "term": model.vocabulary})
-    kept = spark.createDataFrame(kept).where("term != ''")
-    # All before the last mark is the language.
-    term = F.substring_index("term", _MARK, -1)
-    lang = F.expr("substring(term, 1, char_length(term) - char_length(substring_index(term, '\\u0000', -1)) - 1)")
-    kept = written(kept.select("index", lang.alias("lang"), term.alias("term")), "vocabulary")
+        rows.select("terms").unionAll(guard))
+    # The vocabulary goes from the model to a table by its own writer, not through Python.
+    path = scratch_path(spark, "count-vectorizer")
+    model.save(path)
+    kept = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("index", "term"))
     path = scratch_path(spark, "document-vectors")
-    model.transform(terms).select("lang", "source", "vector").write.parquet(path)
+    model.transform(rows).select("source", "vector").write.parquet(path)
     # A sparse vector is stored as a struct; read as one, its parts are plain columns.
-    stored = "lang string, source string, vector struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+    stored = "source string, vector struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
     vectors = spark.read.schema(stored).parquet(path)
-    return vectors.select("lang", "source", "vector.indices", "vector.values"), kept
+    return vectors.select("source", "vector.indices", "vector.values"), kept.where("term != ''")
 
 
 def group_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
                  min_df: int = 3, block_terms: int = BLOCK_TERMS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """((lang, source) groups, (lang, source, id, count) of kept terms, (id, lang, term) vocabulary)."""
-    terms = written(_terms(docs, text_col, lang_col, source_col), "terms")
-    counts, words = None, None
-    for b, block in enumerate(_blocks(terms, block_terms)):
-        vectors, kept = document_vectors(block, min_df)
-        one = vectors.select("lang", "source", F.explode(F.arrays_zip("indices", "values")).alias("x"))
-        one = one.groupBy("lang", "source", F.col("x.indices").alias("index")).agg(
-            F.sum(F.col("x.values").cast("long")).alias("count"))
-        base = F.lit(b).cast("long") * MAX_VOCABULARY + F.col("index")
-        one, kept = one.select("lang", "source", base.alias("id"), "count"), kept.select(base.alias("id"), "lang", "term")
-        counts = one if counts is None else counts.unionAll(one)
-        words = kept if words is None else words.unionAll(kept)
-    return terms.select("lang", "source").distinct(), written(counts, "group-counts"), words
+    def text(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+    rows = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("text"))
+    none = docs.sparkSession.createDataFrame
+    counts, words, base = none([], "lang string, source string, id long, count long"), none([], "id long, lang string, term string"), 0
+    for lang, most in sorted(_languages(rows)):
+        own = docs.where(F.col(lang_col) == lang if lang else F.coalesce(lang_col, F.lit("")) == "")
+        own = own.select(text(source_col).alias("source"), text(text_col).alias("text"))
+        n = max(1, -(-most // block_terms))
+        for b in range(n):
+            vectors, kept = document_vectors(own, min_df, (b, n))
+            term_id = (F.lit(base).cast("long") + F.col("index")).alias("id")
+            # An empty term, the guard's, has no row in the vocabulary: its counts go with the join on it.
+            kept = written(kept.select(term_id, F.lit(lang).alias("lang"), "term"), "vocabulary")
+            one = vectors.select("source", F.explode(F.arrays_zip("indices", "values")).alias("x"))
+            one = one.groupBy("source", F.col("x.indices").alias("index")).agg(
+                F.sum(F.col("x.values").cast("long")).alias("count")).select("source", term_id, "count")
+            one = one.join(kept.select("id"), "id", "left_semi").select(F.lit(lang).alias("lang"), "source", "id", "count")
+            counts, words, base = counts.unionAll(written(one, "group-counts")), words.unionAll(kept), base + MAX_VOCABULARY
+    return rows.select("lang", "source").distinct(), counts, words
 
 
 def _probability(count: Column | str, total: Column | str) -> Column:
@@ -169,9 +171,16 @@ def _pairs(own: DataFrame, groups: DataFrame) -> DataFrame:
         "add", F.col("k") * (_distance("a0", "q") - _distance("a0", "b0")))
     x = own.select("id", F.col("g").alias("a"), "p", F.col("p0").alias("a0"))
     y = own.select("id", F.col("g").alias("b"), F.col("p").alias("q"), F.col("p0").alias("b0"))
-    shared = x.join(y, "id").where("a != b").withColumn(
-        "add", _distance("p", "q") - _distance("p", "b0") - _distance("a0", "q") + _distance("a0", "b0"))
-    added = mine.select("a", "b", "add").unionAll(other.select("a", "b", "add")).unionAll(shared.select("a", "b", "add"))
+
+    def both(p: str, q: str, a0: str, b0: str) -> Column:
+        return F.sum(_distance(p, q) - _distance(p, b0) - _distance(a0, q) + _distance(a0, b0))
+
+    # Every two sources meet once; both ways are summed at once.
+    shared = x.join(y, "id").where("a < b").groupBy("a", "b").agg(
+        both("p", "q", "a0", "b0").alias("there"), both("q", "p", "b0", "a0").alias("back"))
+    shared = shared.select(F.inline(F.array(F.struct("a", "b", F.col("there").alias("add")),
+                                            F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("back").alias("add")))))
+    added = mine.select("a", "b", "add").unionAll(other.select("a", "b", "add")).unionAll(shared)
     added = added.groupBy("a", "b").agg(F.sum("add").alias("add"))
     value = F.col("v") * F.col("f0") + F.coalesce("add", F.lit(0))
     return every.join(added, ["a", "b"], "left").select("lang", "source", F.lit("pair").alias("part"), "item",
