@@ -2,31 +2,33 @@
 
 Per target, its document set is the target plus its candidates. A document is
 the lower-cased, trimmed attributes of an item joined by blanks; its terms are
-the distinct tokens. Two weightings:
+the distinct tokens. Three weightings:
 
 * count: every present term weighs 1 (binary term counts);
 * tf-idf: weight = tf * ln((m + 1) / (df + 1)), m and df counted *within the
-  target's document set* (statistics are per target, not per corpus).
+  target's document set* (statistics are per target, not per corpus);
+* hashed: the same over hash buckets, in which colliding words add up.
 
 Similarity is a cosine over the *shared* terms only (norms too); 0 when fewer
 than two terms are shared or when the ratio is 0/0. Candidates are ranked per
 target by cosine DESC, then 100 + click * rating DESC, then item.
 
-Everything is joins and aggregates over (target, item, term) rows restricted
-to the target's own terms; no vectors, no per-target loop.
+Everything is joins and aggregates over (target, item, term) rows restricted to
+the target's own terms, which arrays are intersected for first; no per-target
+loop.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions.numeric import safe_ratio, stable
 from affinity.functions.text import distinct_tokens, sentence
 from affinity.operators.skew import chunked_lists, rank_within
-from affinity.session import materialize
+from affinity.session import materialize, scratch_path
 
 # Fixed value: the score offset of the output documents.
 SCORE_BASE = 100
@@ -79,69 +81,145 @@ def _terms(docs: DataFrame) -> DataFrame:
     return item_words(docs).select("item", F.explode("words").alias("term"))
 
 
-def member_terms(cands: DataFrame, docs: DataFrame, written: bool = True) -> DataFrame:
-    """(item, term) for every document that is in some target's document set.
+def member_words(cands: DataFrame, docs: DataFrame, written: bool = True) -> DataFrame:
+    """(item, words) for every document that is in some target's document set.
 
     Only member documents are tokenised (a semi join on the member ids), and
-    only once: the term table is read by several later steps, so it is
-    written to the shared checkpoint folder.
+    only once: the words are read by several later steps, so they are written to
+    the shared checkpoint folder.
     """
     ids = document_set(cands).select("item").distinct()
-    terms = _terms(docs.join(ids, "item", "left_semi"))
-    return materialize(terms, "member_terms") if written else terms
+    words = item_words(docs.join(ids, "item", "left_semi"))
+    return materialize(words, "member_words") if written else words
 
 
-def _set_terms(cands: DataFrame, docs: DataFrame,
-               terms: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Members with documents, (target, item, term) rows of every member, and
-    (target, term) rows of each target's own document."""
-    members = document_set(cands).join(docs.select("item"), "item", "left_semi")
-    terms = member_terms(cands, docs) if terms is None else terms
-    rows = members.select("target", "item").join(terms, "item")
-    own = (cands.select("target").distinct()
-           .join(terms.withColumnRenamed("item", "target"), "target"))
-    return members, rows, own
+def rare_term_candidates(docs: DataFrame, targets: DataFrame, prefix: int = 3) -> DataFrame:
+    """(target, item): the other documents that hold one of the ``prefix`` rarest shared terms of a target.
+
+    A term is shared if another document holds it. An inverted index of those terms only: document frequencies order the terms
+    of each target (ties by term), and the documents of its first ones meet it
+    on the term. So the rows joined are the sum of the lists of rare terms, and
+    no list of a common one is read unless a target has nothing rarer.
+    """
+    terms = materialize(_terms(docs), "document_terms")
+    own = terms.join(targets.select("item").distinct(), "item", "left_semi")
+    df = (terms.join(own.select("term").distinct(), "term", "left_semi")
+          .groupBy("term").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
+    order = Window.partitionBy("item").orderBy("df", "term")
+    rare = (own.join(df, "term").withColumn("_rn", F.row_number().over(order))
+            .where(F.col("_rn") <= prefix).select(F.col("item").alias("target"), "term"))
+    return (rare.join(terms, "term").where(F.col("item") != F.col("target"))
+            .select("target", "item").distinct())
+
+
+def _known(cands: DataFrame, docs: DataFrame) -> DataFrame:
+    """The document set of each target, members with a document only."""
+    return document_set(cands).join(docs.select("item"), "item", "left_semi")
 
 
 def tfidf_weights(cands: DataFrame, docs: DataFrame) -> DataFrame:
     """(target, term, df, m, idf) for every term of every target's document set."""
-    members, rows, _ = _set_terms(cands, docs)
+    members = _known(cands, docs)
+    rows = members.select("target", "item").join(
+        member_words(cands, docs).select("item", F.explode("words").alias("term")), "item")
     m = members.groupBy("target").agg(F.count(F.lit(1)).alias("m"))
     df = rows.groupBy("target", "term").agg(F.count(F.lit(1)).alias("df"))
     return df.join(m, "target").withColumn(
         "idf", F.log((F.col("m") + 1) / (F.col("df") + 1)))
 
 
+def sparse_cosine(one: DataFrame, other: DataFrame, on: Sequence[str], item: Sequence[str],
+                  term: str = "term", weight: str = "w", min_shared: int = 2) -> DataFrame:
+    """(on, item, shared, cos) of sparse vectors: cosine over the terms that both hold, norms over these too.
+
+    ``one`` has rows (on, term, weight), ``other`` rows (on, item, term, weight);
+    the vectors of equal ``on`` are compared. A row of weight 0 is an entry and
+    counts as held; a null weight is 0. cos is 0 with fewer than ``min_shared``
+    shared terms and when a norm is 0; vectors that share no term give no row.
+    """
+    a = one.select(*on, term, F.coalesce(weight, F.lit(0.0)).alias("_wa"))
+    b = other.select(*on, *item, term, F.coalesce(weight, F.lit(0.0)).alias("_wb"))
+    sums = b.join(a, [*on, term]).groupBy(*on, *item).agg(
+        F.count(F.lit(1)).alias("shared"), F.sum(F.col("_wa") * F.col("_wb")).alias("_num"),
+        F.sum(F.col("_wa") * F.col("_wa")).alias("_da"), F.sum(F.col("_wb") * F.col("_wb")).alias("_db"))
+    ratio = F.coalesce(safe_ratio("_num", F.sqrt("_da") * F.sqrt("_db")), F.lit(0.0))
+    return sums.select(*on, *item, "shared", F.when(F.col("shared") < min_shared, F.lit(0.0)).otherwise(ratio).alias("cos"))
+
+
+def shared_words(cands: DataFrame, words: DataFrame) -> DataFrame:
+    """(target, item, shared ARRAY): the terms of a candidate that its target has too, before anything is exploded."""
+    mine = words.select(F.col("item").alias("target"), F.col("words").alias("own"))
+    return (cands.select("target", "item").where(F.col("item") != F.col("target")).join(words, "item")
+            .join(mine, "target").select("target", "item", F.array_intersect("own", "words").alias("shared")))
+
+
 def cosine_scores(cands: DataFrame, docs: DataFrame, weighting: str = "tfidf",
-                  terms: DataFrame | None = None) -> DataFrame:
+                  words: DataFrame | None = None) -> DataFrame:
     """(target, item, cos) for candidates sharing at least one term with their target."""
-    members, rows, own = _set_terms(cands, docs, terms)
-    # Candidate terms shared with the target (the target's own rows are not
-    # needed: its terms come straight from the term table).
-    shared = (rows.where(F.col("item") != F.col("target"))
-              .join(own, ["target", "term"], "left_semi"))
-    if weighting == "tfidf":
-        m = members.groupBy("target").agg(F.count(F.lit(1)).alias("m"))
-        df = shared.groupBy("target", "term").agg((F.count(F.lit(1)) + 1).alias("df"))
-        idf = df.join(m, "target").select(
-            "target", "term", F.log((F.col("m") + 1) / (F.col("df") + 1)).alias("w"))
-        weighted = shared.join(idf, ["target", "term"]).select(
-            "target", "item", F.col("w").alias("wt"), F.col("w").alias("wc"))
-    elif weighting == "count":
-        weighted = shared.select("target", "item", F.lit(1.0).alias("wt"), F.lit(1.0).alias("wc"))
-    else:
+    if weighting not in ("tfidf", "count"):
         raise ValueError(f"unknown weighting {weighting!r}")
-    sums = weighted.groupBy("target", "item").agg(
-        F.count(F.lit(1)).alias("s"), F.sum(F.col("wt") * F.col("wc")).alias("num"),
-        F.sum(F.col("wt") * F.col("wt")).alias("d1"), F.sum(F.col("wc") * F.col("wc")).alias("d2"))
-    cos = F.when(F.col("s") <= 1, F.lit(0.0)).otherwise(
-        F.coalesce(safe_ratio("num", F.sqrt("d1") * F.sqrt("d2")), F.lit(0.0)))
-    return sums.select("target", "item", cos.alias("cos"))
+    words = member_words(cands, docs) if words is None else words
+    # Read by the document frequencies and by the scores: written once.
+    shared = materialize(shared_words(cands, words).where(F.size("shared") > 0), "shared_words")
+    if weighting == "count":
+        # Every weight is 1, so any two shared terms make the cosine 1.
+        return shared.select("target", "item", F.when(F.size("shared") < 2, 0.0).otherwise(1.0).alias("cos"))
+    rows = shared.select("target", "item", F.explode("shared").alias("term"))
+    m = _known(cands, docs).groupBy("target").agg(F.count(F.lit(1)).alias("m"))
+    df = rows.groupBy("target", "term").agg((F.count(F.lit(1)) + 1).alias("df"))
+    idf = df.join(m, "target").select(
+        "target", "term", F.log((F.col("m") + 1) / (F.col("df") + 1)).alias("w"))
+    # Word sets: a term weighs the same in the target and in the candidate.
+    return sparse_cosine(idf, rows.join(idf, ["target", "term"]), ["target"], ["item"]).select("target", "item", "cos")
+
+
+# -- hashed features ----------------------------------------------------------------
+
+def _stored_vectors(df: DataFrame, col: str) -> DataFrame:
+    """(item, indices, values) of a column of sparse vectors.
+
+    They are written and read back as the structs they are stored as, which
+    gives their parts without a Python function.
+    """
+    path = scratch_path(df.sparkSession, "sparse_vectors")
+    df.select(F.col("item").cast("bigint").alias("item"), F.col(col).alias("v")).write.parquet(path)
+    stored = "item bigint, v struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+    return df.sparkSession.read.schema(stored).parquet(path).select("item", "v.indices", "v.values")
+
+
+def hashed_vectors(words: DataFrame, num_features: int = 1 << 18) -> DataFrame:
+    """(item, buckets ARRAY<INT>, tf ARRAY<DOUBLE>): words counted by hash bucket, as ``HashingTF`` does."""
+    from pyspark.ml.feature import HashingTF
+
+    tf = HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features).transform(words)
+    return _stored_vectors(tf, "tf").toDF("item", "buckets", "tf")
+
+
+def hashed_scores(cands: DataFrame, docs: DataFrame, num_features: int = 1 << 18,
+                  words: DataFrame | None = None) -> DataFrame:
+    """(target, item, cos) by hashed TF-IDF, idf = ln((m + 1) / (df + 1)) of each bucket within a target's document set.
+
+    Words of one bucket add up, so weights of the target and a candidate differ
+    where they hold different ones. Buckets that the target lacks are in no
+    product: the arrays of buckets are intersected before rows are made of them.
+    """
+    vectors = hashed_vectors(member_words(cands, docs) if words is None else words, num_features)
+    tf = vectors.select("item", F.explode(F.arrays_zip("buckets", "tf")).alias("x")).select("item", "x.buckets", "x.tf")
+    tf = tf.withColumnRenamed("buckets", "bucket")
+    pairs = shared_words(cands, vectors.select("item", F.col("buckets").alias("words")))
+    rows = materialize(pairs.select("target", "item", F.explode("shared").alias("bucket")), "shared_buckets")
+    m = _known(cands, docs).groupBy("target").agg(F.count(F.lit(1)).alias("m"))
+    df = rows.groupBy("target", "bucket").agg((F.count(F.lit(1)) + 1).alias("df"))
+    idf = df.join(m, "target").select("target", "bucket", F.log((F.col("m") + 1) / (F.col("df") + 1)).alias("idf"))
+    weigh = (F.col("tf") * F.col("idf")).alias("w")
+    mine = idf.join(tf.withColumnRenamed("item", "target"), ["target", "bucket"]).select("target", "bucket", weigh)
+    theirs = rows.join(tf, ["item", "bucket"]).join(idf, ["target", "bucket"]).select("target", "item", "bucket", weigh)
+    return sparse_cosine(mine, theirs, ["target"], ["item"], term="bucket").select("target", "item", "cos")
 
 
 def rank_candidates(cands: DataFrame, docs: DataFrame, weighting: str = "tfidf",
-                    terms: DataFrame | None = None) -> DataFrame:
-    """(target, item, cos, ordered, rank) per target.
+                    words: DataFrame | None = None, num_features: int = 1 << 18) -> DataFrame:
+    """(target, item, cos, ordered, rank) per target; ``weighting`` is count, tfidf or hashed.
 
     Candidates with a document, not the target, and not the target's sibling
     (same parent); cos is 0 for candidates sharing fewer than two terms.
@@ -151,7 +229,9 @@ def rank_candidates(cands: DataFrame, docs: DataFrame, weighting: str = "tfidf",
     pool = (cands.select("target", "item", "click", "rating")
             .join(parents, "item").join(tparent, "target")
             .where((F.col("item") != F.col("target")) & (F.col("parent") != F.col("tparent"))))
-    scored = (pool.join(cosine_scores(cands, docs, weighting, terms), ["target", "item"], "left")
+    scores = (hashed_scores(cands, docs, num_features, words) if weighting == "hashed"
+              else cosine_scores(cands, docs, weighting, words))
+    scored = (pool.join(scores, ["target", "item"], "left")
               .select("target", "item",
                       stable(F.coalesce(F.col("cos"), F.lit(0.0))).alias("cos"),
                       (F.lit(SCORE_BASE) + F.col("click") * F.col("rating")).alias("ordered")))
@@ -184,12 +264,13 @@ def overlap(a: DataFrame, b: DataFrame, k: int | None = None) -> DataFrame:
 def hashing_tfidf(docs: DataFrame, num_features: int = 1 << 18) -> DataFrame:
     """ML form: HashingTF + IDF fitted once over the whole corpus.
 
-    Returns (item, features) with ml SparseVectors. Words can collide in a
-    hash bucket; the exact per-target form is ``cosine_scores``.
+    Returns (item, buckets ARRAY<INT>, weights ARRAY<DOUBLE>). Words can collide
+    in a hash bucket; the per-target form is ``hashed_scores``, the exact one
+    ``cosine_scores``.
     """
     from pyspark.ml.feature import IDF, HashingTF
 
     words = item_words(docs)
     tf = HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features).transform(words)
     model = IDF(inputCol="tf", outputCol="features").fit(tf)
-    return model.transform(tf).select("item", "features")
+    return _stored_vectors(model.transform(tf), "features").toDF("item", "buckets", "weights")

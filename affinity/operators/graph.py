@@ -64,7 +64,8 @@ def adjacency_in(merged: DataFrame, chunk_size: int = 4096) -> DataFrame:
 
 def target_catalogs(targets: DataFrame, catalogs: DataFrame) -> DataFrame:
     """(item, catalog) of targets that have a catalog."""
-    return targets.select("item").join(catalogs.select("item", "catalog"), "item")
+    known = catalogs.select("item", "catalog").where(F.col("catalog").isNotNull())
+    return targets.select("item").join(known, "item")
 
 
 def related_catalogs(tcat: DataFrame, brothers: DataFrame) -> DataFrame:

@@ -9,13 +9,12 @@ over many tasks instead of one:
   pairs of one group;
 * ``chunked_lists`` - per-key lists whose big keys are split into chunks of
   about ``chunk_size`` entries;
-* ``quantiles_by_index`` - exact order statistics without a global sort in one
-  task.
+* ``order_statistics`` - exact order statistics without a sort of the values.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -109,39 +108,41 @@ def chunked_lists(rows: DataFrame, key: str, order_id: str, entry: Column,
                     F.col("_n").alias("n"), F.col(out)))
 
 
-def quantiles_by_index(values: DataFrame, col: str,
-                       indexes: dict[str, Callable[[Column], Column]],
-                       buckets: int = 256) -> DataFrame:
-    """Exact order statistics: for each name, sorted(col)[index(n)], 0-based.
+def order_statistics(values: DataFrame, wanted: dict[str, tuple[str, float]], accuracy: int = 100_000) -> DataFrame:
+    """Exact order statistics of several value lists at once: one row, a column per name.
 
-    No global sort in one task: values are counted per distinct value (partial
-    aggregate); the distinct values are range-partitioned into ``buckets``
-    ordered ranges (Spark samples the range bounds); range totals give each
-    range its offset (a window over at most ``buckets`` rows); a running count
-    inside each range finds the first value whose cumulative count exceeds the
-    index. One row out; NULL for empty input.
+    ``values`` has rows (kind, value DOUBLE, NULL ignored); ``wanted`` maps a name
+    to (kind, share), share 0.5 or 0.75: sorted(value)[n / 2] or [n / 2 + n / 4]
+    with whole divisions, 0-based.
+
+    Sketches of fixed size give bounds around each wanted place first (their
+    rank error is at most n / ``accuracy``); one histogram then counts exactly:
+    the values below the bounds as a single entry, those inside by value. So no
+    list is sorted, and what one task orders is a ten-thousandth of the values.
+    NULL for an empty list.
     """
-    v = values.where(F.col(col).isNotNull())
-    # Written once: two steps read it, and the bucket of every value is then
-    # fixed in storage (not recomputed from partition ids).
-    hist = materialize(v.groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"))
-                       .repartitionByRange(buckets, col)
-                       .withColumn("_bucket", F.spark_partition_id()), "value_histogram")
-    totals = hist.groupBy("_bucket").agg(F.sum("_cnt").alias("_tot"))
-    offsets = totals.select(
-        "_bucket",
-        F.coalesce(F.sum("_tot").over(
-            Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0)).alias("_off"))
-    within = Window.partitionBy("_bucket").orderBy(col).rowsBetween(
+    margin = 10 / accuracy
+    v = values.where(F.col("value").isNotNull())
+    n = F.count(F.lit(1))
+    places = {0.5: F.floor(n / 2), 0.75: F.floor(n / 2) + F.floor(n / 4)}
+    entries = []
+    for name, (kind, share) in wanted.items():
+        ends = [F.percentile_approx("value", max(0.0, min(1.0, share + side * margin)), F.lit(accuracy))
+                for side in (-1, 1)]
+        few = n < accuracy  # a share of few values may be off by whole places
+        entries.append(F.struct(F.lit(name).alias("name"), F.lit(kind).alias("of"), places[share].alias("place"),
+                                F.when(few, F.min("value")).otherwise(ends[0]).alias("low"),
+                                F.when(few, F.max("value")).otherwise(ends[1]).alias("high")))
+    bounds = v.groupBy("kind").agg(F.array(*entries).alias("e")).select("kind", F.explode("e").alias("e"))
+    bounds = bounds.where(F.col("e.of") == F.col("kind")).select("kind", "e.name", "e.place", "e.low", "e.high")
+    # A row per name: a broadcast of proven size.
+    inside = F.when(F.col("value") >= F.col("low"), F.col("value"))
+    counted = (v.join(F.broadcast(bounds), "kind").where(F.col("value") <= F.col("high"))
+               .groupBy("name", "place", inside.alias("value")).agg(F.count(F.lit(1)).alias("_k")))
+    upto = Window.partitionBy("name").orderBy(F.asc_nulls_first("value")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    cum = (hist.withColumn("_run", F.sum("_cnt").over(within))
-           .join(offsets, "_bucket")
-           .withColumn("_cum", F.col("_off") + F.col("_run")))
-    n = v.agg(F.count(F.lit(1))).scalar()
-    aggs = [F.min(F.when(F.col("_cum") > fn(n), F.col(col))).alias(name)
-            for name, fn in indexes.items()]
-    return cum.agg(*aggs)
+    found = counted.withColumn("_upto", F.sum("_k").over(upto)).where(F.col("_upto") > F.col("place"))
+    return found.agg(*[F.min(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in wanted])
 
 
 def rank_within(df: DataFrame, group: str, order: Sequence[Column],

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions.numeric import out
-from affinity.operators.skew import quantiles_by_index
+from affinity.operators.skew import order_statistics
 from affinity.session import materialize
 
 
@@ -35,11 +35,6 @@ def rating_density(ratings: DataFrame) -> DataFrame:
     return d.select(*[out(c).alias(c) for c in d.columns])
 
 
-def global_mean_value(ratings: DataFrame):
-    """The global mean rating as a scalar-subquery column (computed once)."""
-    return ratings.agg(F.avg("rating")).scalar()
-
-
 def global_mean(ratings: DataFrame) -> DataFrame:
     """One row: avg_rating."""
     return ratings.agg(out(F.avg("rating")).alias("avg_rating"))
@@ -56,10 +51,10 @@ def target_ratings(ratings: DataFrame, target: int) -> DataFrame:
 
 
 def unwatched_items(ratings: DataFrame, target: int) -> DataFrame:
-    """(item_id) of every rated item the target has not rated (anti join)."""
-    all_items = ratings.select("item_id").distinct()
-    mine = target_ratings(ratings, target).select("item_id")
-    return all_items.join(mine, "item_id", "left_anti")
+    """(item_id) of every rated item the target has not rated: one pass, partial sums per item."""
+    seen = F.max((F.col("user_id") == F.lit(target)).cast("int"))
+    return (ratings.where(F.col("item_id").isNotNull()).groupBy("item_id").agg(F.coalesce(seen, F.lit(0)).alias("_seen"))
+            .where(F.col("_seen") == 0).select("item_id"))
 
 
 # -- items --------------------------------------------------------------------
@@ -134,19 +129,17 @@ def reverse_adjacency_rows(merged: DataFrame) -> DataFrame:
 def edge_quantiles(merged: DataFrame) -> DataFrame:
     """Median and upper quartile (by index n/2 and n/2 + n/4 of the sorted
     values) and the mean of clicks; the same quantiles of non-zero ratings."""
-    # Three statistics read the same rows: written once.
-    rows = materialize(reverse_adjacency_rows(merged), "edge_sources")
-    half = lambda n: F.floor(F.lit(n) / 2)
-    upper = lambda n: F.floor(F.lit(n) / 2) + F.floor(F.lit(n) / 4)
-    clicks = quantiles_by_index(rows, "click", {"click_p50": half, "click_p75": upper})
-    ratings = quantiles_by_index(rows.where(F.col("rating") != 0.0), "rating",
-                                 {"rating_p50": half, "rating_p75": upper})
-    # Each quantile row is one struct-valued scalar subquery: no join needed.
-    qc = clicks.select(F.struct("*")).scalar()
-    qr = ratings.select(F.struct("*")).scalar()
-    return rows.agg(
-        F.count(F.lit(1)).alias("n_clicks"),
-        qc["click_p50"].alias("click_p50"), qc["click_p75"].alias("click_p75"),
-        out(F.avg("click")).alias("click_mean"),
-        F.count(F.when(F.col("rating") != 0.0, 1)).alias("n_ratings"),
-        qr["rating_p50"].alias("rating_p50"), qr["rating_p75"].alias("rating_p75"))
+    # Three steps read the same rows: written once.
+    rows = materialize(reverse_adjacency_rows(merged).select("click", "rating"), "edge_sources")
+    click = F.struct(F.lit("click").alias("kind"), F.col("click").cast("double").alias("value"))
+    rating = F.struct(F.lit("rating").alias("kind"), F.when(F.col("rating") != 0.0, F.col("rating")).alias("value"))
+    found = order_statistics(rows.select(F.inline(F.array(click, rating))), {
+        "click_p50": ("click", 0.5), "click_p75": ("click", 0.75),
+        "rating_p50": ("rating", 0.5), "rating_p75": ("rating", 0.75)})
+    whole = rows.agg(F.count(F.lit(1)).alias("n_clicks"), out(F.avg("click")).alias("click_mean"),
+                     F.count(F.when(F.col("rating") != 0.0, 1)).alias("n_ratings"))
+    # One row each, put side by side by a constant key.
+    return (whole.withColumn("_one", F.lit(1)).join(found.withColumn("_one", F.lit(1)), "_one", "left")
+            .select("n_clicks", F.col("click_p50").cast("bigint").alias("click_p50"),
+                    F.col("click_p75").cast("bigint").alias("click_p75"), "click_mean", "n_ratings",
+                    "rating_p50", "rating_p75"))

@@ -6,14 +6,13 @@ over the s items both rated, where du, dt are deviations from each user's mean
 over *all* of that user's ratings. pc is 0 when nothing is shared, when either
 user gave one rating value only, or when the ratio is 0/0.
 
-The one-against-all comparison is an equi-join on item with the target's
-ratings (not a cross join): users sharing nothing never meet and get pc = 0 by
-a left join from the user list.
+The one-against-all comparison is a left join on item with the target's ratings
+(not a cross join) and one aggregate per user; users sharing nothing get pc = 0.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions.numeric import out, safe_ratio, significance_weight, stable
@@ -24,13 +23,6 @@ NEIGHBOURS = 30
 TOP_N = 10
 
 
-def user_stats(ratings: DataFrame) -> DataFrame:
-    """(user_id, n, mean, flat): flat when all of the user's ratings are equal."""
-    return ratings.groupBy("user_id").agg(
-        F.count("rating").alias("n"), F.avg("rating").alias("mean"),
-        (F.min("rating") == F.max("rating")).alias("flat"))
-
-
 def target_rows(ratings: DataFrame, target: int, written: bool = True) -> DataFrame:
     """(item_id, rating) of the target, written once to the shared folder.
 
@@ -43,29 +35,36 @@ def target_rows(ratings: DataFrame, target: int, written: bool = True) -> DataFr
 
 
 def correlations(ratings: DataFrame, target: int, mine_rows: DataFrame | None = None) -> DataFrame:
-    """(user_id, mean, pc, pc_raw) for every user except ``target``; pc rounded to 12 digits."""
-    stats = user_stats(ratings)
+    """(user_id, mean, pc, pc_raw) for every user except ``target``; pc rounded to 12 digits.
+
+    One aggregate per user holds all that the formula needs: the count, sum and
+    range of the user's ratings, and of the ratings shared with the target the
+    count, sums, squares and products; deviations from the means follow by
+    algebra. What is left of a square sum by rounding counts as 0.
+    """
     own = target_rows(ratings, target) if mine_rows is None else mine_rows
-    t = own.agg(F.avg("rating").alias("mean"),
-                (F.min("rating") == F.max("rating")).alias("flat"))
-    t_mean = t.select("mean").scalar()
-    t_flat = t.select("flat").scalar()
-    mine = own.select("item_id", (F.col("rating") - t_mean).alias("dt"))
-    others = ratings.where(F.col("user_id") != F.lit(target))
-    shared = (others.join(mine, "item_id")
-              .join(stats.select("user_id", "mean"), "user_id")
-              .withColumn("du", F.col("rating") - F.col("mean")))
-    sums = shared.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("s"), F.sum(F.col("du") * F.col("dt")).alias("num"),
-        F.sum(F.col("du") * F.col("du")).alias("d1"),
-        F.sum(F.col("dt") * F.col("dt")).alias("d2"))
-    # (weight * num) / (sqrt(d1) * sqrt(d2)): the evaluation order of the source.
-    raw = safe_ratio(significance_weight("s") * F.col("num"), F.sqrt("d1") * F.sqrt("d2"))
-    pc = F.when(F.col("flat") | t_flat | F.col("s").isNull(), F.lit(0.0)).otherwise(
-        F.coalesce(raw, F.lit(0.0)))
-    return (stats.where(F.col("user_id") != F.lit(target))
-            .join(sums, "user_id", "left")
-            .select("user_id", "mean", stable(pc).alias("pc"), pc.alias("pc_raw")))
+    # The target's mean, NULL if it gave one rating value only (no correlation then).
+    t_mean = own.agg(F.when(F.min("rating") != F.max("rating"), F.avg("rating"))).scalar()
+    r, t = F.col("rating").cast("double"), F.col("_t").cast("double")
+    both = F.col("_t").isNotNull()
+    mine = own.select("item_id", F.col("rating").alias("_t"))
+    sums = (ratings.where(F.col("user_id") != F.lit(target)).join(mine, "item_id", "left")
+            .groupBy("user_id").agg(
+                F.avg("rating").alias("mean"), (F.min("rating") == F.max("rating")).alias("flat"),
+                F.count("_t").alias("s"), F.sum(F.when(both, r)).alias("r1"), F.sum(F.when(both, r * r)).alias("r2"),
+                F.sum(t).alias("t1"), F.sum(t * t).alias("t2"), F.sum(r * t).alias("rt"))
+            .withColumn("tm", t_mean))
+    s, mean, tm = F.col("s"), F.col("mean"), F.col("tm")
+
+    def spread_of(squares: str, total: str, middle) -> Column:
+        left = F.col(squares) - 2 * middle * F.col(total) + s * middle * middle
+        return F.when(left > F.col(squares) * F.lit(1e-13), left).otherwise(F.lit(0.0))
+
+    num = F.col("rt") - mean * F.col("t1") - tm * F.col("r1") + s * mean * tm
+    raw = safe_ratio(significance_weight("s") * num,
+                     F.sqrt(spread_of("r2", "r1", mean)) * F.sqrt(spread_of("t2", "t1", tm)))
+    pc = F.when(F.col("flat") | tm.isNull() | (s == 0), F.lit(0.0)).otherwise(F.coalesce(raw, F.lit(0.0)))
+    return sums.select("user_id", "mean", stable(pc).alias("pc"), pc.alias("pc_raw"))
 
 
 def neighbours(ratings: DataFrame, target: int, k: int = NEIGHBOURS,

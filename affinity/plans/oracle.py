@@ -128,6 +128,14 @@ oracle("item_baseline", ("bi",), "SELECT item_id, round(b_i, 6) AS value FROM bi
 oracle("baseline_grid", ("bu", "bi", "mu"), """
 SELECT item_id, round((SELECT b_u FROM bu WHERE user_id = 7) + b_i + (SELECT mu FROM mu), 6) AS value
 FROM bi""")
+cte("cells", (), """
+SELECT c_custkey AS user_id, c_custkey AS item_id FROM customer
+UNION ALL SELECT c_custkey, -c_nationkey FROM customer
+UNION ALL SELECT p_size, p_partkey FROM part""")
+oracle("baseline_predict", ("cells", "bu", "bi", "mu"), """
+SELECT c.user_id, c.item_id, round(coalesce(bu.b_u, 0.0) + coalesce(bi.b_i, 0.0) + (SELECT mu FROM mu), 6) AS value,
+       bu.b_u IS NOT NULL AS known_user, bi.b_i IS NOT NULL AS known_item
+FROM cells c LEFT JOIN bu ON bu.user_id = c.user_id LEFT JOIN bi ON bi.item_id = c.item_id""")
 oracle("residuals_dense", ("res",),
        "SELECT user_id, item_id, round(residual, 6) AS residual FROM res")
 
@@ -257,16 +265,16 @@ FROM lines a JOIN lines b ON a.o = b.o AND a.p <> b.p AND a.ln < b.ln
 GROUP BY 1, 2""")
 cte("catalogs", (), """
 SELECT p_partkey AS item,
-       10 * CAST(substr(p_brand, 7) AS INTEGER)
-         + list_position(['ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD'], p_type) AS catalog
-FROM part WHERE p_partkey % 20 <> 0""")
+       CASE WHEN p_size <= 47 THEN 10 * CAST(substr(p_brand, 7) AS INTEGER)
+         + list_position(['ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD'], p_type) END AS catalog
+FROM part""")
 cte("brothers", ("catalogs",), """
 SELECT DISTINCT c1.catalog, c2.catalog AS brother
 FROM catalogs c1 JOIN catalogs c2 ON c1.catalog % 10 = c2.catalog % 10""")
 cte("item_ratings", ("ratings",), """
-SELECT item_id AS itemid, round(avg(rating), 6) AS rating
-FROM ratings WHERE item_id % 17 <> 0 GROUP BY 1""")
-cte("targets", (), "SELECT p_partkey AS item FROM part WHERE p_partkey % 50 = 7")
+SELECT item_id AS itemid, CASE WHEN item_id % 17 <> 0 THEN round(avg(rating), 6) END AS rating
+FROM ratings GROUP BY item_id""")
+cte("targets", (), "SELECT p_partkey AS item FROM part WHERE p_partkey % 20 = 0")
 cte("items", (), """
 SELECT CAST(p_partkey AS VARCHAR) AS itemid,
        CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_partkey // 5 END AS parent_id,
@@ -288,7 +296,7 @@ SELECT DISTINCT item2, item1 AS id, coalesce(rating1, 0.0) AS rating,
 FROM merged""")
 
 oracle("edges_explode", ("edges",), "SELECT item1, item2, click FROM edges")
-oracle("catalogs_load", ("catalogs",), "SELECT item, catalog FROM catalogs")
+oracle("catalogs_load", ("catalogs",), "SELECT item, CAST(catalog AS DOUBLE) AS catalog FROM catalogs")
 oracle("catalog_brothers", ("brothers",), """
 SELECT catalog, string_agg(brother, ',' ORDER BY brother) AS brothers
 FROM brothers GROUP BY catalog""")
@@ -356,7 +364,8 @@ FROM (SELECT *, {_chunk("id")} AS chunk
 GROUP BY item2, chunk, n""")
 
 cte("tcat", ("targets", "catalogs"), """
-SELECT t.item, c.catalog FROM targets t JOIN catalogs c ON t.item = c.item""")
+SELECT t.item, c.catalog FROM targets t JOIN catalogs c ON t.item = c.item
+WHERE c.catalog IS NOT NULL""")
 cte("allowed", ("tcat", "brothers"), """
 SELECT DISTINCT t.item AS target, b.brother AS catalog
 FROM tcat t JOIN brothers b ON b.catalog = t.catalog""")
@@ -399,13 +408,6 @@ SELECT doc_id AS item,
        coalesce(TRY_CAST(regexp_extract(source, '(\\d+)$', 1) AS BIGINT), -1) AS parent,
        concat_ws(' ', lower(trim(source)), lower(trim(lang)), lower(trim(text))) AS sentence
 FROM documents""")
-cte("dcands", (), """
-SELECT t.doc_id AS target, d.doc_id AS item, 0.0 AS rating, 0 AS catalog,
-       CAST(0 AS BIGINT) AS click, 1 AS level
-FROM documents t JOIN documents d ON t.lang = d.lang AND d.doc_id <> t.doc_id
-WHERE t.doc_id % 1000 = 3""")
-
-
 def _words(docs: str) -> str:
     return ("SELECT item, list_distinct(list_filter(regexp_split_to_array(lower(sentence), "
             "'[^\\p{L}\\w\\d]+'), lambda w: length(w) >= 2)) AS words FROM " + docs)
@@ -460,10 +462,86 @@ FROM (SELECT c.target, c.item, round(coalesce(s.cos, 0.0), 12) AS cos,
       WHERE c.item <> c.target AND d.parent <> td.parent)""")
 
 
+cte("dterms", ("ddocs",), "SELECT item, unnest(words) AS term FROM (" + _words("ddocs") + ")")
+cte("dcands", ("dterms",), """
+SELECT DISTINCT r.item AS target, t.item, 0.0 AS rating, 0 AS catalog, CAST(0 AS BIGINT) AS click, 1 AS level
+FROM (SELECT o.item, o.term, row_number() OVER (PARTITION BY o.item ORDER BY f.df, o.term) AS rn
+      FROM dterms o JOIN (SELECT term, count(*) AS df FROM dterms GROUP BY term HAVING count(*) > 1) f ON f.term = o.term
+      WHERE o.item % 20 = 0) r
+JOIN dterms t ON t.term = r.term
+WHERE r.rn <= 3 AND t.item <> r.item""")
 _content("pc", "cands", "pdocs")
 _content("dc", "dcands", "ddocs")
 
 
+# MurmurHash3 (32 bits, seed 42) of a term's UTF-8 bytes, four at a time, the
+# rest as one padded word; then the non-negative remainder.
+_U = "4294967296"
+
+
+def _rotl(x: str, r: int) -> str:
+    return f"((({x}) * {2 ** r} % {_U}) + ({x}) // {2 ** (32 - r)})"
+
+
+def _mixed(k: str) -> str:
+    turned = _rotl(f"({k} * 3432918353::HUGEINT % {_U})", 15)
+    return f"({turned} * 461845907::HUGEINT % {_U})"
+
+
+def _word(at: str) -> str:
+    """Little-endian word of the hex text hx (padded with zeros) that starts at byte ``at``."""
+    return " + ".join(f"('0x' || substr(hx, CAST(2 * ({at} + {k}) + 1 AS BIGINT), 2))::HUGEINT * {256 ** k}" for k in range(4))
+
+
+def _shifted(x: str, r: int) -> str:
+    return f"xor({x}, {x} // {2 ** r})"
+
+
+def _buckets(words: str, features: int) -> str:
+    return f"""
+SELECT item, term, bucket FROM (SELECT DISTINCT unnest(words) AS term FROM {words}) u
+JOIN (SELECT term AS t, CAST(((h4 + 2147483648) % {_U} - 2147483648 + {_U}) % {features} AS INTEGER) AS bucket FROM (
+  SELECT term, {_shifted("h3", 16)} AS h4 FROM (
+  SELECT term, {_shifted("h2", 13)} * 3266489909 % {_U} AS h3 FROM (
+  SELECT term, {_shifted("h1", 16)} * 2246822507 % {_U} AS h2 FROM (
+  SELECT term, xor(xor(h0, CASE WHEN n % 4 = 0 THEN 0::HUGEINT ELSE {_mixed("tail")} END), n::HUGEINT) AS h1 FROM (
+  SELECT term, n, {_word("4 * (n // 4)")} AS tail,
+         list_reduce(list_prepend(42::HUGEINT, list_transform(range(n // 4), lambda i: {_mixed("(" + _word("4 * i") + ")")})),
+           lambda h, k: ({_rotl("xor(h, k)", 13)} * 5 + 3864292196) % {_U}) AS h0
+  FROM (SELECT term, octet_length(encode(term)) AS n, hex(encode(term)) || '00000000' AS hx
+        FROM (SELECT DISTINCT unnest(words) AS term FROM {words})))))))) b ON b.t = u.term
+JOIN (SELECT item, unnest(words) AS w FROM {words}) i ON i.w = u.term"""
+
+
+def _hashed(p: str, cands: str, docs: str, features: int) -> None:
+    """CTEs of the hashed ranking of one binding."""
+    cte(f"{p}_hterms", (f"{p}_words",), _buckets(f"{p}_words", features))
+    cte(f"{p}_tf", (f"{p}_hterms",), f"SELECT item, bucket, count(*) AS tf FROM {p}_hterms GROUP BY 1, 2")
+    cte(f"{p}_hshared", (f"{p}_members", f"{p}_tf"), f"""
+SELECT m.target, m.item, c.bucket, c.tf AS tc, t.tf AS tt
+FROM {p}_members m JOIN {p}_tf c ON c.item = m.item
+JOIN {p}_tf t ON t.item = m.target AND t.bucket = c.bucket WHERE m.item <> m.target""")
+    cte(f"{p}_hscores", (f"{p}_hshared", f"{p}_msz"), f"""
+SELECT target, item, CASE WHEN count(*) <= 1 THEN 0.0
+       ELSE coalesce(sum(tc * tt * w * w) / nullif(sqrt(sum(tt * tt * w * w)) * sqrt(sum(tc * tc * w * w)), 0), 0.0) END AS cos
+FROM (SELECT s.target, s.item, tc, tt, ln((m.m + 1) / (d.df + 1)) AS w
+      FROM {p}_hshared s JOIN {p}_msz m ON m.target = s.target
+      JOIN (SELECT target, bucket, count(*) + 1 AS df FROM {p}_hshared GROUP BY 1, 2) d
+        ON d.target = s.target AND d.bucket = s.bucket)
+GROUP BY target, item""")
+    cte(f"{p}_hashed_ranked", (cands, docs, f"{p}_hscores"), f"""
+SELECT target, item, cos, ordered,
+       row_number() OVER (PARTITION BY target ORDER BY cos DESC, ordered DESC, item ASC) AS rank
+FROM (SELECT c.target, c.item, round(coalesce(s.cos, 0.0), 12) AS cos, 100 + c.click * c.rating AS ordered
+      FROM {cands} c JOIN {docs} d ON d.item = c.item JOIN {docs} td ON td.item = c.target
+      LEFT JOIN {p}_hscores s ON s.target = c.target AND s.item = c.item
+      WHERE c.item <> c.target AND d.parent <> td.parent)""")
+
+
+_hashed("pc", "cands", "pdocs", 64)
+_hashed("dc", "dcands", "ddocs", 1 << 18)
+
+
 def _ranked(src: str) -> str:
     return f"SELECT target, item, round(cos, 6) AS cos, round(ordered, 6) AS ordered, rank FROM {src}"
 
@@ -479,6 +557,16 @@ JOIN pc_msz m ON m.target = r.target""")
 oracle("count_rank", ("pc_count_ranked",), _ranked("pc_count_ranked"))
 oracle("tfidf_rank", ("pc_tfidf_ranked",), _ranked("pc_tfidf_ranked"))
 oracle("tfidf_rank_docs", ("dc_tfidf_ranked",), _ranked("dc_tfidf_ranked"))
+cte("ph_terms", ("pc_words",), _buckets("pc_words", 1 << 18))
+cte("ph_tf", ("ph_terms",), "SELECT item, bucket, count(*) AS tf FROM ph_terms GROUP BY 1, 2")
+oracle("hashing_tfidf_ml", ("ph_tf", "pdocs"), """
+SELECT p.item, coalesce(string_agg(t.bucket || ':' || format('{:,.4f}', t.tf * f.idf), ',' ORDER BY t.bucket), '') AS features
+FROM pdocs p LEFT JOIN ph_tf t ON t.item = p.item
+LEFT JOIN (SELECT bucket, ln(((SELECT count(*) FROM pdocs) + 1) / (count(*) + 1)) AS idf FROM ph_tf GROUP BY bucket) f
+  ON f.bucket = t.bucket
+GROUP BY p.item""")
+oracle("hashed_tfidf_rank", ("pc_hashed_ranked",), _ranked("pc_hashed_ranked"))
+oracle("hashed_tfidf_rank_docs", ("dc_hashed_ranked",), _ranked("dc_hashed_ranked"))
 oracle("ranking_overlap", ("pc_count_ranked", "pc_tfidf_ranked"), """
 SELECT b.target, round(coalesce(n.k, 0) / b.k, 6) AS overlap
 FROM (SELECT target, count(*) AS k FROM pc_tfidf_ranked GROUP BY target) b

@@ -31,6 +31,8 @@ REGISTRY: dict[str, Query] = {}
 
 TARGET_USER = b.TARGET_USER
 LOOKUP_ITEM = b.LOOKUP_ITEM
+#: Buckets of the hashed ranking of parts: few enough that words of one document collide.
+HASHED_FEATURES = 64
 
 
 def _written(spark, d):
@@ -107,6 +109,11 @@ def q_baseline_grid(spark, d):
     return bl.baseline_row(_written(spark, d), TARGET_USER)
 
 
+@query("baseline_predict")
+def q_baseline_predict(spark, d):
+    return bl.predictions(_written(spark, d), b.cells(spark, d))
+
+
 @query("residuals_dense")
 def q_residuals_dense(spark, d):
     return bl.residual_table(_written(spark, d))
@@ -183,7 +190,7 @@ def q_edges_explode(spark, d):
 @query("catalogs_load")
 def q_catalogs_load(spark, d):
     path = sinks.write_catalogs_json(b.catalogs(spark, d), scratch_path(spark, "catalogs_json"))
-    return readers.read_catalogs(spark, path)
+    return readers.read_catalogs(spark, path).withColumn("catalog", F.col("catalog").cast("double"))
 
 
 @query("catalog_brothers")
@@ -332,23 +339,41 @@ def q_tfidf_rank(spark, d):
                                                "tfidf"))
 
 
+@query("hashed_tfidf_rank")
+def q_hashed_tfidf_rank(spark, d):
+    return _ranked_out(content.rank_candidates(_part_cands(spark, d), _part_docs(spark, d),
+                                               "hashed", num_features=HASHED_FEATURES))
+
+
+def _document_cands(spark, d):
+    docs = materialize(content.item_documents(b.documents(spark, d)), "item_documents")
+    return materialize(b.document_candidates(spark, d, docs), "document_candidates"), docs
+
+
 @query("tfidf_rank_docs")
 def q_tfidf_rank_docs(spark, d):
-    docs = content.item_documents(b.documents(spark, d))
-    return _ranked_out(content.rank_candidates(b.document_candidates(spark, d), docs, "tfidf"))
+    return _ranked_out(content.rank_candidates(*_document_cands(spark, d), "tfidf"))
+
+
+@query("hashed_tfidf_rank_docs")
+def q_hashed_tfidf_rank_docs(spark, d):
+    return _ranked_out(content.rank_candidates(*_document_cands(spark, d), "hashed"))
 
 
 @query("hashing_tfidf_ml")
 def q_hashing_tfidf_ml(spark, d):
-    return content.hashing_tfidf(_part_docs(spark, d))
+    rows = content.hashing_tfidf(_part_docs(spark, d))
+    pairs = F.transform(F.arrays_zip("buckets", "weights"), lambda x: F.concat_ws(
+        ":", x["buckets"].cast("string"), F.format_number(x["weights"], 4)))
+    return rows.select("item", F.array_join(pairs, ",").alias("features"))
 
 
 @query("ranking_overlap")
 def q_ranking_overlap(spark, d):
     cands, docs = _part_cands(spark, d), _part_docs(spark, d)
-    terms = content.member_terms(cands, docs)
-    ov = content.overlap(content.rank_candidates(cands, docs, "count", terms),
-                         content.rank_candidates(cands, docs, "tfidf", terms))
+    words = content.member_words(cands, docs)
+    ov = content.overlap(content.rank_candidates(cands, docs, "count", words),
+                         content.rank_candidates(cands, docs, "tfidf", words))
     return ov.select("target", out("overlap").alias("overlap"))
 
 

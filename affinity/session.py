@@ -7,11 +7,45 @@ launcher and ``spark.checkpoint.dir`` names a shared folder.
 
 from __future__ import annotations
 
+import functools
 import os
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
+#: Tables written within the innermost scope; None outside of one.
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
+def scope(job: Callable) -> Callable:
+    """Remove the intermediate tables that ``job(spark, ...)`` wrote once it has ended, with or without an error.
+
+    For jobs whose results are elsewhere (files, or rows already collected). A
+    job called within another one's scope leaves its tables to the outer one.
+    """
+    @functools.wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        if _OWNED.get() is not None:
+            return job(spark, *args, **kwargs)
+        owned: list[str] = []
+        token = _OWNED.set(owned)
+        try:
+            return job(spark, *args, **kwargs)
+        finally:
+            _OWNED.reset(token)
+            for path in owned:
+                remove(spark, path)
+    return run
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a table of the shared folder, whatever store it is in."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "affinity") -> SparkSession:
@@ -48,18 +82,30 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
-    if not configured and not fallback and not sc.master.startswith("local"):
+    one_process = sc.master == "local" or sc.master.startswith("local[")
+    if not configured and not fallback and not one_process:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder: written "
                            "intermediates must be readable by every executor")
+    if configured and not one_process and not urlparse(configured).scheme and _local_by_default(spark):
+        raise RuntimeError(f"spark.checkpoint.dir {configured} names no file system and the default one is local: "
+                           "say file:// for a mounted folder that every machine shares, or give its scheme")
     target = configured or fallback or os.path.join("/tmp", f"affinity-ckpt-{os.getpid()}")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
 
 
+def _local_by_default(spark: SparkSession) -> bool:
+    default = spark._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    return default.startswith("file:")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    if _OWNED.get() is not None:
+        _OWNED.get().append(path)
+    return path
 
 
 def materialize(df, name: str = "stage"):

@@ -5,10 +5,10 @@ derives the same tables (``affinity.plans.oracle``). Shapes:
 
 * ``ratings(user_id, item_id, rating)``  one row per (customer, part), 1..5
 * ``edges(item1, item2, click)``         directed part-to-part clicks within orders
-* ``catalogs(item, catalog)``            5% of parts have none
+* ``catalogs(item, catalog)``            NULL for about 6% of parts
 * ``brothers(catalog, brothers)``        catalogs of the same part type
-* ``item_ratings(itemid, rating)``       about 6% of parts have none
-* ``targets(item)``                      items to recommend for
+* ``item_ratings(itemid, rating)``       NULL for about 6% of parts
+* ``targets(item)``                      items to recommend for: every 20th id
 * ``items(itemid, parent_id, attr1..)``  wide attribute table
 * document forms of the same for the long-text ranking
 """
@@ -18,16 +18,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from affinity.operators.content import rare_term_candidates
 from affinity.operators.skew import salted_pairs
 from affinity.session import materialize
 
-# Fixed values of the binding: part types in catalog order, the rating scale
-# rule, and the ids that are held out to create missing values.
+# Fixed values of the binding: part types in catalog order, and the values that
+# are NULL (every row stays).
 PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-NO_CATALOG_MOD = 20     # p_partkey % 20 = 0 has no catalog
-NO_RATING_MOD = 17      # item_id % 17 = 0 has no item rating
-TARGET_MOD, TARGET_REM = 50, 7          # parts that are targets
-DOC_TARGET_MOD, DOC_TARGET_REM = 1000, 3  # documents that are targets
+LARGEST_CATALOGUED = 47  # parts of a larger p_size have no catalog
+NO_RATING_MOD = 17       # item_id % 17 = 0 has no item rating
+TARGET_MOD = 20          # a search asks for the ids that it divides, against all rows
 TARGET_USER = 7
 LOOKUP_ITEM = 7
 
@@ -47,18 +47,26 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .cast("int").alias("rating")))
 
 
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user_id, item_id): a cell per customer and per part, some of unrated customers, some of items that are none."""
+    c = table(spark, sf_dir, "customer")
+    p = table(spark, sf_dir, "part")
+    key = F.col("c_custkey").cast("bigint")
+    return (c.select(key.alias("user_id"), key.alias("item_id"))
+            .unionAll(c.select(key, -F.col("c_nationkey").cast("bigint")))
+            .unionAll(p.select(F.col("p_size").cast("bigint"), F.col("p_partkey").cast("bigint"))))
+
+
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(item1, item2, click): item1 precedes item2 in an order; click = item2's quantity."""
     li = table(spark, sf_dir, "lineitem")
     lines = (li.groupBy(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("p"))
              .agg(F.min("l_linenumber").alias("ln"), F.sum("l_quantity").alias("q")))
     sizes = lines.groupBy("o").agg(F.count(F.lit(1)).alias("n"))
-    # Both sides of the self-join (and both paths) read the order lines:
+    # Both sides of the self-join read the order lines:
     # written once with their order size.
     sized = materialize(lines.join(sizes, "o"), "order_lines")
-    # Partitioned by order before the (row-multiplying) self-join on order.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = salted_pairs(sized.repartition(parts, "o"), "o", "p", ["ln", "q"], "n")
+    pairs = salted_pairs(sized, "o", "p", ["ln", "q"], "n")
     return (pairs.where(F.col("ln_1") < F.col("ln_2"))
             .groupBy(F.col("p_1").alias("item1"), F.col("p_2").alias("item2"))
             .agg(F.sum("q_2").cast("bigint").alias("click")))
@@ -70,8 +78,8 @@ def catalogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = F.array(*[F.lit(t) for t in PART_TYPES])
     cat = (F.lit(10) * F.substring("p_brand", 7, 100).cast("int")
            + F.array_position(types, F.col("p_type")).cast("int"))
-    return (p.where(F.pmod("p_partkey", F.lit(NO_CATALOG_MOD)) != 0)
-            .select(F.col("p_partkey").alias("item"), cat.cast("int").alias("catalog")))
+    return p.select(F.col("p_partkey").alias("item"),
+                    F.when(F.col("p_size") <= LARGEST_CATALOGUED, cat).cast("int").alias("catalog"))
 
 
 def brothers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +89,7 @@ def brothers(spark: SparkSession, sf_dir: str) -> DataFrame:
     click or rating volume), and the source format is one array per catalog,
     so the family list is collected per family.
     """
-    c = catalogs(spark, sf_dir).select("catalog").distinct()
+    c = catalogs(spark, sf_dir).select("catalog").where(F.col("catalog").isNotNull()).distinct()
     fam = F.pmod("catalog", F.lit(10))
     members = c.groupBy(fam.alias("fam")).agg(F.collect_set("catalog").alias("brothers"))
     return c.withColumn("fam", fam).join(members, "fam").select(
@@ -89,18 +97,15 @@ def brothers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def item_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(itemid, rating DOUBLE): mean rating of the item, some items held out."""
-    r = ratings(spark, sf_dir)
-    return (r.where(F.pmod("item_id", F.lit(NO_RATING_MOD)) != 0)
-            .groupBy(F.col("item_id").alias("itemid"))
-            .agg(F.round(F.avg("rating"), 6).alias("rating")))
+    """(itemid, rating DOUBLE): mean rating of the item, NULL for some."""
+    means = ratings(spark, sf_dir).groupBy(F.col("item_id").alias("itemid")).agg(F.avg("rating").alias("rating"))
+    return means.select("itemid", F.when(F.pmod("itemid", F.lit(NO_RATING_MOD)) != 0, F.round("rating", 6)).alias("rating"))
 
 
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(item): target items."""
     p = table(spark, sf_dir, "part")
-    return p.where(F.pmod("p_partkey", F.lit(TARGET_MOD)) == TARGET_REM).select(
-        F.col("p_partkey").alias("item"))
+    return p.where(F.pmod("p_partkey", F.lit(TARGET_MOD)) == 0).select(F.col("p_partkey").alias("item"))
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,26 +135,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source").alias("attr1"), F.col("lang").alias("attr2"), F.col("text").alias("attr3"))
 
 
-def document_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(target, item, rating, catalog, click, level): other documents of the target's language.
+def document_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(item): target documents."""
+    d = table(spark, sf_dir, "documents")
+    return d.where(F.pmod("doc_id", F.lit(TARGET_MOD)) == 0).select(F.col("doc_id").alias("item"))
 
-    Defaults of a candidate without graph data: level 1, click 0, rating 0.0.
-    """
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    t = d.where(F.pmod("doc_id", F.lit(DOC_TARGET_MOD)) == DOC_TARGET_REM).select(
-        F.col("doc_id").alias("target"), F.col("lang"))
-    # A language is a very hot key (a few values for all documents): salt the
-    # document side and replicate the (small) target side over the salts.
-    salts = 32
-    d = d.withColumn("_s", F.pmod(F.xxhash64("doc_id"), F.lit(salts)))
-    t = t.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return (t.join(d, ["lang", "_s"]).where(F.col("doc_id") != F.col("target"))
-            .select("target", F.col("doc_id").alias("item"),
-                    F.lit(0.0).alias("rating"), F.lit(0).alias("catalog"),
-                    F.lit(0).cast("bigint").alias("click"), F.lit(1).alias("level")))
 
+def document_candidates(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """(target, item, rating, catalog, click, level): the documents that share a rare term with a target.
 
-def document_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
-    return d.where(F.pmod("doc_id", F.lit(DOC_TARGET_MOD)) == DOC_TARGET_REM).select(
-        F.col("doc_id").alias("item"))
+    ``docs`` are the documents as items (``content.item_documents``). Defaults
+    of a candidate without graph data: level 1, click 0, rating 0.0.
+    """
+    found = rare_term_candidates(docs, document_targets(spark, sf_dir))
+    return found.select("target", "item", F.lit(0.0).alias("rating"), F.lit(0).alias("catalog"),
+                        F.lit(0).cast("bigint").alias("click"), F.lit(1).alias("level"))

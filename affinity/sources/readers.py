@@ -81,60 +81,118 @@ def rejected_ratings(spark: SparkSession, path: str, header: bool = False) -> Da
     return _rating_lines(spark, path, header).where(~_usable()).select("line")
 
 
+def _json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(line, the schema's fields, corrupt): every line of a JSON file; ``corrupt`` where it is no JSON object."""
+    full = T.StructType([*schema.fields, T.StructField("corrupt", T.StringType())])
+    parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"})
+    return (spark.read.text(path).where(F.btrim("value") != "")
+            .select(F.col("value").alias("line"), parsed.alias("r")).select("line", "r.*"))
+
+
+def _number(c, kind: str) -> F.Column:
+    """Whether a field, if the line has it, is a number."""
+    return F.col(c).isNull() | F.col(c).try_cast(kind).isNotNull()
+
+
+def _rejects(lines: DataFrame, source: str, good: F.Column) -> DataFrame:
+    """(source, line, reason) of the lines that are not ``good``."""
+    reason = F.when(F.col("corrupt").isNotNull(), F.lit("no JSON object")).otherwise(F.lit("no usable value"))
+    return lines.where(~F.coalesce(good, F.lit(False)) | F.col("corrupt").isNotNull()).select(
+        F.lit(source).alias("source"), "line", reason.alias("reason"))
+
+
 def _edge_entries(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.schema(TRAIN_SCHEMA).json(path)
+    raw = _json_lines(spark, path, TRAIN_SCHEMA).where(F.col("corrupt").isNull())
     return raw.where(F.col("item") != "").select("item", F.explode("true_recoms").alias("k", "v"))
 
 
+def _usable_entry() -> F.Column:
+    return _id("item").isNotNull() & _id("k").isNotNull() & _id("v").isNotNull()
+
+
 def read_train_edges(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines {"item": id, "true_recoms": {id: clicks}} -> edges(item1, item2, click BIGINT).
 
     Rows with an empty item are dropped before the cast; each map entry becomes
     one edge.  Entries with a bad id or click are left to ``rejected_edges``.
     """
-    edges = _edge_entries(spark, path).select(_id("item").alias("item1"), _id("k").alias("item2"),
-                                              _id("v").alias("click"))
-    return edges.where("item1 is not null and item2 is not null and click is not null")
+    return _edge_entries(spark, path).where(_usable_entry()).select(
+        _id("item").alias("item1"), _id("k").alias("item2"), _id("v").alias("click"))
 
 
 def rejected_edges(spark: SparkSession, path: str) -> DataFrame:
     """(item, k, v): map entries that ``read_train_edges`` cannot use."""
-    return _edge_entries(spark, path).where(
-        _id("item").isNull() | _id("k").isNull() | _id("v").isNull())
+    return _edge_entries(spark, path).where(~_usable_entry())
+
+
+def _usable_catalog() -> F.Column:
+    return _id("itemid").isNotNull() & _number("catalogid", "int")
 
 
 def read_catalogs(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines {"itemid": "1", "catalogid": "11"} -> (item BIGINT, catalog INT)."""
-    raw = spark.read.schema(CATALOGS_SCHEMA).json(path)
-    return (raw.select(_id("itemid").alias("item"),
-                       F.col("catalogid").try_cast("int").alias("catalog"))
-            .where(F.col("item").isNotNull() & F.col("catalog").isNotNull()))
+    """JSON lines {"itemid": "1", "catalogid": "11"} -> (item BIGINT, catalog INT, NULL where the line has none)."""
+    return _json_lines(spark, path, CATALOGS_SCHEMA).where(_usable_catalog() & F.col("corrupt").isNull()).select(
+        _id("itemid").alias("item"), F.col("catalogid").try_cast("int").alias("catalog"))
+
+
+def _path_keys() -> F.Column:
+    return F.flatten(F.transform(F.coalesce("catalogpath", F.array()), lambda m: F.map_keys(m)))
 
 
 def read_catalog_path(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines {"catalogid": "11", "catalogpath": [{"11": ..}, {"21": ..}]}
-    -> (catalog INT, brothers ARRAY<INT>): the keys of every map, in order."""
-    raw = spark.read.schema(CATALOG_PATH_SCHEMA).json(path)
-    keys = F.flatten(F.transform("catalogpath", lambda m: F.map_keys(m)))
-    ints = F.filter(F.transform(keys, lambda k: k.try_cast("int")), lambda k: k.isNotNull())
-    return (raw.select(F.col("catalogid").try_cast("int").alias("catalog"),
-                       ints.alias("brothers"))
-            .where(F.col("catalog").isNotNull()))
+    -> (catalog INT, brothers ARRAY<INT>): the keys of every map, in order.
+
+    A line with a key that is no number keeps the others and is among the rejects.
+    """
+    ints = F.filter(F.transform(_path_keys(), lambda k: k.try_cast("int")), lambda k: k.isNotNull())
+    raw = _json_lines(spark, path, CATALOG_PATH_SCHEMA).where(F.col("corrupt").isNull())
+    return raw.select(F.col("catalogid").try_cast("int").alias("catalog"), ints.alias("brothers")).where(
+        F.col("catalog").isNotNull())
+
+
+def _usable_rating() -> F.Column:
+    return _id("itemid").isNotNull() & _number("rating", "double")
 
 
 def read_item_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines {"itemid": 1 or "1", "rating": 4.5} -> (itemid BIGINT, rating DOUBLE)."""
-    raw = spark.read.schema(ITEM_RATINGS_SCHEMA).json(path)
-    return raw.select(_id("itemid").alias("itemid"), F.col("rating").try_cast("double").alias("rating")).where(
-        F.col("itemid").isNotNull())
+    """JSON lines {"itemid": 1 or "1", "rating": 4.5} -> (itemid BIGINT, rating DOUBLE, NULL where the line has none)."""
+    return _json_lines(spark, path, ITEM_RATINGS_SCHEMA).where(_usable_rating() & F.col("corrupt").isNull()).select(
+        _id("itemid").alias("itemid"), F.col("rating").try_cast("double").alias("rating"))
 
 
 def read_test_items(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines {"item": "1", "recoms": n} -> (item BIGINT); ``recoms`` is not used."""
-    raw = spark.read.schema(TEST_SCHEMA).json(path)
+    raw = _json_lines(spark, path, TEST_SCHEMA).where(F.col("corrupt").isNull())
     return raw.select(_id("item").alias("item")).where(F.col("item").isNotNull())
 
 
+def rejected(spark: SparkSession, source: str, path: str) -> DataFrame:
+    """(source, line, reason): what the reader of ``source`` cannot use.
+
+    ``source`` is train, catalogs, catalog_path, item_ratings, test_items or
+    ratings.  Of click edges, single bad map entries come back as the entry;
+    lines with an empty item are dropped by definition and are no rejects.
+    """
+    if source == "ratings":
+        return rejected_ratings(spark, path).select(F.lit(source).alias("source"), "line",
+                                                    F.lit("no usable value").alias("reason"))
+    if source == "train":
+        lines = _rejects(_json_lines(spark, path, TRAIN_SCHEMA), source, F.col("item").isNotNull())
+        entries = rejected_edges(spark, path).select(
+            F.lit(source).alias("source"), F.to_json(F.struct("item", "k", "v")).alias("line"),
+            F.lit("no usable entry").alias("reason"))
+        return lines.unionByName(entries)
+    schema, good = {
+        "catalogs": (CATALOGS_SCHEMA, _usable_catalog()),
+        "catalog_path": (CATALOG_PATH_SCHEMA, F.col("catalogid").try_cast("int").isNotNull()
+                         & F.forall(_path_keys(), lambda k: k.try_cast("int").isNotNull())),
+        "item_ratings": (ITEM_RATINGS_SCHEMA, _usable_rating()),
+        "test_items": (TEST_SCHEMA, _id("item").isNotNull()),
+    }[source]
+    return _rejects(_json_lines(spark, path, schema), source, good)
+
+
 def read_items(spark: SparkSession, path: str) -> DataFrame:
     """Parquet wide items (attr1..attrN, itemid, parent_id); schema from the footer."""
     return spark.read.parquet(path)

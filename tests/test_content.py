@@ -1,5 +1,11 @@
 """Content ranking edge cases."""
 
+import math
+import random
+
+import numpy as np
+import pytest
+
 from affinity.operators import content
 
 
@@ -57,3 +63,63 @@ def test_documents_and_overlap(spark):
     assert doc["item"] == "1" and doc["recoms"] == {"2": 107, "3": 109}
     ov = content.overlap(content.rank_candidates(cands, docs, "count"), ranked).first()
     assert ov["overlap"] == 1.0
+
+
+def test_sparse_cosine_of_unequal_weights_equals_numpy(spark):
+    rng = random.Random(1)
+    vectors = {("a", k): {t: rng.choice([0.0, 1.5, -2.0, 0.25, None]) for t in rng.sample(range(12), rng.randrange(7))}
+               for k in range(25)}
+    own = {t: rng.choice([0.0, 3.0, -1.0, 0.5]) for t in range(9)}
+    one = spark.createDataFrame([("a", t, w) for t, w in own.items()] + [("b", 1, 1.0)], "g string, term int, w double")
+    other = spark.createDataFrame([(g, i, t, w) for (g, i), v in vectors.items() for t, w in v.items()],
+                                  "g string, item int, term int, w double")
+    got = {r["item"]: (r.shared, r.cos) for r in content.sparse_cosine(one, other, ["g"], ["item"]).collect()}
+    for (_, i), v in vectors.items():
+        shared = sorted(set(v) & set(own))
+        if not shared:
+            assert i not in got
+            continue
+        x, y = np.array([own[t] for t in shared]), np.array([v[t] or 0.0 for t in shared])
+        norm = np.sqrt((x * x).sum()) * np.sqrt((y * y).sum())
+        want = 0.0 if len(shared) < 2 or norm == 0 else (x * y).sum() / norm
+        assert got[i][0] == len(shared) and got[i][1] == pytest.approx(want, abs=1e-12)
+    # Norms over all terms instead of the shared ones would be wrong for some.
+    assert any(0.01 < abs(c) < 0.99 for _, c in got.values())
+
+
+def test_hashed_ranking_counts_collisions(spark):
+    rng = random.Random(2)
+    texts = {i: " ".join(f"w{rng.randrange(40)}" for _ in range(14)) for i in range(1, 21)}
+    docs = _docs(spark, [(str(i), str(100 + i), t, None) for i, t in texts.items()])
+    cands = _cands(spark, [(t, i, 1.0, 0, 1, 1) for t in (1, 2) for i in texts if i != t])
+    words = content.item_words(docs)
+    features = 16
+    vectors = {r["item"]: dict(zip(r.buckets, r.tf, strict=True))
+               for r in content.hashed_vectors(words, features).collect()}
+    assert {i: sum(v.values()) for i, v in vectors.items()} == {i: len(set(t.split())) for i, t in texts.items()}
+    assert sum(n > 1 for v in vectors.values() for n in v.values()) > 20  # words that share a bucket
+    got = {(r.target, r["item"]): r.cos for r in content.hashed_scores(cands, docs, features).collect()}
+    for t in (1, 2):
+        shared = {i: set(vectors[t]) & set(vectors[i]) for i in texts if i != t}
+        df = {k: 1 + sum(k in s for s in shared.values()) for k in vectors[t]}
+        idf = {k: math.log((len(texts) + 1) / (n + 1)) for k, n in df.items()}
+        for i, keys in shared.items():
+            x = np.array([vectors[t][k] * idf[k] for k in sorted(keys)])
+            y = np.array([vectors[i][k] * idf[k] for k in sorted(keys)])
+            norm = np.sqrt((x * x).sum()) * np.sqrt((y * y).sum())
+            want = 0.0 if len(keys) < 2 or norm == 0 else (x * y).sum() / norm
+            assert got.get((t, i), 0.0) == pytest.approx(want, abs=1e-12)
+    assert len({round(c, 6) for c in got.values()}) > 10
+    ranked = content.rank_candidates(cands, docs, "hashed", num_features=features).where("target = 1").collect()
+    assert [r["item"] for r in sorted(ranked, key=lambda r: r["rank"])] == [
+        i for i in sorted((i for i in texts if i != 1), key=lambda i: (-round(got.get((1, i), 0.0), 12), i))]
+
+
+def test_rare_term_candidates(spark):
+    docs = _docs(spark, [("1", "1", "common rare1 lone1", None), ("2", "2", "common rare1", None),
+                         ("3", "3", "common other", None), ("4", "4", "common other", None), ("5", "5", "solo", None)])
+    targets = docs.where("item in (1, 5)").select("item")
+    pairs = {tuple(r) for r in content.rare_term_candidates(docs, targets, prefix=1).collect()}
+    assert pairs == {(1, 2)}
+    pairs = {tuple(r) for r in content.rare_term_candidates(docs, targets, prefix=2).collect()}
+    assert pairs == {(1, 2), (1, 3), (1, 4)}

@@ -1,29 +1,29 @@
 """Graph operators, exact quantiles and the skew helpers."""
 
+import random
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from affinity.operators import graph, stats
-from affinity.operators.skew import chunked_lists, quantiles_by_index, rank_within, salted_pairs
-
-
-def test_quantiles_by_index(spark):
-    df = spark.createDataFrame([(v,) for v in [4, 1, 3, 2]], "v long")
-    half = lambda n: F.floor(n / 2)
-    upper = lambda n: F.floor(n / 2) + F.floor(n / 4)
-    r = quantiles_by_index(df, "v", {"p50": half, "p75": upper}, buckets=3).first()
-    assert (r["p50"], r["p75"]) == (3, 4)
-    empty = quantiles_by_index(df.where("v > 10"), "v", {"p50": half}).first()
-    assert empty["p50"] is None
-
-
-def test_quantiles_many_values(spark):
-    import random
-    rnd = random.Random(5)
-    vals = [rnd.randint(0, 40) for _ in range(1001)]
-    df = spark.createDataFrame([(v,) for v in vals], "v long")
-    r = quantiles_by_index(df, "v", {"p50": lambda n: F.floor(n / 2)}, buckets=7).first()
-    assert r["p50"] == sorted(vals)[len(vals) // 2]
+from affinity.operators.skew import chunked_lists, order_statistics, rank_within, salted_pairs
+
+
+def _index(values, share):
+    n = len(values)
+    return sorted(values)[n // 2 + (n // 4 if share == 0.75 else 0)] if n else None
+
+
+def test_order_statistics(spark):
+    rng = random.Random(3)
+    lists = {"few": [5.0], "odd": [3.0, 1.0, 2.0], "ties": [1.0] * 50 + [2.0] * 3, "none": [],
+             "even": [rng.random() for _ in range(2000)], "hot": [7.0] * 900 + [rng.gauss(0, 9) for _ in range(1100)]}
+    df = spark.createDataFrame([(k, v) for k, vs in lists.items() for v in [*vs, None]], "kind string, value double")
+    wanted = {f"{k}{int(100 * s)}": (k, s) for k in lists for s in (0.5, 0.75)}
+    for accuracy in (100_000, 1000):  # all values inside the bounds, and the sketch's bounds
+        row = order_statistics(df, wanted, accuracy=accuracy).first()
+        assert {k: row[k] for k in wanted} == {k: _index(lists[of], s) for k, (of, s) in wanted.items()}
+    assert order_statistics(df.where("false"), {"p": ("few", 0.5)}).first().p is None
 
 
 def test_salted_pairs_hot_group_equals_plain(spark):

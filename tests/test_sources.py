@@ -4,6 +4,8 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from affinity.sources import readers, sinks
 from tests.brute import Dense
 from tests.conftest import INLINE, TARGET
@@ -137,3 +139,65 @@ def test_configured_checkpoint_folder_is_kept(spark):
     current = spark.sparkContext.getCheckpointDir()
     assert ensure_checkpoint_dir(spark, fallback="/tmp/somewhere-else") == current
     assert scratch_path(spark, "x").startswith(current.rstrip("/") + "/tables/x-")
+
+
+def test_rejects_of_every_json_source_come_back(spark, tmp_path):
+    files = {
+        "train": ['{"item":"1","true_recoms":{"2":3,"x":1}}', '{"item":"","true_recoms":{"9":1}}', "not json", "",
+                  '{"true_recoms":{"1":1}}'],
+        "catalogs": ['{"itemid":"1","catalogid":"11"}', '{"itemid":"2"}', '{"itemid":"x","catalogid":"1"}',
+                     '{"itemid":"3","catalogid":"y"}', '{"itemid":'],
+        "catalog_path": ['{"catalogid":"11","catalogpath":[{"11":"a"},{"z":"b"}]}', '{"catalogid":"q"}', "[]",
+                         '{"catalogid":"12"}'],
+        "item_ratings": ['{"itemid":1,"rating":4.5}', '{"itemid":"2"}', '{"itemid":3,"rating":"bad"}', "{}"],
+        "test_items": ['{"item":"1","recoms":0}', '{"item":"one"}', "7"],
+    }
+    want = {
+        "train": {'{"item":"1","k":"x","v":"1"}', "not json", '{"true_recoms":{"1":1}}'},
+        "catalogs": {'{"itemid":"x","catalogid":"1"}', '{"itemid":"3","catalogid":"y"}', '{"itemid":'},
+        "catalog_path": {'{"catalogid":"11","catalogpath":[{"11":"a"},{"z":"b"}]}', '{"catalogid":"q"}', "[]"},
+        "item_ratings": {'{"itemid":3,"rating":"bad"}', "{}"},
+        "test_items": {'{"item":"one"}', "7"},
+    }
+    paths = {}
+    for name, lines in files.items():
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "part-0.json").write_text("\n".join(lines) + "\n")
+        paths[name] = str(folder)
+        assert {r.line for r in readers.rejected(spark, name, paths[name]).collect()} == want[name]
+    assert {tuple(r) for r in readers.read_catalogs(spark, paths["catalogs"]).collect()} == {(1, 11), (2, None)}
+    assert {tuple(r) for r in readers.read_item_ratings(spark, paths["item_ratings"]).collect()} == {(1, 4.5), (2, None)}
+    assert {(r.catalog, tuple(r.brothers)) for r in readers.read_catalog_path(spark, paths["catalog_path"]).collect()} == {
+        (11, (11,)), (12, ())}
+    assert [tuple(r) for r in readers.read_train_edges(spark, paths["train"]).collect()] == [(1, 2, 3)]
+    assert [r["item"] for r in readers.read_test_items(spark, paths["test_items"]).collect()] == [1]
+
+
+def test_scope_removes_what_a_job_wrote(spark):
+    import os
+
+    from affinity.session import materialize, scope, scratch_path
+
+    paths = []
+
+    @scope
+    def inner(spark):
+        paths.append(scratch_path(spark, "inner"))
+        spark.range(3).write.parquet(paths[-1])
+        return spark.read.parquet(paths[-1])
+
+    @scope
+    def outer(spark, fail):
+        n = inner(spark).count()  # the inner job's tables live as long as the outer one
+        materialize(spark.range(2), "outer")
+        if fail:
+            raise KeyError("job")
+        return n
+
+    assert outer(spark, False) == 3
+    with pytest.raises(KeyError):
+        outer(spark, True)
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in paths)
+    kept = materialize(spark.range(2), "kept")  # outside of a scope nothing is removed
+    assert kept.count() == 2
