@@ -12,8 +12,9 @@ linked to the leader are in one component already; any other pair is found by
 its edits, that is by what tells its sets from the leader's.  If one of the two
 is not linked to the leader, a link between them takes more shared edits than
 pairs that changed the leader by themselves have: the prefixes of both edit
-lists (added shingles first) must meet, and bitmaps of the edits must not differ in
-more bits than linked sets may in members; only such pairs are compared.  So no link of a bucket is missed, and a large group of near copies
+lists, rarest in the star first, must meet, and bitmaps of the edits must not
+differ in more bits than linked sets may in members; only such pairs are
+compared.  So no link of a bucket is missed, and a large group of near copies
 does not pair all with all.
 """
 
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.llm.common import hashes, map_slices, mix, tokenise, written
@@ -170,36 +171,54 @@ def _compare_with_leader(stars: DataFrame, sets: DataFrame, percent: int) -> Dat
     rows = rows.withColumn("probe", probe).withColumn("index", F.greatest(F.lit(0), index))
     bits = F.array(*[F.expr(f"aggregate(edits, 0L, (x, e) -> x | if((e & {BIT_WORDS - 1}) = {k}, "
                             "shiftleft(1L, cast(shiftright(e, 32) & 63 as int)), 0L))") for k in range(BIT_WORDS)])
-    return rows.select("a", "b", "n", "differ", "linked", "probe", "index", bits.alias("bits"),
-                       F.slice("edits", 1, F.greatest("probe", "index")).alias("edits"))
+    # Of linked nodes whose whole star is, no edit is read; the others' are ordered in _between_edits.
+    return rows.select("a", "b", "n", "differ", "linked", "probe", "index", bits.alias("bits"), "edits")
 
 
 def _between_edits(compared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components, around one leader, whose edits' prefixes meet."""
+    """Pairs (a, b) of different components, around one leader, whose edits' prefixes meet.
+
+    The edits of a star are ordered by how many of its nodes have them, rarest
+    first.  Edits of one node only fill prefixes but meet nothing, so no row is
+    made of them; what is common to the star, as are the leader's own words,
+    comes last.  A meeting counts only if the edits after it leave room for as
+    many shared ones as a link takes.  Bitmaps are looked up for the pairs that
+    met, not carried by every edit.
+    """
     rows = compared.join(roots.select(F.col("uid").alias("a"), "root"), "a", "left").withColumn(
         "root", F.coalesce("root", "a"))
     # Leaders whose star, the leader included, is one component already have no pair to find.
     lead = roots.select(F.col("uid").alias("b"), F.col("root").alias("own"))
     mixed = rows.groupBy("b").agg(F.min("root").alias("low"), F.max("root").alias("high")).join(lead, "b", "left")
     own = F.coalesce("own", "b")
-    mixed = mixed.where((F.col("low") != own) | (F.col("high") != own)).select("b")
+    # Written, so that its size is known before the rows of a large star are dealt by it.
+    mixed = written(mixed.where((F.col("low") != own) | (F.col("high") != own)).select("b"), "mixed-leaders")
     rows = written(rows.join(mixed, "b", "left_semi").where("probe > 0 or index > 0"), "mixed")
 
-    def exploded(length: str) -> DataFrame:
-        return rows.where(F.col(length) > 0).select(
-            "a", "b", "n", "differ", "root", "bits", F.explode(F.slice("edits", 1, F.col(length))).alias("e")).select(
-                F.xxhash64("b", "e").alias("g"), "a", "n", "differ", "root",
-                *[F.get("bits", F.lit(k)).alias(f"m{k}") for k in range(BIT_WORDS)])
+    edits = rows.select("a", "b", "n", "differ", "root", "probe", "index", F.explode("edits").alias("e"))
+    often = edits.groupBy("b", "e").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    shared = edits.join(often, ["b", "e"])
+    node = Window.partitionBy("a", "b")
+    # Edits of one node come first: a shared one's place is after them.
+    at = F.col("differ") - F.count(F.lit(1)).over(node) + F.row_number().over(node.orderBy("f", "e")) - 1
+    shared = shared.withColumn("at", at.cast("int")).where(F.col("at") < F.greatest("probe", "index"))
+    shared = written(shared.select("b", "e", "a", "n", "differ", "root", "probe", "index", "at"), "prefixes")
 
-    x, y = exploded("probe").alias("x"), exploded("index").alias("y")
+    x, y = shared.where("at < probe").alias("x"), shared.where("at < index").alias("y")
     sizes = F.col("x.n") + F.col("y.n")
-    unlike = sum((F.bit_count(F.col(f"x.m{k}").bitwiseXOR(F.col(f"y.m{k}"))) for k in range(1, BIT_WORDS)),
-                 F.bit_count(F.col("x.m0").bitwiseXOR(F.col("y.m0"))))
-    found = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.root") != F.col("y.root"))
-                   & _close(F.col("x.n"), F.col("y.n"), percent)
-                   & _similar(F.abs(F.col("x.differ") - F.col("y.differ")), sizes, percent)
-                   & _similar(unlike, sizes, percent))
-    return found.select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b")).distinct()
+    most = F.least(F.col("x.differ") - F.col("x.at"), F.col("y.differ") - F.col("y.at"))
+    found = x.join(y, (F.col("x.b") == F.col("y.b")) & (F.col("x.e") == F.col("y.e"))
+                   & (F.col("x.root") != F.col("y.root")) & _close(F.col("x.n"), F.col("y.n"), percent)
+                   & _similar(F.col("x.differ") + F.col("y.differ") - 2 * most, sizes, percent))
+    met = written(found.select("x.b", F.col("x.a").alias("p"), F.col("y.a").alias("q"), sizes.alias("sizes")).distinct(),
+                  "met")
+    maps = rows.select("b", "a", "bits")
+    met = met.join(maps.toDF("b", "p", "left_bits"), ["b", "p"]).join(maps.toDF("b", "q", "right_bits"), ["b", "q"])
+    unlike = sum((F.bit_count(F.get("left_bits", F.lit(k)).bitwiseXOR(F.get("right_bits", F.lit(k))))
+                  for k in range(1, BIT_WORDS)),
+                 F.bit_count(F.get("left_bits", F.lit(0)).bitwiseXOR(F.get("right_bits", F.lit(0)))))
+    met = met.where(_similar(unlike, F.col("sizes"), percent))
+    return met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
