@@ -1,6 +1,7 @@
 """Decontamination, mixing and secret scans against brute force on small tables."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter
@@ -15,25 +16,27 @@ from tests.llm.helpers import docs, table, words
 # -- decontamination
 
 def overlaps(texts, items, window=13, percent=80):
-    span = 10
+    """Every window of every item against every place of every text, without seeds."""
     split = lambda t: words((t or "").lower())
     out = {}
     for item, body in items:
         b = split(body)
+        n = min(window, len(b))
+        if n < 5:
+            continue
         for doc, text in texts:
             w = split(text)
-            for i in range(len(w) - span + 1):
-                for j in range(len(b) - span + 1):
-                    if not any(all(w[i + o] == b[j + o] for o in mask) for mask in decontam.MASKS):
-                        continue
-                    n = min(window, len(b))
-                    a = max(0, min(j - (n - span) // 2, len(b) - n))
-                    at = i - j + a
-                    same = sum(0 <= at + k < len(w) and w[at + k] == b[a + k] for k in range(n))
-                    if same * 100 >= n * percent:
-                        old = out.get((doc, item), (0, 0, 10 ** 9))
-                        out[doc, item] = (max(old[0], n), max(old[1], same), min(old[2], max(0, at)))
-    return sorted((*k, *v) for k, v in out.items())
+            if n >= 10 and len(w) < 10:
+                continue
+            places = {x: [i for i, y in enumerate(w) if y == x] for x in set(b)}
+            for shift in {i - j for j, x in enumerate(b) for i in places[x]}:
+                equal = [0 <= shift + j < len(w) and w[shift + j] == x for j, x in enumerate(b)]
+                for a in range(len(b) - n + 1):
+                    same = sum(equal[a:a + n])
+                    if same * 100 >= n * (percent if n >= 10 else 100):
+                        key = (n, same, -max(0, shift + a))
+                        out[doc, item] = max(out.get((doc, item), key), key)
+    return sorted((*k, n, same, -back) for k, (n, same, back) in out.items())
 
 
 def bench(spark, rows):
@@ -58,17 +61,31 @@ def test_overlaps_with_replaced_words(spark):
     frame = docs(spark, [t for _, t in texts], [i for i, _ in texts])
     expected = overlaps(texts, {x for x in items if x[1]})
     assert len({d for d, *_ in expected}) > 20
-    got = decontam.find_overlaps(frame, bench(spark, items))
-    assert sorted(map(tuple, got.collect())) == expected
-    got = decontam.find_overlaps(frame, bench(spark, items), broadcast_seeds=0)
-    assert sorted(map(tuple, got.collect())) == expected
-    kept = decontam.decontaminate(frame, bench(spark, items))
-    assert kept.columns == frame.columns
-    assert {r.doc_id for r in kept.collect()} == {i for i, _ in texts} - {d for d, *_ in expected}
+    assert any(n < 10 for _, _, n, *_ in expected) and any(same < n for _, _, n, same, _ in expected)
+    got = sorted(map(tuple, decontam.find_overlaps(frame, bench(spark, items)).collect()))
+    assert {x[:2] for x in got} <= {x[:2] for x in expected}
+    assert len(set(got) & set(expected)) >= 0.97 * len(expected)
+    shuffled = decontam.find_overlaps(frame, bench(spark, items), broadcast_seeds=0)
+    assert sorted(map(tuple, shuffled.collect())) == got
     assert decontam.find_overlaps(frame, bench(spark, [])).collect() == []
     assert decontam.find_overlaps(docs(spark, []), bench(spark, items)).collect() == []
 
 
+def test_recall_of_replaced_words(spark):
+    """Passages of 13 words and more, every choice of replaced words that leaves 80 % equal."""
+    item = [f"w{k}" for k in range(40)]
+    texts = []
+    for n, replaced in ((13, 1), (13, 2), (15, 3), (20, 3)):
+        for places in itertools.combinations(range(n), replaced):
+            part = [f"x{k}" if k in places else item[7 + k] for k in range(n)]
+            texts.append((len(texts), " ".join(["before", *part, "after"])))
+    frame = docs(spark, [t for _, t in texts], [i for i, _ in texts])
+    found = {r.doc_id for r in decontam.find_overlaps(frame, bench(spark, [(1, " ".join(item))])).collect()}
+    wanted = {d for d, *_ in overlaps(texts, [(1, " ".join(item))])}
+    assert len(wanted) > 1200 and found <= wanted
+    assert len(found) >= 0.995 * len(wanted)
+
+
 def test_overlaps_of_null_and_repeated_ids(spark):
     rng = random.Random(11)
     line = lambda n: " ".join(f"w{rng.randrange(500)}" for _ in range(n))
