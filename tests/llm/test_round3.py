@@ -201,3 +201,19 @@ def test_pruning_leaves_out_regions_of_clustered_rows():
     reach = vp_search._reach(query, kth, longest)[:, None]
     skipped = [(tree.bounds(far) * f > reach).mean() for f in (1, 2, 4)]
     assert skipped[0] < skipped[1] < skipped[2] and skipped[2] > 0.1
+
+
+# -- the pipeline ----------------------------------------------------------------
+
+def test_pipeline_keeps_columns_of_any_name_and_takes_empty_tables(spark):
+    import corpus_pipeline
+
+    texts = [" ".join(f"plain{(7 * k + i) % 900}" for i in range(40)) for k in range(3)]
+    frame = docs(spark, texts).select("*", *[F.lit(k).alias(name) for k, name in enumerate(
+        ("_row", "_row_", "place", "_order", "bands", "edits"))])
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        out = stage(spark, frame, "/root/testdata/sf0.001")
+        assert out.columns == frame.columns
+        assert {(r._row, r._row_, r.place, r._order, r.bands, r.edits) for r in out.collect()} == {(0, 1, 2, 3, 4, 5)}
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        assert stage(spark, frame.where("false"), "/root/testdata/sf0.001").collect() == []
