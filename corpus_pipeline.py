@@ -19,44 +19,52 @@ from affinity.llm.queries import encode
 ORACLE_SQL = None
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_row``, the row's place in its file: the same however often and by whatever tasks it is read."""
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column, of a name that they lack, and that name.
+
+    It holds the row's place in its file: the same however often and by whatever
+    tasks it is read.
+    """
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
     try:
         file = docs.metadataColumn("_metadata")
-        return docs.withColumn("_row", F.struct(F.xxhash64(file["file_path"]).alias("file"),
-                                                file["row_index"].alias("row")))
+        place = F.struct(F.xxhash64(file["file_path"]).alias("file"), file["row_index"].alias("row"))
+        return docs.withColumn(name, place), name
     except AnalysisException:  # not read from files
         return _keyed(written(docs, "documents"))
 
 
-def _without(keyed: DataFrame, rows: DataFrame) -> DataFrame:
-    """The documents whose row is not among ``rows``."""
-    return keyed.join(rows.select(F.col("doc_id").alias("_row")), "_row", "left_anti").drop("_row")
+def _without(keyed: DataFrame, name: str, rows: DataFrame) -> DataFrame:
+    """The documents whose row is not among ``rows`` (doc_id)."""
+    return keyed.join(rows.select(F.col("doc_id").alias(name)), name, "left_anti").drop(name)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the base rules or the line labels reject."""
     field = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    keyed = _keyed(docs)
-    rejected = quality.assess(keyed, field, id_col="_row").where(~F.col("kept")).select("doc_id")
-    return _without(keyed, written(rejected, "rejected"))
+    keyed, row = _keyed(docs)
+    rejected = quality.assess(keyed, field, id_col=row).where(~F.col("kept")).select("doc_id")
+    return _without(keyed, row, written(rejected, "rejected"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each component (five-word shingles, similarity 0.8): the smallest id's, null last, first row."""
-    keyed = _keyed(docs)
-    order = F.struct(F.col("doc_id").isNull().cast("int").alias("no_id"), "doc_id", F.col("_row.file").alias("file"),
-                     F.col("_row.row").alias("row"))
-    found = near_dup.near_duplicates(keyed.withColumn("_order", order), id_col="_order").where(~F.col("kept"))
-    return _without(keyed, written(found.select(F.struct("doc_id.file", "doc_id.row").alias("doc_id")), "duplicates"))
+    keyed, row = _keyed(docs)
+    order = F.struct(F.col("doc_id").isNull().cast("int").alias("no_id"), "doc_id", F.col(f"{row}.file").alias("file"),
+                     F.col(f"{row}.row").alias("row"))
+    texts = keyed.select(order.alias("place"), "text")
+    found = near_dup.near_duplicates(texts, id_col="place").where(~F.col("kept"))
+    found = found.select(F.struct("doc_id.file", "doc_id.row").alias("doc_id"))
+    return _without(keyed, row, written(found, "duplicates"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark passage."""
-    keyed = _keyed(docs)
-    found = decontam.find_overlaps(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row",
-                                     every_window=True)
-    return _without(keyed, written(found.select("doc_id"), "contaminated"))
+    keyed, row = _keyed(docs)
+    found = decontam.find_overlaps(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=row)
+    return _without(keyed, row, written(found.select("doc_id"), "contaminated"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
