@@ -13,12 +13,14 @@ then lowest catalog. All targets are searched in one job.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.operators.skew import chunked_lists
+from affinity.operators.skew import block_count, chunked_lists
 from affinity.operators.stats import reverse_adjacency_rows
-from affinity.session import materialize
+from affinity.session import bucketed, materialize
 
 # Fixed value: depth of the candidate search.
 MAX_LEVEL = 2
@@ -76,9 +78,36 @@ def related_catalogs(tcat: DataFrame, brothers: DataFrame) -> DataFrame:
             .join(b, "tcatalog").select("target", "catalog").distinct())
 
 
-def _sources(frontier: DataFrame, rev: DataFrame, allowed: DataFrame, level: int) -> DataFrame:
+@dataclass
+class Adjacency:
+    """The reverse graph laid out for the search: lists in blocks, a block's rows in one file."""
+    rows: DataFrame   # (item2, part, id, rating, catalog, click), bucketed by (item2, part)
+    parts: DataFrame  # (item2, parts): blocks of each list
+
+
+def lay_out(rev: DataFrame, block: int = 4096, buckets: int | None = None) -> Adjacency:
+    """Rows (item2, id, rating, catalog, click) as an ``Adjacency``.
+
+    A list of n sources is cut by the source's hash into ceil(n / ``block``)
+    parts, and (item2, part) is the key of the layout: an item clicked from
+    everywhere is spread over many keys. The table is shuffled once, here; the
+    joins of every level read it in place.
+    """
+    spark = rev.sparkSession
+    rev = rev.select("item2", "id", "rating", "catalog", "click")
+    parts = rev.groupBy("item2").agg(block_count(F.count(F.lit(1)), block).alias("parts"))
+    parts = materialize(parts, "adjacency_parts")
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    rows = rev.join(parts, "item2").withColumn("part", part).drop("parts")
+    return Adjacency(bucketed(rows, "reverse_adjacency", ["item2", "part"], buckets), parts)
+
+
+def _sources(frontier: DataFrame, adjacency: Adjacency, allowed: DataFrame, level: int) -> DataFrame:
     """Kept sources of the frontier items: (target, item, rating, catalog, click, level)."""
-    step = (frontier.join(rev, frontier["item"] == rev["item2"])
+    asked = (frontier.select("target", F.col("item").alias("item2")).join(adjacency.parts, "item2")
+             .select("target", "item2", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
+    step = (adjacency.rows.join(asked, ["item2", "part"])
             .select("target", F.col("id").alias("item"), "rating", "catalog", "click"))
     return (step.join(allowed, ["target", "catalog"], "left_semi")
             .where(F.col("item") != F.col("target"))
@@ -86,7 +115,7 @@ def _sources(frontier: DataFrame, rev: DataFrame, allowed: DataFrame, level: int
 
 
 def reverse_rows(adjacency: DataFrame) -> DataFrame:
-    """(item2, id, rating, catalog, click) of a persisted reverse adjacency."""
+    """(item2, id, rating, catalog, click) of a persisted reverse adjacency, a row an edge whatever the lists' sizes."""
     return adjacency.select("item2", F.explode("sources").alias("s")).select("item2", "s.*")
 
 
@@ -95,12 +124,14 @@ def candidates(merged: DataFrame, tcat: DataFrame, brothers: DataFrame,
     """(target, item, rating, catalog, click, level) for every target at once.
 
     ``rev`` is the reverse adjacency as rows, if it is persisted already
-    (``reverse_rows``); else it is written once here.  Every level is reduced
-    to one record per (target, item) and written before the next begins, so the
-    plan grows by one read of the adjacency a level.
+    (``reverse_rows``). It is laid out once (``lay_out``), so no level shuffles
+    it again. Every level is reduced to one record per (target, item) and
+    written before the next begins, so the plan grows by one read of the
+    adjacency a level.
     """
     if rev is None:
-        rev = materialize(reverse_adjacency_rows(merged), "reverse_adjacency")
+        rev = materialize(reverse_adjacency_rows(merged), "reverse_adjacency_rows")
+    adjacency = lay_out(rev)
     allowed = related_catalogs(tcat, brothers)
     frontier = tcat.select(F.col("item").alias("target"), F.col("item"))
     # Best record per (target, item) as an aggregate (partial, skew-safe):
@@ -109,7 +140,7 @@ def candidates(merged: DataFrame, tcat: DataFrame, brothers: DataFrame,
                           F.col("catalog")))
     found = None
     for level in range(1, max_level + 1):
-        step = _sources(frontier, rev, allowed, level).groupBy("target", "item", "level").agg(best.alias("b"))
+        step = _sources(frontier, adjacency, allowed, level).groupBy("target", "item", "level").agg(best.alias("b"))
         step = step.select("target", "item", (-F.col("b.nrating")).alias("rating"),
                            F.col("b.catalog").alias("catalog"), (-F.col("b.nclick")).alias("click"), "level")
         if found is not None:

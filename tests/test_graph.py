@@ -117,3 +117,37 @@ def test_candidates_deeper_levels(spark):
            graph.candidates(merged, tcat, brothers, max_level=4).collect()}
     assert got == {2: (1, 1), 3: (2, 2), 4: (2, 9), 5: (3, 4)}
     assert {r["item"] for r in graph.candidates(merged, tcat, brothers, max_level=2).collect()} == {2, 3, 4}
+
+
+def test_levels_read_the_adjacency_in_place(spark):
+    """No exchange between the bucketed adjacency and the join, however the other side is joined."""
+    rev = spark.createDataFrame([(i % 7, i, 1.0, 1, i) for i in range(500)] + [(3, 1000 + i, 1.0, 1, 1) for i in range(900)],
+                                "item2 long, id long, rating double, catalog int, click long")
+    adjacency = graph.lay_out(rev, block=100, buckets=4)
+    sizes = {r.item2: r.parts for r in adjacency.parts.collect()}
+    assert sizes[3] == -(-(900 + 71) // 100) and sizes[0] == 1
+    frontier = spark.createDataFrame([(50, 3), (50, 0), (51, 3), (51, -1)], "target long, item long")
+    allowed = spark.createDataFrame([(50, 1), (51, 1)], "target long, catalog int")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        step = graph._sources(frontier, adjacency, allowed, 1)
+        got = {tuple(r) for r in step.select("target", "item").collect()}
+        plan = step._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    want = {r["id"] for r in rev.where("item2 = 3").collect()}
+    assert got == {(50, i) for i in want | {r["id"] for r in rev.where("item2 = 0").collect()}} | {(51, i) for i in want}
+    final = plan.split("Initial Plan")[0]
+    lines = final.splitlines()
+    scan = next(k for k, line in enumerate(lines) if "FileScan parquet" in line and "part#" in line and "Bucketed: true" in line)
+    # Walk up the plan from the scan to the first join.
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*|"))
+    above, at = [], depth(lines[scan])
+    for line in reversed(lines[:scan]):
+        if depth(line) < at:
+            at = depth(line)
+            above.append(line)
+            if "Join" in line:
+                break
+    assert "Join" in above[-1] and not any("Exchange" in line for line in above)
