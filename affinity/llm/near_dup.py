@@ -201,13 +201,17 @@ def _between_edits(compared: DataFrame, roots: DataFrame, percent: int) -> DataF
     node = Window.partitionBy("a", "b")
     # Edits of one node come first: a shared one's place is after them.
     at = F.col("differ") - F.count(F.lit(1)).over(node) + F.row_number().over(node.orderBy("f", "e")) - 1
-    shared = shared.withColumn("at", at.cast("int")).where(F.col("at") < F.greatest("probe", "index"))
-    shared = written(shared.select("b", "e", "a", "n", "differ", "root", "probe", "index", "at"), "prefixes")
+    shared = shared.withColumn("at", at.cast("int")).withColumn("before", F.lag("e").over(node.orderBy("f", "e")))
+    shared = shared.where(F.col("at") < F.greatest("probe", "index"))
+    shared = written(shared.select("b", "e", "a", "n", "differ", "root", "probe", "index", "at", "before"), "prefixes")
 
     x, y = shared.where("at < probe").alias("x"), shared.where("at < index").alias("y")
     sizes = F.col("x.n") + F.col("y.n")
     most = F.least(F.col("x.differ") - F.col("x.at"), F.col("y.differ") - F.col("y.at"))
-    found = x.join(y, (F.col("x.b") == F.col("y.b")) & (F.col("x.e") == F.col("y.e"))
+    # Two nodes that neither is linked meet one way round, and nodes that met at the edit before do not meet again.
+    once = (F.col("y.probe") == 0) | (F.col("x.a") < F.col("y.a"))
+    again = F.coalesce(F.col("x.before") == F.col("y.before"), F.lit(False))
+    found = x.join(y, (F.col("x.b") == F.col("y.b")) & (F.col("x.e") == F.col("y.e")) & once & ~again
                    & (F.col("x.root") != F.col("y.root")) & _close(F.col("x.n"), F.col("y.n"), percent)
                    & _similar(F.col("x.differ") + F.col("y.differ") - 2 * most, sizes, percent))
     met = written(found.select("x.b", F.col("x.a").alias("p"), F.col("y.a").alias("q"), sizes.alias("sizes")).distinct(),
