@@ -1,4 +1,4 @@
-"""The rating-recommender report: one row of eight fields.
+"""The rating-recommender report: one row of eight fields (their names are fixed values of the format).
 
 Scalars are rounded half-down to 4 digits; lists keep their rank order.
 """

@@ -98,10 +98,10 @@ def chunked_lists(rows: DataFrame, key: str, order_id: str, entry: Column,
     ``order_id``; so no single list (or task) holds a hot key whole. The degree
     is a partial aggregate joined back on the key.
     """
+    # Degrees and lists both read the rows, which may be a whole ranking or graph: written once.
+    rows = materialize(rows.select(F.col(key), F.col(order_id).alias("_id"), entry.alias("_entry")), "list_entries")
     degree = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    tagged = (rows.join(degree, key)
-              .withColumn("_chunk", spread(order_id, block_count("_n", chunk_size)))
-              .withColumn("_entry", entry))
+    tagged = rows.join(degree, key).withColumn("_chunk", spread("_id", block_count("_n", chunk_size)))
     return (tagged.groupBy(key, "_chunk", "_n")
             .agg(F.sort_array(F.collect_list("_entry")).alias(out))
             .select(F.col(key), F.col("_chunk").alias("chunk"),
