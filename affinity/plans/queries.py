@@ -78,7 +78,7 @@ def q_target_ratings(spark, d):
 
 @query("unwatched_items")
 def q_unwatched_items(spark, d):
-    return stats.unwatched_items(b.ratings(spark, d), TARGET_USER)
+    return stats.unwatched_items(_written(spark, d), TARGET_USER)
 
 
 @query("user_rating_maps")
