@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.operators.skew import block_count, chunked_lists
-from affinity.operators.stats import reverse_adjacency_rows
+from affinity.operators.stats import reverse_adjacency_rows, source_records
 from affinity.session import bucketed, materialize
 
 # Fixed value: depth of the candidate search.
@@ -86,7 +86,7 @@ class Adjacency:
 
 
 def lay_out(rev: DataFrame, block: int = 4096, buckets: int | None = None) -> Adjacency:
-    """Rows (item2, id, rating, catalog, click) as an ``Adjacency``.
+    """Rows (item2, id, rating, catalog, click), repeats once, as an ``Adjacency``.
 
     A list of n sources is cut by the source's hash into ceil(n / ``block``)
     parts, and (item2, part) is the key of the layout: an item clicked from
@@ -130,7 +130,7 @@ def candidates(merged: DataFrame, tcat: DataFrame, brothers: DataFrame,
     adjacency a level.
     """
     if rev is None:
-        rev = materialize(reverse_adjacency_rows(merged), "reverse_adjacency_rows")
+        rev = materialize(source_records(merged), "source_records")
     adjacency = lay_out(rev)
     allowed = related_catalogs(tcat, brothers)
     frontier = tcat.select(F.col("item").alias("target"), F.col("item"))

@@ -113,17 +113,22 @@ def profile(df: DataFrame, cols: Sequence[str] = ("rating1", "rating2", "click")
     return one.select(F.inline(rows))
 
 
-def reverse_adjacency_rows(merged: DataFrame) -> DataFrame:
-    """Distinct source records per destination: (item2, id, rating, catalog, click).
+def source_records(merged: DataFrame) -> DataFrame:
+    """(item2, id, rating, catalog, click): the source of every edge.
 
     Missing rating / catalog of the source become 0, as the source records
     hold plain numbers.
     """
-    return (merged.select(
+    return merged.select(
         "item2", F.col("item1").alias("id"),
         F.coalesce(F.col("rating1"), F.lit(0.0)).alias("rating"),
         F.coalesce(F.col("catalog1"), F.lit(0)).alias("catalog"),
-        F.col("click")).distinct())
+        F.col("click"))
+
+
+def reverse_adjacency_rows(merged: DataFrame) -> DataFrame:
+    """Distinct source records per destination: (item2, id, rating, catalog, click)."""
+    return source_records(merged).distinct()
 
 
 def edge_quantiles(merged: DataFrame) -> DataFrame:

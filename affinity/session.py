@@ -129,9 +129,10 @@ def materialize(df, name: str = "stage"):
 
 
 def bucketed(df, name: str, keys: list[str], buckets: int):
-    """``df`` as a table cut by the hash of ``keys`` into ``buckets`` sorted files, which joins on them read in place.
+    """The distinct rows of ``df`` as a table cut by the hash of ``keys`` into ``buckets`` sorted files.
 
-    One shuffle, at the time of writing; no later join on the keys shuffles it.
+    One shuffle, at the time of writing, which also brings equal rows together;
+    no later join on the keys shuffles the table.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
@@ -139,6 +140,6 @@ def bucketed(df, name: str, keys: list[str], buckets: int):
     if _OWNED.get() is not None:
         _OWNED.get().append(_TABLE + table)
     # Dealt as the buckets are, so that every task writes one file.
-    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    (df.repartition(buckets, *keys).distinct().write.bucketBy(buckets, *keys).sortBy(*keys)
      .option("path", path).format("parquet").saveAsTable(table))
     return spark.table(table)
