@@ -143,8 +143,9 @@ def edge_quantiles(merged: DataFrame) -> DataFrame:
         "rating_p50": ("rating", 0.5), "rating_p75": ("rating", 0.75)})
     whole = rows.agg(F.count(F.lit(1)).alias("n_clicks"), out(F.avg("click")).alias("click_mean"),
                      F.count(F.when(F.col("rating") != 0.0, 1)).alias("n_ratings"))
-    # One row each, put side by side by a constant key.
-    return (whole.withColumn("_one", F.lit(1)).join(found.withColumn("_one", F.lit(1)), "_one", "left")
-            .select("n_clicks", F.col("click_p50").cast("bigint").alias("click_p50"),
-                    F.col("click_p75").cast("bigint").alias("click_p75"), "click_mean", "n_ratings",
-                    "rating_p50", "rating_p75"))
+    # One row each, of different columns: stacked and folded into one.
+    both = whole.unionByName(found, allowMissingColumns=True)
+    both = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    return both.select("n_clicks", F.col("click_p50").cast("bigint").alias("click_p50"),
+                       F.col("click_p75").cast("bigint").alias("click_p75"), "click_mean", "n_ratings",
+                       "rating_p50", "rating_p75")
