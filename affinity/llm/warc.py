@@ -29,6 +29,7 @@ from affinity.llm.common import map_slices
 VERSION = b"WARC/1.1"
 CRLF = b"\r\n"
 END = "\r\n\r\n"
+KINDS = ("response", "revisit")
 HTTP_CHUNKED = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 HTTP_SIZED = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 DATE = "1970-01-01T00:00:00Z"
@@ -147,6 +148,10 @@ def _parse(data: bytes):
         at = stop + 4 + size + 4
 
 
+def _unpacked(data: bytes) -> bytes:
+    return gzip.decompress(data) if data.startswith(b"\x1f\x8b") else data
+
+
 def _payload(block: bytes) -> tuple[bytes | None, int | None]:
     """(payload, size told by the header) of an HTTP response."""
     head, _, body = block.partition(b"\r\n\r\n")
@@ -191,17 +196,19 @@ def read_archives(spark: SparkSession, path: str, *, with_payload: bool = True)
     differs), "bad framing" (of the chunks), "other digest" (the payload does
     not match the digest of its header) or "no length" (a revisit that tells no
     size).  Digest and size of a revisit are those its own headers tell.
-    An empty folder gives an empty table; a file that is no archive is an error.
+    Records of other types (warcinfo, request and the like) are passed over.
+    Archives are files ``*.gz`` and ``*.warc``; other files are not read.  An
+    empty folder gives an empty table; an archive that does not parse is an error.
     """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.gz")
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.{gz,warc}")
              .option("recursiveFileLookup", "true").load(path).select("content"))
 
     def whole(batches):
         for batch in batches:
             for content in batch.column(0):
                 rows, held = [], 0
-                for f, block in _parse(gzip.decompress(content.as_py())):
-                    if f["warc-type"] == "continuation" or "warc-segment-number" in f:
+                for f, block in _parse(_unpacked(content.as_py())):
+                    if f["warc-type"] not in KINDS or "warc-segment-number" in f:
                         continue
                     rows.append((_number(f.get("page-id")), f["warc-type"], _number(f.get("refers-to-page-id")),
                                  f.get("warc-payload-digest", "").removeprefix("sha1:") or None, block, True))
@@ -212,22 +219,25 @@ def read_archives(spark: SparkSession, path: str, *, with_payload: bool = True)
                 yield _result(rows, with_payload)
 
     def parts(batches):
-        names = ["origin", "segment", "total", "page_id", "digest", "block"]
-        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+        names = ["origin", "kind", "segment", "total", "page_id", "digest", "block"]
+        types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
         for batch in batches:
             for content in batch.column(0):
-                rows = [(f.get("warc-segment-origin-id") or f["warc-record-id"], _number(f["warc-segment-number"]),
-                         _number(f.get("warc-segment-total-length")), _number(f.get("page-id")),
+                rows = [(f.get("warc-segment-origin-id") or f["warc-record-id"],
+                         f["warc-type"] if f["warc-type"] != "continuation" else None,
+                         _number(f["warc-segment-number"]), _number(f.get("warc-segment-total-length")), _number(f.get("page-id")),
                          f.get("warc-payload-digest", "").removeprefix("sha1:") or None, block)
-                        for f, block in _parse(gzip.decompress(content.as_py())) if "warc-segment-number" in f]
+                        for f, block in _parse(_unpacked(content.as_py())) if "warc-segment-number" in f]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
-    segments = files.mapInArrow(parts, "origin string, segment long, total long, page_id long, digest string, block binary")
+    segments = files.mapInArrow(parts, "origin string, kind string, segment long, total long, page_id long, "
+                                       "digest string, block binary")
     # A group is the segments of one record: what one payload was in one cell before.
     joined = segments.groupBy("origin").agg(
         F.sort_array(F.collect_list(F.struct("segment", "block"))).alias("s"), F.max("total").alias("total"),
-        F.max("page_id").alias("page_id"), F.max("digest").alias("digest"))
+        F.max("page_id").alias("page_id"), F.max("digest").alias("digest"), F.max("kind").alias("kind"))
+    joined = joined.where(F.coalesce("kind", F.lit("response")) == "response")  # no kind: the first segment is lost
     joined = joined.select(
         "page_id", "digest", "total",
         F.col("s.segment").alias("numbers"), F.col("s.block").alias("blocks"),

@@ -77,6 +77,19 @@ def test_damaged_archives(spark, tmp_path, damage, status):
     assert (row.page_id, row.status) == (1, status)
 
 
+def test_records_of_other_types_and_plain_archives(spark, tmp_path):
+    def other(kind, *more):
+        return warc._record([("WARC-Type", kind), ("WARC-Record-ID", f"<urn:uuid:{kind}>"), *more], b"k: v")
+
+    records = [other("warcinfo"), other("request"), other("resource", ("WARC-Segment-Number", 1)),
+               *warc._records(1, "http://a", b"abc" * 500, None, False, 400, 64)]
+    (tmp_path / "a.warc").write_bytes(b"".join(r + b"\r\n\r\n" for r in records))
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(other("metadata") + b"\r\n\r\n"))
+    (tmp_path / "readme.txt").write_text("no archive")
+    row, = warc.read_archives(spark, str(tmp_path)).collect()
+    assert (row.page_id, row.status, row.payload) == (1, "ok", b"abc" * 500)
+
+
 def test_chunk_framing():
     for n in (0, 1, 63, 64, 65, 1000):
         assert warc.dechunk(warc.chunked(b"q" * n, 64)) == b"q" * n
