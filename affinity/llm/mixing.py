@@ -6,7 +6,9 @@ source's cumulative word demand.  Documents of a source stand in a fixed random
 order; the words before a document, inverted through the demand, give its
 training position between 0 and 1, and the mix is the documents range-sorted
 by position.  Words before a document are two-level sums: over blocks of the
-source, then within the block, so no task holds a whole source.
+source, then within the block, so no task holds a whole source.  Rows of one id
+share a place in that order; where they overfill a block, those of equal size,
+which may stand in for each other, are dealt over slices of it.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.llm.common import WORD, written
+from affinity.operators.skew import checked_broadcast
 
 #: Weights of sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -34,7 +37,8 @@ def targets(sizes: DataFrame, *, weights=WEIGHTS, schedules=SCHEDULES, percent:
     Targets share ``percent`` of 100 of all words by weight; none exceeds
     ``repeats`` times its source's words, and what is above goes to the others
     by weight.  With sources in order of limit / weight, those up to the first
-    place where the rest shares without excess stand at their limit.
+    place where the rest shares without excess stand at their limit.  One task
+    orders the sources, a row each.
     """
     each = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     # One row per source: these windows order sources, not documents.
@@ -60,6 +64,38 @@ def targets(sizes: DataFrame, *, weights=WEIGHTS, schedules=SCHEDULES, percent:
     return each.select("source", "source_size", "n", target.alias("target"), "first", "last")
 
 
+def _joined(rows: DataFrame, other: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on keys of which nulls are equal; the other side's keys go."""
+    other = other.select(*[F.col(k).alias(f"other_{k}") if k in keys else k for k in other.columns])
+    on = [F.col(k).eqNullSafe(F.col(f"other_{k}")) for k in keys]
+    return rows.join(other, on, how).drop(*[f"other_{k}" for k in keys])
+
+
+def _sliced(rows: DataFrame, block_rows: int) -> tuple[DataFrame, list[str]]:
+    """``rows`` with the columns, in their order, of the slices that a source is summed by.
+
+    A slice is a block, except that a block of over twice ``block_rows`` rows,
+    which only repeated (or null) ids make, is cut by its place, id and size; and a
+    group of these, whose rows differ in nothing that counts, into slices of about
+    ``block_rows`` rows each.
+    """
+    n = F.count(F.lit(1))
+    full = written(rows.groupBy("source", "block").agg(n.alias("n")).where(F.col("n") > 2 * block_rows)
+                   .drop("n"), "mix-full-blocks")
+    if full.isEmpty():
+        return rows, ["block"]
+    group = ["source", "block", "at", "doc_id", "size"]
+    groups = _joined(rows, checked_broadcast(full), ["source", "block"]).groupBy(*group).agg(
+        F.ceil(n / block_rows).alias("parts"))
+    rows = _joined(rows, checked_broadcast(written(groups, "mix-groups")), group, "left")
+    cut = F.col("parts").isNotNull()
+    deal = F.expr("shiftrightunsigned(xxhash64(deal), 11) / 9007199254740992D")
+    rows = rows.select("*", F.when(cut, F.col("at")).alias("cut_at"), F.when(cut, F.col("doc_id")).alias("cut_id"),
+                       F.when(cut, F.col("size")).alias("cut_size"),
+                       F.floor(deal * F.col("parts")).alias("part")).drop("parts")
+    return rows, ["block", "cut_at", "cut_id", "cut_size", "part"]
+
+
 def plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
          weights=WEIGHTS, schedules=SCHEDULES, percent: int = 150, repeats: int = 2, block_rows: int = 4096,
          keep=()) -> DataFrame:
@@ -70,24 +106,25 @@ def plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sou
     is taken more than ``repeats`` times.  The order within a source hangs on a
     hash of the id (ties: id, size), so reruns agree.  Sizes are words, 0 for
     null and empty texts, which are never taken words but may have positions.
-    A null source is a source.  Repeated rows count each.  ``keep`` names
-    further columns to return.
+    Texts of any length count whole.  A null source is a source.  Repeated rows
+    count each.  ``keep`` names further columns to return, which are written
+    beside the sizes.  An empty table gives an empty one.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_size(F.col(text_col)).alias("size"),
                        F.col(source_col).alias("source"), *[F.col(c).alias(f"keep_{c}") for c in keep])
     spread = F.expr("shiftrightunsigned(xxhash64(doc_id), 11) / 9007199254740992D")
-    rows = rows.withColumn("at", spread)
+    rows = written(rows.withColumns({"at": spread, "deal": F.monotonically_increasing_id()}), "mix-sizes")
     goals = targets(rows.select("source", "size"), weights=weights, schedules=schedules, percent=percent,
                     repeats=repeats)
     blocks = F.ceil(F.col("n") / block_rows)
     rows = rows.join(goals.withColumnRenamed("source", "goal"), F.col("source").eqNullSafe(F.col("goal"))).drop("goal")
     rows = rows.withColumn("block", F.floor(F.col("at") * blocks).cast("long"))
-    sums = rows.groupBy("source", "block").agg(F.sum("size").alias("words"))
-    earlier = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(F.col("source").alias("of"), F.col("block").alias("in"),
-                       F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("base"))
-    rows = rows.join(sums, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("in"))).drop("of", "in")
-    inner = Window.partitionBy("source", "block").orderBy("at", "doc_id", "size").rowsBetween(
+    rows, slices = _sliced(rows, block_rows)
+    sums = rows.groupBy("source", *slices).agg(F.sum("size").alias("words"))
+    earlier = Window.partitionBy("source").orderBy(*slices).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("base", F.coalesce(F.sum("words").over(earlier), F.lit(0))).drop("words")
+    rows = _joined(rows, sums, ["source", *slices])
+    inner = Window.partitionBy("source", *slices).orderBy("at", "doc_id", "size").rowsBetween(
         Window.unboundedPreceding, -1)
     rows = rows.withColumn("middle", F.col("base") + F.coalesce(F.sum("size").over(inner), F.lit(0))
                            + F.col("size") / 2)

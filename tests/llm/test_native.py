@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from affinity.llm import decontam, mixing, secrets
 from tests.conftest import SF_SMALL
@@ -172,6 +173,21 @@ def test_mix_edges_and_schedules(spark):
     assert mixing.plan(frame.limit(0)).collect() == [] and mixing.mix(frame.limit(0)).collect() == []
 
 
+def test_mix_of_ids_that_overfill_a_block(spark):
+    """A third of the rows without an id, one id over many rows: dealt over slices, whatever the partitions."""
+    rng = random.Random(3)
+    rows = [(None if k % 3 == 0 else 5 if k % 7 == 0 else k, "x " * rng.choice((0, 2, 9)), "hot" if k % 4 else None)
+            for k in range(3000)]
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, source string, at string, "
+                                                                "part int").repartition(5)
+    check_mix(spark, frame, rows)
+    placed = frame.select("doc_id", mixing.text_size(F.col("text")).alias("size"), "source",
+                          F.lit(0.25).alias("at"), F.monotonically_increasing_id().alias("deal"), F.lit(0).alias("block"))
+    sliced, slices = mixing._sliced(mixing.written(placed, "placed"), 7)
+    counts = [r["count"] for r in sliced.groupBy("source", *slices).count().collect()]
+    assert sum(counts) == 3000 and max(counts) < 30
+
+
 # -- secrets
 
 PATTERNS = {"assign": re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
