@@ -17,13 +17,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.common import map_slices, mix, tokenise
+from affinity.llm.common import hashes, map_slices, mix, tokenise
 
 #: The symbols and limits of the base rules.
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, REPEAT_WORDS, REPEAT_PERCENT = 10, 5, 20
 #: Bytes of text that a task reads lines of at once: the arrays take about 40 times as much.
 SLICE = 1 << 20
+#: Lines that the fit sees in a row.
+PIECE = 32
 FEATURES = ("bias", "words", "upper", "symbols", "shouts", "stutter", "word_length", "digits", "sentence", "repeated",
             "distinct")
 
@@ -156,8 +158,19 @@ class LineField:
         return out
 
 
+def drawn(n: int, seed: np.uint64, limit: int) -> np.ndarray:
+    """Places of at most ``limit`` of ``n`` lines, in order: runs of ``PIECE`` lines drawn by hash from all."""
+    if n <= limit:
+        return np.arange(n)
+    runs = np.arange(-(-n // PIECE))
+    with np.errstate(over="ignore"):
+        runs = np.sort(runs[np.argsort(mix(mix(runs.astype(np.uint64)) + seed), kind="stable")[:limit // PIECE]])
+    places = (runs[:, None] * PIECE + np.arange(PIECE)).ravel()
+    return places[places < n]
+
+
 def fit_field(features: list[np.ndarray], labels: list[int], *, rounds: int = 250, penalty: float = 0.02,
-              piece: int = 32) -> LineField:
+              piece: int = PIECE) -> LineField:
     """Maximum conditional likelihood of chains whose lines all have one label (chains are cut into pieces)."""
     width = len(FEATURES)
     chains = [(x[k:k + piece], y) for x, y in zip(features, labels, strict=True) for k in range(0, len(x), piece)]
@@ -205,8 +218,9 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
           label_col: str = "quality", max_documents: int = 3000, max_lines: int = 256) -> LineField:
     """Fit the field on at most ``max_documents`` labelled documents, as many of either label as there are.
 
-    They are those with the smallest hashes of their ids; of each the first
-    ``max_lines`` lines with a word serve the fit.  Null labels and labels
+    They are those with the smallest hashes of their ids; of the whole text of
+    each, runs of ``PIECE`` lines with a word serve the fit, ``max_lines`` lines at
+    most: those whose places have the smallest hashes.  Null labels and labels
     without a document do not count; of several labels of an id the best does,
     of several texts the one with the smallest hash.
     """
@@ -221,8 +235,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         lines = read_lines(batch.column("text"))
         cuts = np.searchsorted(lines.doc, np.arange(batch.num_rows + 1))
-        rows = [lines.features[a:min(b, a + max_lines)].astype(np.float32).tobytes()
-                for a, b in zip(cuts, cuts[1:], strict=False)]
+        rows = [lines.features[a + drawn(b - a, seed, max_lines)].astype(np.float32).tobytes()
+                for a, b, seed in zip(cuts, cuts[1:], hashes(batch.column("id")), strict=False)]
         return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(rows, pa.binary())],
                                           ["id", "label", "lines"])
 

@@ -6,6 +6,7 @@ from zlib import crc32
 
 import corpus_pipeline
 import numpy as np
+import pytest
 from affinity.llm import near_dup, quality, toxicity
 from affinity.llm.queries import QUERIES
 from tests.conftest import SF_MID, SF_SMALL
@@ -168,6 +169,14 @@ def test_repeated_rows_of_a_labelled_document_fit_once(spark):
     assert np.array_equal(once.weights, often.weights) and np.array_equal(once.pairs, often.pairs)
 
 
+def test_lines_of_the_fit_are_drawn_from_the_whole_text():
+    assert quality.drawn(200, np.uint64(5), 256).tolist() == list(range(200))
+    places = [quality.drawn(10_000, np.uint64(s), 256) for s in range(40)]
+    assert all(0 < len(p) <= 256 and (np.diff(p) > 0).all() and p[-1] < 10_000 for p in places)
+    assert all(p[k] % 32 == 0 and p[k + 31] == p[k] + 31 for p in places for k in range(0, len(p) - 31, 32))
+    assert np.mean(np.concatenate(places)) == pytest.approx(5000, rel=0.1)
+
+
 def test_decoding_is_the_best_of_all_labellings():
     rng = np.random.default_rng(0)
     width = len(quality.FEATURES)
