@@ -6,7 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from affinity.operators import graph, stats
-from affinity.operators.skew import chunked_lists, order_statistics, rank_within, salted_pairs
+from affinity.operators.skew import (chunked_lists, distinct_rows, order_statistics, pair_tasks, rank_within, salted_pairs,
+                                     task_count)
 
 
 def _index(values, share):
@@ -151,3 +152,38 @@ def test_levels_read_the_adjacency_in_place(spark):
             if "Join" in line:
                 break
     assert "Join" in above[-1] and not any("Exchange" in line for line in above)
+
+
+def test_tasks_grow_with_the_rows(spark):
+    session = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.range(6000).select(F.lit(1).alias("g"), F.col("id").alias("m"), F.lit(6000).alias("n"))
+    assert pair_tasks(df, "n") == 18 > session  # 36 million pairs, two million a task
+    assert task_count(spark, None) == task_count(spark, 5) == session
+    text = salted_pairs(df, "g", "m", [], "n")._jdf.queryExecution().analyzed().toString()
+    assert text.count(", 18") == 2
+    rows = spark.createDataFrame([(1, 2, 3), (1, 2, 3), (1, 2, 4), (None, 2, 3), (None, 2, 3)], "a int, b int, c int")
+    got = distinct_rows(rows, ["a", "b"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, rows.distinct().collect()))
+    assert "RepartitionByExpression [a" in got._jdf.queryExecution().analyzed().toString()
+
+
+def test_one_level_writes_the_lists_of_the_targets_only(spark, monkeypatch):
+    merged = spark.createDataFrame([(1, 5, 1.0, 2, 3), (2, 5, 2.0, 2, 1), (3, 5, 2.0, 4, 1), (None, 5, 1.0, None, 1)],
+                                   "item1 long, catalog1 int, rating1 double, item2 long, click long")
+    tcat = spark.createDataFrame([(2, 5), (2, 5)], "item long, catalog int")
+    brothers = spark.createDataFrame([(5, [5])], "catalog int, brothers array<int>")
+    written = {}
+    monkeypatch.setattr(graph, "materialize", lambda df, name: written.setdefault(name, df))
+    got = sorted(map(tuple, graph.candidates_level1(merged, tcat, brothers).select("target", "item", "click").collect()))
+    assert got == [(2, 1, 3)]
+    assert {r.item2 for r in written["source_records"].collect()} == {2}
+
+
+def test_merge_of_one_end_gives_the_same_source_records(spark):
+    edges = spark.createDataFrame([(1, 2, 3), (2, 1, 1), (4, 1, 2)], "item1 long, item2 long, click long")
+    catalogs = spark.createDataFrame([(1, 7), (2, None), (2, 8)], "item long, catalog int")
+    ratings = spark.createDataFrame([(1, 2.5)], "itemid long, rating double")
+    half, full = (graph.merge_edges(edges, catalogs, ratings, both) for both in (False, True))
+    assert "catalog2" not in half.columns
+    one, two = (sorted(map(tuple, stats.reverse_adjacency_rows(m).collect())) for m in (half, full))
+    assert one == two and len(one) == 4
