@@ -28,7 +28,7 @@ def cf_report(ratings: DataFrame, target: int, k: int = user_cf.NEIGHBOURS,
     own = user_cf.target_rows(ratings, target)
     neighbours = materialize(user_cf.neighbours(ratings, target, k, own), "neighbours")
     user_top = user_cf.top_n(user_cf.estimates(ratings, target, k, nb=neighbours, mine_rows=own), n)
-    im, kept = item_cf.kept_pairs(ratings, target, k)
+    im, kept = item_cf.kept_pairs(ratings, target, k, near=True)
     est = item_cf.estimates_from(im, kept, target)
     est_pos = item_cf.estimates_from(im, kept, target, positive_only=True)
     item_top = user_cf.top_n(est, n)

@@ -95,3 +95,23 @@ def test_pruning_joins_at_most_half_the_pairs(spark):
 
 def test_no_user_is_heavy_in_even_tables(spark):
     assert item_cf.heavy_level(item_cf.fit(frame(spark, ratings(5, heavy=0)))) is None
+
+
+def test_estimates_rank_the_items_near_the_target_only(spark):
+    # Two groups of users that rate different items: no item of the second is near user 3.
+    rows = ratings(6, users=60, items=40, heavy=0)
+    rows += [(u + 500, i + 500, r) for u, i, r in rows]
+    df = frame(spark, rows)
+    im = item_cf.fit(df)
+    near = {r.m1 for r in item_cf.near_similarities(im, 3).select("m1").distinct().collect()}
+    assert near and max(near) < 500
+    got, want = ({r["item_id"]: r["estimate"] for r in item_cf.estimates_from(*item_cf.kept_pairs(df, 3, 5, near=n), 3).collect()}
+                 for n in (True, False))
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], abs=1e-12) for i in got)
+
+
+def test_a_pair_is_shuffled_as_two_ids_and_a_sum(spark):
+    im = item_cf.fit(frame(spark, ratings(7, users=60, items=40, heavy=0)))
+    assert item_cf.pair_cosines(im.vectors).columns == ["a", "b", "sim", "sim_raw"]
+    text = item_cf.pair_cosines(im.vectors)._jdf.queryExecution().optimizedPlan().toString()
+    assert "norm2_1" not in text and "reach_1" not in text
