@@ -123,3 +123,16 @@ def test_rare_term_candidates(spark):
     assert pairs == {(1, 2)}
     pairs = {tuple(r) for r in content.rare_term_candidates(docs, targets, prefix=2).collect()}
     assert pairs == {(1, 2), (1, 3), (1, 4)}
+
+
+@pytest.mark.parametrize("weighting", ["tfidf", "hashed"])
+def test_a_pair_is_scored_in_its_row(spark, weighting):
+    docs = _docs(spark, [("1", "10", "red metal bolt", "x1"), ("2", "20", "red metal bolt", None), ("3", "30", "red cup", None)])
+    cands = _cands(spark, [(1, i, 4.0, 0, 2, 1) for i in (2, 3)])
+    scores = content.cosine_scores(cands, docs) if weighting == "tfidf" else content.hashed_scores(cands, docs)
+    assert {r["item"]: pytest.approx(r.cos) for r in scores.collect()} == {2: 1.0, 3: 0.0}
+    # Rows are made of shared terms once, for the document frequencies; no weight is joined to them.
+    assert scores._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 1
+    # A candidate that is listed twice counts its terms twice, as before, in one row.
+    twice = content.cosine_scores(cands.unionAll(cands.where("item = 3")), docs)
+    assert sorted(r["item"] for r in twice.collect()) == [2, 3]
