@@ -136,3 +136,10 @@ def test_a_pair_is_scored_in_its_row(spark, weighting):
     # A candidate that is listed twice counts its terms twice, as before, in one row.
     twice = content.cosine_scores(cands.unionAll(cands.where("item = 3")), docs)
     assert sorted(r["item"] for r in twice.collect()) == [2, 3]
+
+
+def test_words_travel_as_hashes_only_if_no_two_share_one(spark, monkeypatch):
+    words = spark.createDataFrame([(1, ["red", "cup"]), (2, ["red"]), (3, [])], "item long, words array<string>")
+    assert dict(content._keyed(words).dtypes)["words"] == "array<bigint>"
+    monkeypatch.setattr(content.F, "xxhash64", lambda *c: content.F.length(*c))  # red and cup clash
+    assert content._keyed(words) is words
