@@ -7,7 +7,7 @@ similarity of the full shingle sets confirms links, and documents linked by a
 chain form a component.
 
 Documents with equal sets are one node, so copies cost nothing.  A bucket
-compares its nodes with one leader only.  Two nodes of a bucket that are both
+compares its nodes with one leader only, that which meets most other nodes.  Two nodes of a bucket that are both
 linked to the leader are in one component already; any other pair is found by
 its edits, that is by what tells its sets from the leader's.  If one of the two
 is not linked to the leader, a link between them takes more shared edits than
@@ -136,6 +136,24 @@ def _sets(df: DataFrame, width: int) -> DataFrame:
     return map_slices(df, run, "node binary, members array<long>")
 
 
+def _stars(nodes: DataFrame) -> DataFrame:
+    """(a, b): the nodes that meet in a bucket with the leader b of it.
+
+    A bucket's leader is its node that meets most nodes over all of its buckets.
+    In a group of near copies that is one with few edits, which most others
+    share a bucket with: one star with short edits, many of its nodes linked,
+    where a far node as leader would have long ones and few links.
+    """
+    buckets = nodes.select("uid", F.explode("bands").alias("bucket"))
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    buckets = written(buckets.join(sizes, "bucket"), "buckets")
+    meets = buckets.groupBy("uid").agg(F.sum("size").alias("meets"))
+    leaders = buckets.join(meets, "uid").groupBy("bucket").agg(
+        F.max(F.struct("meets", (-F.col("uid")).alias("uid"))).alias("first"))
+    leaders = leaders.select("bucket", (-F.col("first.uid")).alias("b"))
+    return buckets.join(leaders, "bucket").where("uid != b").select(F.col("uid").alias("a"), "b").distinct()
+
+
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b) with their sets ma and mb."""
     left = sets.select(F.col("uid").alias("a"), F.col("members").alias("ma"))
@@ -284,11 +302,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
     nodes = written(nodes.withColumn("uid", F.monotonically_increasing_id()), "nodes")
 
-    buckets = nodes.select("uid", F.explode("bands").alias("bucket"))
-    leaders = buckets.groupBy("bucket").agg(F.min("uid").alias("leader"), F.max("uid").alias("last"))
-    leaders = leaders.where("leader != last").select("bucket", "leader")
-    stars = written(buckets.join(leaders, "bucket").where("uid != leader")
-                    .select(F.col("uid").alias("a"), F.col("leader").alias("b")).distinct(), "stars")
+    stars = written(_stars(nodes), "stars")
 
     live = stars.select(F.col("a").alias("uid")).unionAll(stars.select(F.col("b").alias("uid"))).distinct()
     live = written(nodes.select("uid", "node", "first").join(live, "uid", "left_semi"), "live")

@@ -81,3 +81,32 @@ def test_edges(spark):
     assert sorted((str(r.doc_id), str(r.component_id), r.kept) for r in rows) == [
         ("4", "4", True), ("4", "4", True), ("None", "4", False), ("None", "None", True), ("None", "None", True)]
     assert near_dup.near_duplicates(docs(spark, [])).collect() == []
+
+
+def test_leader_of_a_bucket_meets_most_nodes(spark):
+    # Node 2 shares a bucket with each of the others, which share none: one star around it, not one around node 1.
+    rows = [(1, [1, 100]), (2, [1, 2, 3]), (3, [2, 200]), (4, [3, 300]), (5, [400])]
+    nodes = spark.createDataFrame(rows, "uid long, bands array<long>")
+    assert sorted(map(tuple, near_dup._stars(nodes).collect())) == [(1, 2), (3, 2), (4, 2)]
+
+
+def test_far_copies_are_not_paired_with_all(spark, monkeypatch):
+    rng = random.Random(11)
+    base = [f"b{k}" for k in range(120)]
+    rows = []
+    for i in range(240):  # copies with up to 24 own words, the farthest first
+        text = list(base)
+        for k in rng.sample(range(120), 24 - i // 10):
+            text[k] = f"o{i}x{k}"
+        rows.append((i, " ".join(text)))
+    met = []
+
+    def counted(df, name, plain=near_dup.written):
+        out = plain(df, name)
+        if name == "met":
+            met.append(out.count())
+        return out
+    monkeypatch.setattr(near_dup, "written", counted)
+    frame = docs(spark, [text for _, text in rows], [i for i, _ in rows])
+    assert got(near_dup.near_duplicates(frame, width=5)) == brute(rows, 5)
+    assert met[0] < 2 * len(rows)
