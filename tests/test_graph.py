@@ -187,3 +187,22 @@ def test_merge_of_one_end_gives_the_same_source_records(spark):
     assert "catalog2" not in half.columns
     one, two = (sorted(map(tuple, stats.reverse_adjacency_rows(m).collect())) for m in (half, full))
     assert one == two and len(one) == 4
+
+
+def test_walkable_edges_give_the_same_candidates(spark):
+    rng = random.Random(8)
+    catalog = {i: rng.choice([None, 11, 12, 21, 22, 31, 0]) for i in range(60)}
+    edges = spark.createDataFrame([(rng.randrange(64), rng.randrange(64), rng.randrange(1, 9)) for _ in range(900)],
+                                  "item1 long, item2 long, click long")
+    cats = spark.createDataFrame([*catalog.items(), (5, 12), (5, 22)], "item long, catalog int")
+    rated = spark.createDataFrame([(i, float(i % 5)) for i in range(50)], "itemid long, rating double")
+    # Relations that overlap, one over two rows, one that lacks its own catalog, one with the 0 of missing ones.
+    brothers = spark.createDataFrame([(11, [11, 21]), (11, [31]), (12, [12, 22]), (22, [12, 22]), (21, [31]), (31, [0, 11])],
+                                     "catalog int, brothers array<int>")
+    tcat = graph.target_catalogs(spark.createDataFrame([(i,) for i in range(0, 60, 4)], "item long"), cats)
+    one, both = (graph.merge_edges(edges, cats, rated, b) for b in (False, True))
+    want = sorted(map(tuple, graph.candidates(one, tcat, brothers, 3).collect()))
+    assert sorted(map(tuple, graph.candidates(both, tcat, brothers, 3).collect())) == want and want
+    kept = graph.walkable(both, tcat, brothers)
+    assert kept.columns == both.columns and 0 < kept.count() < both.count()
+    assert graph.walkable(both, tcat.where("false"), brothers).count() == 0
