@@ -5,8 +5,8 @@ counts the terms of each document exactly.  The distinct terms of a language are
 estimated first and, if they are many, cut by a hash into blocks with a model
 each, so that no model, which the driver and every worker hold, outgrows
 ``block_terms`` however large the corpus is; a term's counts do not depend on
-its block.  Languages are few; each is read by a filter on its column, which
-prunes the files of a table that is laid out by it.
+its block.  Languages are few; the texts, with blanks for all that separates
+terms, are written once by the hash of their language, which a filter prunes.
 
 The sparse vectors of the documents are summed by group as ``Summarizer`` does,
 but by index, since its dense buffers would be as long as the vocabulary.  Most
@@ -21,17 +21,20 @@ All arithmetic is on integers.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.llm.common import ascii_lower, written
+from affinity.llm.common import map_slices, written
 from affinity.session import scratch_path
 
-#: What separates terms: all of ASCII but its letters.
-NOT_A_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-#: Non-ASCII letters that lower() would change and the operator does not.
-_OTHER_CAPITAL = r"[\p{javaUpperCase}\p{javaTitleCase}&&[^A-Z]]"
+#: What each byte of a text becomes: A-Z their small letters, the rest of ASCII, which separates terms, blanks.
+_PLAIN = bytes(b if b > 127 or chr(b) in "abcdefghijklmnopqrstuvwxyz" else b + 32 if 65 <= b <= 90 else 32
+               for b in range(256))
+#: Parts that the plain texts are written in, by the hash of their language.
+LANGUAGE_PARTS = 64
 #: Probabilities are whole multiples of one billionth.
 SCALE = 1_000_000_000
 #: The largest vocabulary size that CountVectorizer takes.
@@ -42,22 +45,49 @@ BLOCK_TERMS = 4_000_000
 SAMPLE = 16
 
 
+def plain(text: pa.Array) -> pa.Array:
+    """Texts (none null) with small letters for A-Z and a blank for every ASCII character that is no letter."""
+    _, offsets, data = text.buffers()
+    if not len(text) or data is None:
+        return text
+    wide = np.int64 if pa.types.is_large_string(text.type) else np.int32
+    places = np.frombuffer(offsets, wide)[text.offset:text.offset + len(text) + 1]
+    data = data[int(places[0]):int(places[-1])].to_pybytes().translate(_PLAIN)
+    return pa.Array.from_buffers(text.type, len(text), [None, pa.py_buffer(places - places[0]), pa.py_buffer(data)])
+
+
+def _plain_texts(docs: DataFrame) -> DataFrame:
+    """(lang, source, text, part): the documents with plain texts, laid out by language.
+
+    Written once: both passes of a language's estimator split at blanks only and
+    read no text of the other parts.
+    """
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("source"), plain(batch.column("text"))],
+                                          ["lang", "source", "text"])
+
+    rows = map_slices(docs, run, "lang string, source string, text string")
+    path = scratch_path(docs.sparkSession, "plain-texts")
+    part = F.pmod(F.xxhash64("lang"), F.lit(LANGUAGE_PARTS)).cast("int")
+    rows.withColumn("part", part).write.partitionBy("part").parquet(path)
+    return docs.sparkSession.read.schema("lang string, source string, text string, part int").parquet(path)
+
+
 def _terms(text: Column) -> Column:
-    """The terms of a text in order (and an empty one at either end that has none)."""
-    low = F.when(text.rlike(_OTHER_CAPITAL), ascii_lower(text)).otherwise(F.lower(text))
-    return F.split(low, NOT_A_TERM)
+    """The terms of a plain text in order (and empty ones between blanks and at an end that has none)."""
+    return F.split(text, " ")
 
 
-def _languages(docs: DataFrame) -> list[tuple[str, int]]:
-    """(language, an upper estimate of its distinct terms); one scan, that splits the sampled texts only."""
+def _languages(docs: DataFrame) -> list[tuple[str, int, int]]:
+    """(language, its part, an upper estimate of its distinct terms); one scan, that splits the sampled texts only."""
     text = F.when(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0, F.col("text")).otherwise(F.lit(""))
-    terms = docs.select("lang", F.explode(_terms(text)).alias("term"))
-    found = terms.groupBy("lang").agg(F.approx_count_distinct("term", 0.02).alias("n")).collect()
-    return [(lang, int(n * 1.1) * SAMPLE) for lang, n in found]
+    terms = docs.select("lang", "part", F.explode(_terms(text)).alias("term"))
+    found = terms.groupBy("lang", "part").agg(F.approx_count_distinct("term", 0.02).alias("n")).collect()
+    return [(lang, part, int(n * 1.1) * SAMPLE) for lang, part, n in found]
 
 
 def document_vectors(docs: DataFrame, min_df: int, block: tuple[int, int] = (0, 1)) -> tuple[DataFrame, DataFrame]:
-    """((source, indices, values) of each document, (index, term) of the kept terms) of one language.
+    """((source, indices, values) of each document, (index, term) of the kept terms) of one language's plain texts.
 
     ``block`` (b, n): of the terms, those whose hash modulo n is b.
     """
@@ -88,12 +118,12 @@ def group_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
     def text(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
-    rows = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("text"))
+    rows = _plain_texts(docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"),
+                                    text(text_col).alias("text")))
     none = docs.sparkSession.createDataFrame
     counts, words, base = none([], "lang string, source string, id long, count long"), none([], "id long, lang string, term string"), 0
-    for lang, most in sorted(_languages(rows)):
-        own = docs.where(F.col(lang_col) == lang if lang else F.coalesce(lang_col, F.lit("")) == "")
-        own = own.select(text(source_col).alias("source"), text(text_col).alias("text"))
+    for lang, part, most in sorted(_languages(rows)):
+        own = rows.where((F.col("part") == part) & (F.col("lang") == lang)).select("source", "text")
         n = max(1, -(-most // block_terms))
         for b in range(n):
             vectors, kept = document_vectors(own, min_df, (b, n))

@@ -217,3 +217,21 @@ def test_pipeline_keeps_columns_of_any_name_and_takes_empty_tables(spark):
         assert {(r._row, r._row_, r.place, r._order, r.bands, r.edits) for r in out.collect()} == {(0, 1, 2, 3, 4, 5)}
     for _, stage in corpus_pipeline.STAGES[:4]:
         assert stage(spark, frame.where("false"), "/root/testdata/sf0.001").collect() == []
+
+
+def test_plain_texts_part_at_all_that_is_no_term(spark):
+    import re
+
+    import pyarrow as pa
+
+    ascii_ = "".join(map(chr, range(128)))
+    texts = ["", "Ab, cD--e", ascii_, "É Çéǅ ß\U0001f600Z", "a\x00B\n\x7fc", "", "XYZ"]
+    want = [re.sub("[A-Z]", lambda m: m.group().lower(), re.sub(r"[\x00-\x40\x5B-\x60\x7B-\x7F]", " ", t)) for t in texts]
+    for kind in (pa.string(), pa.large_string()):
+        rows = pa.array(["before", *texts, "after"], kind)
+        assert divergence.plain(rows.slice(1, len(texts))).to_pylist() == want  # a slice's own bytes only
+        assert divergence.plain(rows.slice(0, 0)).to_pylist() == []
+    table = spark.createDataFrame([(t, "xy"[k % 2], None) for k, t in enumerate(texts)], "text string, lang string, source string")
+    rows = divergence._plain_texts(table.na.fill("")).collect()
+    assert sorted((r.lang, r.text) for r in rows) == sorted(("xy"[k % 2], t) for k, t in enumerate(want))
+    assert len({(r.lang, r.part) for r in rows}) == 2
