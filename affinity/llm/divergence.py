@@ -1,14 +1,17 @@
 """Source divergence audit: how far the words of each source are from its language's other sources.
 
 A ``CountVectorizer`` for each language, with minDF and the largest vocabulary,
-counts the terms of each document exactly.  The distinct terms of a language are
-estimated first and, if they are many, cut by a hash into blocks with a model
-each, so that no model, which the driver and every worker hold, outgrows
-``block_terms`` however large the corpus is; a term's counts do not depend on
-its block.  Languages are few; the texts, with blanks for all that separates
-terms, are written once by the hash of their language, which a filter prunes.
-
-The sparse vectors of the documents are summed by group as ``Summarizer`` does,
+is fitted to its documents and counts their terms exactly.  The distinct terms
+of a language are estimated first and, if they are many, cut by a hash into
+blocks with a model each, so that no model, which the driver and every worker
+hold, outgrows ``block_terms`` however large the corpus is; a term's counts do
+not depend on its block.  Languages are few; the texts, with one blank for all
+that separates two terms, are written once by the hash of their language, which
+a filter prunes.  They are written in bags: runs of texts of one group, at most
+some ``BAG_BYTES`` unless one text is longer.  The model learns from each text
+but counts a bag at a time, as only the sums of a group are asked for.
+
+The sparse vectors of the bags are summed by group as ``Summarizer`` does,
 but by index, since its dense buffers would be as long as the vocabulary.  Most
 terms are missing from most groups, and all missing ones of a group have one
 probability.  A sum over the whole vocabulary therefore is a closed form for
@@ -23,11 +26,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.llm.common import map_slices, written
+from affinity.llm.common import SLICE_BYTES, map_slices, written
 from affinity.session import scratch_path
 
 #: What each byte of a text becomes: A-Z their small letters, the rest of ASCII, which separates terms, blanks.
@@ -35,6 +39,10 @@ _PLAIN = bytes(b if b > 127 or chr(b) in "abcdefghijklmnopqrstuvwxyz" else b + 3
                for b in range(256))
 #: Parts that the plain texts are written in, by the hash of their language.
 LANGUAGE_PARTS = 64
+#: Bytes of texts that are counted as one, if they are of one group.
+BAG_BYTES = 128 << 10
+#: Bytes of a row group of bags, which bound what a reader holds of them at once.
+ROW_GROUP_BYTES = 32 << 20
 #: Probabilities are whole multiples of one billionth.
 SCALE = 1_000_000_000
 #: The largest vocabulary size that CountVectorizer takes.
@@ -56,21 +64,63 @@ def plain(text: pa.Array) -> pa.Array:
     return pa.Array.from_buffers(text.type, len(text), [None, pa.py_buffer(places - places[0]), pa.py_buffer(data)])
 
 
-def _plain_texts(docs: DataFrame) -> DataFrame:
-    """(lang, source, text, part): the documents with plain texts, laid out by language.
+def squeezed(text: pa.Array) -> pa.Array:
+    """Plain texts without the blanks that follow a blank or begin a text."""
+    _, offsets, data = text.buffers()
+    if not len(text) or data is None:
+        return text
+    wide = np.int64 if pa.types.is_large_string(text.type) else np.int32
+    places = np.frombuffer(offsets, wide)[text.offset:text.offset + len(text) + 1]
+    data = np.frombuffer(data, np.uint8)[int(places[0]):int(places[-1])]
+    places = places - places[0]
+    blank = data == 32
+    drop = blank.copy()
+    drop[1:] &= blank[:-1]
+    starts = places[:-1][places[:-1] < places[1:]]
+    drop[starts] = blank[starts]
+    places = (places - np.searchsorted(np.flatnonzero(drop), places)).astype(wide)
+    return pa.Array.from_buffers(text.type, len(text), [None, pa.py_buffer(places), pa.py_buffer(data[~drop])])
+
+
+def bags(rows: pa.RecordBatch, bag_bytes: int = BAG_BYTES) -> pa.RecordBatch:
+    """(lang, source, texts): the rows' squeezed plain texts, those of one group together up to some ``bag_bytes``."""
+    lang, source = (rows.column(name).dictionary_encode() for name in ("lang", "source"))
+    key = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    text = squeezed(plain(rows.column("text"))).take(pa.array(order))
+    size = pc.binary_length(text).to_numpy().astype(np.int64)
+    before = np.cumsum(size) - size
+    part = (before - before[np.searchsorted(key, key)]) // bag_bytes
+    starts = np.concatenate(([0], np.flatnonzero((np.diff(key) != 0) | (np.diff(part) != 0)) + 1))
+    texts = pa.ListArray.from_arrays(pa.array([*starts.tolist(), len(text)], pa.int32()), text)
+    first = pa.array(order[starts])
+    return pa.RecordBatch.from_arrays([rows.column("lang").take(first), rows.column("source").take(first), texts],
+                                      ["lang", "source", "texts"])
+
+
+def _by_language(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with their part, written once and laid out by it: no pass over a language reads other parts."""
+    path = scratch_path(rows.sparkSession, name)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("lang"), F.lit(LANGUAGE_PARTS)).cast("int"))
+    rows.write.partitionBy("part").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
-    Written once: both passes of a language's estimator split at blanks only and
-    read no text of the other parts.
-    """
+
+def _plain_texts(docs: DataFrame) -> DataFrame:
+    """(lang, source, text, part): the documents with plain texts, laid out by language."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("source"), plain(batch.column("text"))],
                                           ["lang", "source", "text"])
 
-    rows = map_slices(docs, run, "lang string, source string, text string")
-    path = scratch_path(docs.sparkSession, "plain-texts")
-    part = F.pmod(F.xxhash64("lang"), F.lit(LANGUAGE_PARTS)).cast("int")
-    rows.withColumn("part", part).write.partitionBy("part").parquet(path)
-    return docs.sparkSession.read.schema("lang string, source string, text string, part int").parquet(path)
+    return _by_language(map_slices(docs, run, "lang string, source string, text string"), "plain-texts")
+
+
+def _bags(docs: DataFrame, bag_bytes: int = BAG_BYTES) -> DataFrame:
+    """(lang, source, texts, part): the documents in bags, laid out by language."""
+    rows = map_slices(docs, lambda batch: bags(batch, bag_bytes), "lang string, source string, texts array<string>",
+                      limit=max(SLICE_BYTES, bag_bytes))
+    return _by_language(rows, "bags")
 
 
 def _terms(text: Column) -> Column:
@@ -78,37 +128,35 @@ def _terms(text: Column) -> Column:
     return F.split(text, " ")
 
 
-def _languages(docs: DataFrame) -> list[tuple[str, int, int]]:
-    """(language, its part, an upper estimate of its distinct terms); one scan, that splits the sampled texts only."""
-    text = F.when(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0, F.col("text")).otherwise(F.lit(""))
-    terms = docs.select("lang", "part", F.explode(_terms(text)).alias("term"))
-    found = terms.groupBy("lang", "part").agg(F.approx_count_distinct("term", 0.02).alias("n")).collect()
-    return [(lang, part, int(n * 1.1) * SAMPLE) for lang, part, n in found]
+def _languages(docs: DataFrame, groups: DataFrame) -> list[tuple[str, int, int]]:
+    """(language, its part, an upper estimate of its distinct terms); texts that are not sampled are only hashed."""
+    some = _plain_texts(docs.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0))
+    terms = some.select("lang", F.explode(_terms(F.col("text"))).alias("term"))
+    found = dict(terms.groupBy("lang").agg(F.approx_count_distinct("term", 0.02)).collect())
+    return [(lang, part, int(found.get(lang, 0) * 1.1) * SAMPLE) for lang, part in groups.select("lang", "part").distinct().collect()]
 
 
-def document_vectors(docs: DataFrame, min_df: int, block: tuple[int, int] = (0, 1)) -> tuple[DataFrame, DataFrame]:
-    """((source, indices, values) of each document, (index, term) of the kept terms) of one language's plain texts.
+def bag_vectors(bags: DataFrame, min_df: int, block: tuple[int, int] = (0, 1)) -> tuple[DataFrame, DataFrame]:
+    """((source, indices, values) of each bag, (index, term) of the kept terms) of one language's bags.
 
     ``block`` (b, n): of the terms, those whose hash modulo n is b.
     """
-    spark, (b, n) = docs.sparkSession, block
-    terms = _terms(F.col("text"))
-    if n > 1:
-        terms = F.filter(terms, lambda x: F.pmod(F.xxhash64(x), F.lit(n)) == b)
-    rows = docs.select("source", terms.alias("terms"))
+    spark, (b, n) = bags.sparkSession, block
+
+    def terms(text: Column) -> Column:
+        return F.filter(_terms(text), lambda x: F.pmod(F.xxhash64(x), F.lit(n)) == b) if n > 1 else _terms(text)
+
+    texts = bags.select(F.explode("texts").alias("text")).select(terms(F.col("text")).alias("terms"))
     # Rows of an empty term keep the vocabulary from being empty, which the estimator refuses.
     guard = spark.range(min_df).select(F.array(F.lit("")).alias("terms"))
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=MAX_VOCABULARY).fit(
-        rows.select("terms").unionAll(guard))
+        texts.unionAll(guard))
     # The vocabulary goes from the model to a table by its own writer, not through Python.
     path = scratch_path(spark, "count-vectorizer")
     model.save(path)
     kept = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("index", "term"))
-    path = scratch_path(spark, "document-vectors")
-    model.transform(rows).select("source", "vector").write.parquet(path)
-    # A sparse vector is stored as a struct; read as one, its parts are plain columns.
-    stored = "source string, vector struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
-    vectors = spark.read.schema(stored).parquet(path)
+    rows = bags.select("source", terms(F.array_join("texts", " ")).alias("terms"))
+    vectors = model.transform(rows).select("source", F.unwrap_udt("vector").alias("vector"))
     return vectors.select("source", "vector.indices", "vector.values"), kept.where("term != ''")
 
 
@@ -118,15 +166,16 @@ def group_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
     def text(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
-    rows = _plain_texts(docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"),
-                                    text(text_col).alias("text")))
+    docs = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("text"))
+    rows = _bags(docs)
+    groups = written(rows.select("lang", "source", "part").distinct(), "groups-found")
     none = docs.sparkSession.createDataFrame
     counts, words, base = none([], "lang string, source string, id long, count long"), none([], "id long, lang string, term string"), 0
-    for lang, part, most in sorted(_languages(rows)):
-        own = rows.where((F.col("part") == part) & (F.col("lang") == lang)).select("source", "text")
+    for lang, part, most in sorted(_languages(docs, groups)):
+        own = rows.where((F.col("part") == part) & (F.col("lang") == lang)).select("source", "texts")
         n = max(1, -(-most // block_terms))
         for b in range(n):
-            vectors, kept = document_vectors(own, min_df, (b, n))
+            vectors, kept = bag_vectors(own, min_df, (b, n))
             term_id = (F.lit(base).cast("long") + F.col("index")).alias("id")
             # An empty term, the guard's, has no row in the vocabulary: its counts go with the join on it.
             kept = written(kept.select(term_id, F.lit(lang).alias("lang"), "term"), "vocabulary")
@@ -135,7 +184,7 @@ def group_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
                 F.sum(F.col("x.values").cast("long")).alias("count")).select("source", term_id, "count")
             one = one.join(kept.select("id"), "id", "left_semi").select(F.lit(lang).alias("lang"), "source", "id", "count")
             counts, words, base = counts.unionAll(written(one, "group-counts")), words.unionAll(kept), base + MAX_VOCABULARY
-    return rows.select("lang", "source").distinct(), counts, words
+    return groups.select("lang", "source"), counts, words
 
 
 def _probability(count: Column | str, total: Column | str) -> Column:

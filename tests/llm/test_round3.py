@@ -235,3 +235,36 @@ def test_plain_texts_part_at_all_that_is_no_term(spark):
     rows = divergence._plain_texts(table.na.fill("")).collect()
     assert sorted((r.lang, r.text) for r in rows) == sorted(("xy"[k % 2], t) for k, t in enumerate(want))
     assert len({(r.lang, r.part) for r in rows}) == 2
+
+
+def test_bags_hold_every_text_of_their_group_and_no_empty_terms(spark):
+    rng = random.Random(9)
+    texts = [", ".join(rng.choices(["Ab", "c--d", "été", "", " x"], k=rng.randrange(9))) + rng.choice(["", "!?", "z"]) for _ in range(300)]
+    rows = [(rng.choice(["en", "fr", ""]), rng.choice(["web", "w\x00", ""]), t) for t in texts] + [("en", "web", "long " * 200)]
+
+    def words(text):
+        return [w for w in divergence.plain(pa.array([text])).to_pylist()[0].split(" ") if w]
+
+    want = sorted((a, b, words(t)) for a, b, t in rows)
+    for kind in (pa.string(), pa.large_string()):
+        batch = pa.RecordBatch.from_arrays([pa.array(c, kind) for c in zip(*[("en", "web", "before "), *rows, ("fr", "", " after")], strict=True)],
+                                           ["lang", "source", "text"]).slice(1, len(rows))
+        out = divergence.bags(batch, 200).to_pylist()
+        assert sorted((r["lang"], r["source"], t.split()) for r in out for t in r["texts"]) == want
+        assert all("  " not in t and not t.startswith(" ") for r in out for t in r["texts"])
+        assert 9 < len(out) < len(rows) / 3 and max(len(r["texts"]) for r in out) > 5
+        # One text may reach over the limit, and a text that is longer has company of less than the limit.
+        assert all(sum(len(t.encode()) for t in r["texts"][:-1]) <= 200 for r in out)
+    table = spark.createDataFrame(rows, "lang string, source string, text string").coalesce(2)
+    found = divergence._bags(table, 200)
+    assert sorted((r.lang, r.source, t.split()) for r in found.collect() for t in r.texts) == want
+    assert found.count() < len(rows) / 3
+
+
+def test_divergence_counts_documents_of_one_bag_apart(spark):
+    # "twice" is in two documents of one bag, "thrice" in three, "often" many times in one.
+    texts = ["twice thrice", "twice thrice", "thrice", "often " * 9]
+    table = docs(spark, texts).select("text", F.lit("a").alias("lang"), F.lit("s").alias("source")).coalesce(1)
+    counts, words = divergence.group_counts(table)[1:]
+    assert [(r.term, r["count"]) for r in counts.join(words, "id").collect()] == [("thrice", 3)]
+    assert divergence._bags(table).count() == 1
