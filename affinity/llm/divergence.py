@@ -184,6 +184,7 @@ def group_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
                 F.sum(F.col("x.values").cast("long")).alias("count")).select("source", term_id, "count")
             one = one.join(kept.select("id"), "id", "left_semi").select(F.lit(lang).alias("lang"), "source", "id", "count")
             counts, words, base = counts.unionAll(written(one, "group-counts")), words.unionAll(kept), base + MAX_VOCABULARY
+            del vectors, one  # their plans hold the model, which the driver need not keep beside the next one
     return groups.select("lang", "source"), counts, words
 
 
