@@ -8,11 +8,16 @@ hold, outgrows ``block_terms`` however large the corpus is; a term's counts do
 not depend on its block.  Languages are few; the texts, with one blank for all
 that separates two terms, are written once by the hash of their language, which
 a filter prunes.  They are written in bags: runs of texts of one group, at most
-some ``BAG_BYTES`` unless one text is longer.  The model learns from each text
-but counts a bag at a time, as only the sums of a group are asked for.
+some ``BAG_BYTES`` unless one text is longer.
 
-The sparse vectors of the bags are summed by group as ``Summarizer`` does,
-but by index, since its dense buffers would be as long as the vocabulary.  Most
+The model does not meet every word of every text.  The texts of a language that
+a task has at once are told by rows of few words first, as a combiner does
+before a shuffle (``digest``): rows to learn from, of which as many hold a term
+as documents do, up to the number that keeps it, and rows to count, which hold
+a term for each binary digit 1 of its count in a group and weigh as the digit does.
+
+The sparse vectors of these rows are summed by group, times their weights, as
+``Summarizer`` does, but by index, since its dense buffers would be as long as the vocabulary.  Most
 terms are missing from most groups, and all missing ones of a group have one
 probability.  A sum over the whole vocabulary therefore is a closed form for
 terms that neither group has, plus sums over each group's own terms (by distinct
@@ -99,6 +104,75 @@ def bags(rows: pa.RecordBatch, bag_bytes: int = BAG_BYTES) -> pa.RecordBatch:
                                       ["lang", "source", "texts"])
 
 
+def words(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(The terms of plain texts in order, how many each text has)."""
+    _, offsets, data = text.buffers()
+    if not len(text) or data is None:
+        return pa.array([], text.type), np.zeros(len(text), np.int64)
+    wide = np.int64 if pa.types.is_large_string(text.type) else np.int32
+    places = np.frombuffer(offsets, wide)[text.offset:text.offset + len(text) + 1]
+    data = np.frombuffer(data, np.uint8)[int(places[0]):int(places[-1])]
+    places = places - places[0]
+    letter = data != 32
+    first = letter.copy()
+    first[1:] &= ~letter[:-1]
+    starts = places[:-1][places[:-1] < places[1:]]
+    first[starts] = letter[starts]
+    at, data = np.flatnonzero(first), data[letter]
+    ends = np.append(np.cumsum(letter, dtype=wide)[at] - wide(1), wide(len(data)))
+    terms = pa.Array.from_buffers(text.type, len(at), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+    return terms, np.diff(np.searchsorted(at, places))
+
+
+def digest(rows: pa.RecordBatch, min_df: int, row_bytes: int = BAG_BYTES) -> pa.RecordBatch:
+    """(lang, source, weight, terms): the rows' plain texts, told by rows of fewer terms.
+
+    Rows of weight 0, whose source is null, stand for the documents of a
+    language: a term is in as many of them as documents have it, or in
+    ``min_df`` if more have it.  The weights of the other rows that have a term
+    sum up to its occurrences in the texts of that language and source.  A row
+    has a term once and at most some ``row_bytes``.
+    """
+    lang, source = (rows.column(name).dictionary_encode() for name in ("lang", "source"))
+    tongue = lang.indices.to_numpy().astype(np.int64)
+    group = tongue * len(source.dictionary) + source.indices.to_numpy()
+    terms, many = words(rows.column("text"))
+    terms = terms.dictionary_encode()
+    code, terms, n = terms.indices.to_numpy().astype(np.int64), terms.dictionary, max(1, len(terms.dictionary))
+    size = pc.binary_length(terms).to_numpy().astype(np.int64) + 1
+    out: list[tuple[np.ndarray, np.ndarray, int]] = []  # (group, code, weight) of each term of each row
+
+    held = np.sort(np.repeat(np.arange(len(many)), many) * n + code)
+    held = held[np.diff(held, prepend=-1) != 0]  # a document's terms once
+    key, times = np.unique(tongue[held // n] * n + held % n, return_counts=True)
+    for k in range(max(1, min_df)):
+        some = key[times > k]
+        out.append((some // n, some % n, 0))
+    key, times = np.unique(np.repeat(group, many) * n + code, return_counts=True)
+    weight = 1
+    while times.any():
+        some = key[times % 2 == 1]
+        out.append((some // n, some % n, weight))
+        times, weight = times // 2, weight * 2
+
+    found = []
+    for of, own, weight in out:
+        if not len(own):
+            continue
+        before = np.cumsum(size[own]) - size[own]
+        part = (before - before[np.searchsorted(of, of)]) // row_bytes
+        starts = np.concatenate(([0], np.flatnonzero((np.diff(of) != 0) | (np.diff(part) != 0)) + 1))
+        tongues, sources = np.divmod(of[starts], len(source.dictionary)) if weight else (of[starts], np.zeros(len(starts), np.int64))
+        found.append((lang.dictionary.take(pa.array(tongues)), source.dictionary.take(pa.array(sources, mask=np.full(len(starts), not weight))),
+                      pa.array(np.full(len(starts), weight)),
+                      pa.ListArray.from_arrays(pa.array([*starts.tolist(), len(own)], pa.int32()), terms.take(pa.array(own)))))
+    names = ["lang", "source", "weight", "terms"]
+    if not found:
+        return pa.RecordBatch.from_arrays([rows.column("lang").slice(0, 0), rows.column("source").slice(0, 0), pa.array([], pa.int64()),
+                                           pa.array([], pa.list_(terms.type))], names)
+    return pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(*found, strict=True)], names)
+
+
 def _by_language(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` with their part, written once and laid out by it: no pass over a language reads other parts."""
     path = scratch_path(rows.sparkSession, name)
@@ -123,6 +197,13 @@ def _bags(docs: DataFrame, bag_bytes: int = BAG_BYTES) -> DataFrame:
     return _by_language(rows, "bags")
 
 
+def _digests(bags: DataFrame, min_df: int, limit: int = SLICE_BYTES) -> DataFrame:
+    """(lang, source, weight, terms, part): the texts of bags by rows of fewer terms, laid out by language."""
+    rows = bags.select("lang", "source", F.explode("texts").alias("text"))
+    return _by_language(map_slices(rows, lambda batch: digest(batch, min_df), "lang string, source string, weight long, terms array<string>",
+                                   limit=limit), "digests")
+
+
 def _terms(text: Column) -> Column:
     """The terms of a plain text in order (and empty ones between blanks and at an end that has none)."""
     return F.split(text, " ")
@@ -136,28 +217,24 @@ def _languages(docs: DataFrame, groups: DataFrame) -> list[tuple[str, int, int]]
     return [(lang, part, int(found.get(lang, 0) * 1.1) * SAMPLE) for lang, part in groups.select("lang", "part").distinct().collect()]
 
 
-def bag_vectors(bags: DataFrame, min_df: int, block: tuple[int, int] = (0, 1)) -> tuple[DataFrame, DataFrame]:
-    """((source, indices, values) of each bag, (index, term) of the kept terms) of one language's bags.
+def digest_vectors(digests: DataFrame, min_df: int, block: tuple[int, int] = (0, 1)) -> tuple[DataFrame, DataFrame]:
+    """((source, weight, indices, values) of each row to count, (index, term) of the kept terms) of one language's digests.
 
     ``block`` (b, n): of the terms, those whose hash modulo n is b.
     """
-    spark, (b, n) = bags.sparkSession, block
-
-    def terms(text: Column) -> Column:
-        return F.filter(_terms(text), lambda x: F.pmod(F.xxhash64(x), F.lit(n)) == b) if n > 1 else _terms(text)
-
-    texts = bags.select(F.explode("texts").alias("text")).select(terms(F.col("text")).alias("terms"))
+    spark, (b, n) = digests.sparkSession, block
+    if n > 1:
+        digests = digests.withColumn("terms", F.filter("terms", lambda x: F.pmod(F.xxhash64(x), F.lit(n)) == b))
     # Rows of an empty term keep the vocabulary from being empty, which the estimator refuses.
     guard = spark.range(min_df).select(F.array(F.lit("")).alias("terms"))
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=MAX_VOCABULARY).fit(
-        texts.unionAll(guard))
+        digests.where("weight = 0").select("terms").unionAll(guard))
     # The vocabulary goes from the model to a table by its own writer, not through Python.
     path = scratch_path(spark, "count-vectorizer")
     model.save(path)
     kept = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("index", "term"))
-    rows = bags.select("source", terms(F.array_join("texts", " ")).alias("terms"))
-    vectors = model.transform(rows).select("source", F.unwrap_udt("vector").alias("vector"))
-    return vectors.select("source", "vector.indices", "vector.values"), kept.where("term != ''")
+    vectors = model.transform(digests.where("weight > 0")).select("source", "weight", F.unwrap_udt("vector").alias("vector"))
+    return vectors.select("source", "weight", "vector.indices", "vector.values"), kept.where("term != ''")
 
 
 def group_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
@@ -169,19 +246,20 @@ def group_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
     docs = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("text"))
     rows = _bags(docs)
     groups = written(rows.select("lang", "source", "part").distinct(), "groups-found")
+    digests = _digests(rows, min_df)
     none = docs.sparkSession.createDataFrame
     counts, words, base = none([], "lang string, source string, id long, count long"), none([], "id long, lang string, term string"), 0
     for lang, part, most in sorted(_languages(docs, groups)):
-        own = rows.where((F.col("part") == part) & (F.col("lang") == lang)).select("source", "texts")
+        own = digests.where((F.col("part") == part) & (F.col("lang") == lang)).select("source", "weight", "terms")
         n = max(1, -(-most // block_terms))
         for b in range(n):
-            vectors, kept = bag_vectors(own, min_df, (b, n))
+            vectors, kept = digest_vectors(own, min_df, (b, n))
             term_id = (F.lit(base).cast("long") + F.col("index")).alias("id")
             # An empty term, the guard's, has no row in the vocabulary: its counts go with the join on it.
             kept = written(kept.select(term_id, F.lit(lang).alias("lang"), "term"), "vocabulary")
-            one = vectors.select("source", F.explode(F.arrays_zip("indices", "values")).alias("x"))
+            one = vectors.select("source", "weight", F.explode(F.arrays_zip("indices", "values")).alias("x"))
             one = one.groupBy("source", F.col("x.indices").alias("index")).agg(
-                F.sum(F.col("x.values").cast("long")).alias("count")).select("source", term_id, "count")
+                F.sum(F.col("weight") * F.col("x.values").cast("long")).alias("count")).select("source", term_id, "count")
             one = one.join(kept.select("id"), "id", "left_semi").select(F.lit(lang).alias("lang"), "source", "id", "count")
             counts, words, base = counts.unionAll(written(one, "group-counts")), words.unionAll(kept), base + MAX_VOCABULARY
             del vectors, one  # their plans hold the model, which the driver need not keep beside the next one

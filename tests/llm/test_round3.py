@@ -268,3 +268,41 @@ def test_divergence_counts_documents_of_one_bag_apart(spark):
     counts, words = divergence.group_counts(table)[1:]
     assert [(r.term, r["count"]) for r in counts.join(words, "id").collect()] == [("thrice", 3)]
     assert divergence._bags(table).count() == 1
+
+
+def test_digest_tells_counts_and_documents_by_fewer_terms(spark):
+    from collections import Counter
+
+    rng = random.Random(4)
+    rows = [(rng.choice(["en", "fr", ""]), rng.choice(["web", "w\x00", ""]), " ".join(rng.choices(
+        ["ab", "", "été", "日本", "often", *map(str.lower, "KLMNOP")], [9, 5, 4, 1, 90, 3, 2, 1, 1, 0.1, 0.1], k=rng.randrange(60)))) for _ in range(300)]
+    rows += [("en", "web", "often " * 5000), ("solo", "s", "once"), ("none", "s", ""), ("none", "s", "  ")]
+    counts = Counter((a, b, w) for a, b, t in rows for w in t.split())
+    held = Counter((a, w) for a, _, t in rows for w in set(t.split()))
+
+    def check(out):
+        told, learnt = Counter(), Counter()
+        for r in out:
+            assert r["terms"] and len(r["terms"]) == len(set(r["terms"])) and (r["source"] is None) == (r["weight"] == 0)
+            for w in r["terms"]:
+                told[r["lang"], r["source"], w] += r["weight"]
+                learnt[r["lang"], w] += r["weight"] == 0
+        assert {k: n for k, n in told.items() if n} == counts
+        return {k: n for k, n in learnt.items()}
+
+    for kind in (pa.string(), pa.large_string()):
+        batch = pa.RecordBatch.from_arrays([pa.array(c, kind) for c in zip(*[("en", "web", "before"), *rows, ("fr", "", "after")], strict=True)],
+                                           ["lang", "source", "text"])
+        for row_bytes in (20, 1 << 20):
+            out = divergence.digest(batch.slice(1, len(rows)), 3, row_bytes).to_pylist()
+            assert check(out) == {k: min(n, 3) for k, n in held.items()}
+            # A term begins below the limit.
+            assert all(sum(len(w.encode()) + 1 for w in r["terms"][:-1]) <= row_bytes for r in out)
+        assert divergence.digest(batch.slice(0, 0), 3).num_rows == divergence.digest(batch.slice(len(rows) - 1, 2), 3).num_rows == 0
+
+    # What the model learns from and counts is far less than the texts, whatever the slices that were told apart.
+    table = spark.createDataFrame(rows, "lang string, source string, text string").coalesce(1)
+    for limit, least in ((1 << 20, 30), (3000, 3)):
+        out = divergence._digests(divergence._bags(table), 3, limit).collect()
+        assert all(min(n, 3) <= dict(check([r.asDict() for r in out]))[k] <= n for k, n in held.items())
+        assert sum(len(r.terms) for r in out) * least < sum(counts.values())
