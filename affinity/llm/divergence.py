@@ -17,12 +17,12 @@ as documents do, up to the number that keeps it, and rows to count, which hold
 a term for each binary digit 1 of its count in a group and weigh as the digit does.
 
 The sparse vectors of these rows are summed by group, times their weights, as
-``Summarizer`` does, but by index, since its dense buffers would be as long as the vocabulary.  Most
-terms are missing from most groups, and all missing ones of a group have one
-probability.  A sum over the whole vocabulary therefore is a closed form for
-terms that neither group has, plus sums over each group's own terms (by distinct
-probability), plus a correction for the terms that both have: only that one is
-a join, on the term.
+``Summarizer`` does, but by index, since its dense buffers would be as long as
+the vocabulary.  Most terms are missing from most groups, and all missing ones
+of a group have one probability.  A sum over the whole vocabulary therefore is a
+closed form for terms that neither group has, plus sums over each group's own
+terms (by distinct probability), plus a correction for the terms that both have:
+only that one is a join, on the term.
 
 All arithmetic is on integers.
 """
@@ -218,8 +218,9 @@ def _languages(docs: DataFrame, groups: DataFrame) -> list[tuple[str, int, int]]
 
 
 def digest_vectors(digests: DataFrame, min_df: int, block: tuple[int, int] = (0, 1)) -> tuple[DataFrame, DataFrame]:
-    """((source, weight, indices, values) of each row to count, (index, term) of the kept terms) of one language's digests.
+    """((source, weight, indices) of each row to count, (index, term) of the kept terms) of one language's digests.
 
+    The values of a row's vector are all 1, since it has a term once.
     ``block`` (b, n): of the terms, those whose hash modulo n is b.
     """
     spark, (b, n) = digests.sparkSession, block
@@ -234,7 +235,7 @@ def digest_vectors(digests: DataFrame, min_df: int, block: tuple[int, int] = (0,
     model.save(path)
     kept = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("index", "term"))
     vectors = model.transform(digests.where("weight > 0")).select("source", "weight", F.unwrap_udt("vector").alias("vector"))
-    return vectors.select("source", "weight", "vector.indices", "vector.values"), kept.where("term != ''")
+    return vectors.select("source", "weight", "vector.indices"), kept.where("term != ''")
 
 
 def group_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
@@ -257,9 +258,8 @@ def group_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
             term_id = (F.lit(base).cast("long") + F.col("index")).alias("id")
             # An empty term, the guard's, has no row in the vocabulary: its counts go with the join on it.
             kept = written(kept.select(term_id, F.lit(lang).alias("lang"), "term"), "vocabulary")
-            one = vectors.select("source", "weight", F.explode(F.arrays_zip("indices", "values")).alias("x"))
-            one = one.groupBy("source", F.col("x.indices").alias("index")).agg(
-                F.sum(F.col("weight") * F.col("x.values").cast("long")).alias("count")).select("source", term_id, "count")
+            one = vectors.select("source", "weight", F.explode("indices").alias("index"))
+            one = one.groupBy("source", "index").agg(F.sum("weight").alias("count")).select("source", term_id, "count")
             one = one.join(kept.select("id"), "id", "left_semi").select(F.lit(lang).alias("lang"), "source", "id", "count")
             counts, words, base = counts.unionAll(written(one, "group-counts")), words.unionAll(kept), base + MAX_VOCABULARY
             del vectors, one  # their plans hold the model, which the driver need not keep beside the next one
