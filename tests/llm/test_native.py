@@ -105,6 +105,17 @@ def test_overlaps_of_null_and_repeated_ids(spark):
         assert got == expected
 
 
+def test_item_ids_of_one_text_are_broadcast_up_to_the_bound_only(spark):
+    """The seeds bound the texts of items, not the ids of items that share one."""
+    line = " ".join(f"w{k}" for k in range(20))
+    frame, items = docs(spark, [line, "x " + line]), bench(spark, [(k, line) for k in range(60)])
+    hinted = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast")
+    # The text has 33 seeds.
+    many, few = (decontam.find_overlaps(frame, items, broadcast_seeds=n) for n in (40, 100))
+    assert (hinted(many), hinted(few)) == (2, 3)
+    assert sorted(many.collect()) == sorted(few.collect()) and many.count() == 120
+
+
 # -- mixing
 
 def targets(sizes, percent=150):
