@@ -143,3 +143,22 @@ def test_words_travel_as_hashes_only_if_no_two_share_one(spark, monkeypatch):
     assert dict(content._keyed(words).dtypes)["words"] == "array<bigint>"
     monkeypatch.setattr(content.F, "xxhash64", lambda *c: content.F.length(*c))  # red and cup clash
     assert content._keyed(words) is words
+
+
+@pytest.mark.parametrize("weighting", ["tfidf", "hashed"])
+def test_scores_in_blocks_of_targets_are_the_same(spark, monkeypatch, weighting):
+    """The words of a pair are looked up block by block; nothing a block shuffled stays."""
+    rng = random.Random(5)
+    docs = _docs(spark, [(str(i), str(i % 7), " ".join(rng.choices([f"w{k}" for k in range(40)], k=rng.randrange(1, 15))), None)
+                         for i in range(40)])
+    pairs = [(t, i, 0.0, 0, 0, 1) for t in range(0, 40, 4) for i in rng.sample(range(45), 12)]
+    cands = _cands(spark, pairs + pairs[:9])
+    whole = sorted(content.rank_candidates(cands, docs, weighting, num_features=16).collect())
+    monkeypatch.setattr(content, "BLOCK_TERMS", 20)
+    shuffles = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    before = set(shuffles.keySet().mkString(",").split(","))
+    scores = (content.hashed_scores(cands, docs, 16) if weighting == "hashed" else content.cosine_scores(cands, docs))
+    assert set(shuffles.keySet().mkString(",").split(",")) - before <= {""}
+    assert len(scores.inputFiles()) > 3
+    assert sorted(content.rank_candidates(cands, docs, weighting, num_features=16).collect()) == whole
+    assert {r.cos for r in scores.collect()} > {0.0}
