@@ -115,3 +115,19 @@ def test_a_pair_is_shuffled_as_two_ids_and_a_sum(spark):
     assert item_cf.pair_cosines(im.vectors).columns == ["a", "b", "sim", "sim_raw"]
     text = item_cf.pair_cosines(im.vectors)._jdf.queryExecution().optimizedPlan().toString()
     assert "norm2_1" not in text and "reach_1" not in text
+
+
+@pytest.mark.parametrize(("users", "each", "k"), [(120, 9, 5), (30, 30, 12)])
+def test_slices_of_items_keep_the_same_pairs(spark, monkeypatch, users, each, k):
+    """Sparse ratings, and dense ones of few items, in which negative pairs can be kept; slice by slice and all at once."""
+    rows = ratings(3, users=users, items=40, each=each, heavy=0)
+    df = frame(spark, rows)
+    whole = {(r.m1, r.m2): (r.sim, r["rank"]) for r in item_cf.kept_pairs(df, 1, k)[1].collect()}
+    assert whole == {m: (pytest.approx(s), r) for m, (s, r) in dense_top(rows, 1, k).items()}
+    monkeypatch.setattr(item_cf, "SLICE_PAIRS", 4000)
+    im = item_cf.fit(df)
+    assert item_cf.pair_slices(im) > 2
+    cut = item_cf.kept_pairs(df, 1, k)[1]
+    assert {(r.m1, r.m2): (r.sim, r["rank"]) for r in cut.collect()} == {m: (pytest.approx(s), r) for m, (s, r) in whole.items()}
+    # The pairs are gone: what is left is the cut of each slice, written.
+    assert len(cut.inputFiles()) > 2 and "Join" not in cut._jdf.queryExecution().optimizedPlan().toString()
